@@ -1,0 +1,6 @@
+"""Streaming.
+
+The method is batch only: it has no streams, watermarks, windows over event
+time or state.  Nothing is built here; the package keeps the folder so the
+layout matches the other engines built on the same plan.
+"""
