@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctxanomaly.config import CONTEXT_KEYS, EPS, MEASURE
@@ -43,27 +43,41 @@ def ratio_features(df: DataFrame) -> DataFrame:
     )
 
 
+def exact_sum(c: Column) -> Column:
+    """Order-independent sum: decimal(38,9) accumulation, read back as double.
+
+    A double sum depends on the order partial sums meet in, so results would
+    change with partitioning in the last bits; the decimal sum does not.
+    """
+    return F.sum(c.cast("decimal(38,9)")).cast("double")
+
+
+def exact_avg(c: Column) -> Column:
+    """Mean from :func:`exact_sum` over the non-null values."""
+    return exact_sum(c) / F.count(c)
+
+
 def context_profile(
     df: DataFrame, context: Sequence[str] = CONTEXT_KEYS, x: str = MEASURE
 ) -> DataFrame:
     """Per-context count, sums, centred moments and mean ratios.
 
-    Expects :func:`ratio_features` columns.  ``context_mean`` and
-    ``context_m2`` (sum of squared deviations) feed the numerically stable
-    leave-one-out form; the raw sums are kept for reporting.
+    Expects :func:`ratio_features` columns.  Sums and means are exact
+    (order independent); ``context_m2_passengers`` (sum of squared
+    deviations) feeds the numerically stable leave-one-out variance.
     """
     c = F.col(x)
     return df.groupBy(*context).agg(
         F.count(F.lit(1)).alias("context_obs_count"),
-        F.sum(c).alias("context_sum_passengers"),
+        exact_sum(c).alias("context_sum_passengers"),
         F.sum(c * c).alias("context_sumsq_passengers"),
-        F.avg(c).alias("context_mean_passengers"),
+        exact_avg(c).alias("context_mean_passengers"),
         (F.coalesce(F.var_samp(c), F.lit(0.0)) * (F.count(F.lit(1)) - F.lit(1))).alias(
             "context_m2_passengers"
         ),
-        F.avg("passage_per_passenger").alias("context_avg_passage_per_passenger"),
-        F.avg("passenger_per_record").alias("context_avg_passenger_per_record"),
-        F.avg("passage_per_record").alias("context_avg_passage_per_record"),
+        exact_avg(F.col("passage_per_passenger")).alias("context_avg_passage_per_passenger"),
+        exact_avg(F.col("passenger_per_record")).alias("context_avg_passenger_per_record"),
+        exact_avg(F.col("passage_per_record")).alias("context_avg_passage_per_record"),
     )
 
 
@@ -97,11 +111,12 @@ def min_context(df: DataFrame, n: int = 5) -> DataFrame:
 def leave_one_out(df: DataFrame, x: str = MEASURE) -> DataFrame:
     """Context mean and std of ``x`` without the row itself.
 
-    With n the context size, m its mean and M2 its sum of squared
-    deviations: mean' = m - (x - m)/(n - 1), M2' = M2 - (x - m)^2 n/(n - 1),
-    var' = max(M2' / max(n - 2, 1), 0), std' = sqrt(var' + 1e-6).  This is
-    the raw-moment formula rewritten in centred form (no cancellation for
-    large, nearly constant counts).
+    With n the context size, S its sum, m its mean and M2 its sum of
+    squared deviations: mean' = (S - x)/(n - 1),
+    M2' = M2 - (x - m)^2 n/(n - 1), var' = max(M2' / max(n - 2, 1), 0),
+    std' = sqrt(var' + 1e-6).  The variance is the raw-moment formula
+    rewritten in centred form (no cancellation for large, nearly constant
+    counts).
     """
     n = F.col("context_obs_count").cast("double")
     n1 = n - F.lit(1.0)
@@ -110,7 +125,7 @@ def leave_one_out(df: DataFrame, x: str = MEASURE) -> DataFrame:
     var = F.greatest(m2 / F.greatest(n1 - F.lit(1.0), F.lit(1.0)), F.lit(0.0))
     return df.withColumns(
         {
-            "loo_mean_passengers": F.col("context_mean_passengers") - d / n1,
+            "loo_mean_passengers": (F.col("context_sum_passengers") - F.col(x)) / n1,
             "loo_std_passengers": F.sqrt(var + F.lit(EPS)),
         }
     )
