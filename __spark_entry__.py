@@ -161,6 +161,24 @@ def q_merge_parts(spark, sf):
     return merge_parts(spark, path, fmt="csv", schema=schema)
 
 
+def q_coerce_numeric(spark, sf):
+    from ctxanomaly.operators.features import coerce_numeric
+
+    text = _ev_cells(spark, sf).select(
+        *KEYS, *[F.col(c).cast("string").alias(c) for c in ("total_passengers", "total_passages", "record_count")]
+    )
+    return coerce_numeric(text, ["total_passengers", "total_passages", "record_count"])
+
+
+def q_read_stage(spark, sf):
+    from ctxanomaly.sources import read_stage
+
+    cells = hourly_cells(raw_lineitem(spark, sf)).select(*CELL, *TEMPORAL)
+    path = f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/hourly_by_month"
+    write_stage(cells, path, fmt="parquet", partition_by=("month",))
+    return read_stage(spark, path).select(*CELL, *TEMPORAL)
+
+
 def q_normalize_label(spark, sf):
     return normalize_label(_ev_zscored(spark, sf)).select(*KEYS, "zscore_anomaly")
 
@@ -403,6 +421,27 @@ def q_overlap_table(spark, sf):
     return R.overlap_table(R.method_summary(detection(spark, sf).scored))
 
 
+def q_write_report(spark, sf):
+    from ctxanomaly.sources import read_stage, write_report
+
+    by_month = R.method_by(detection(spark, sf).scored, "month")
+    path = f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/monthly_report"
+    write_report(by_month, path, fmt="csv")
+    return read_stage(spark, path, fmt="csv", schema=by_month.schema)
+
+
+def q_iforest_flags_approx(spark, sf):
+    from dataclasses import replace
+
+    from ctxanomaly.operators.forest import contamination_threshold, flag_ge
+
+    d = detection(spark, sf)
+    cfg = replace(CFG, threshold_mode="approx")
+    return flag_ge(d.scored.drop("iforest_anomaly", "iforest_prediction"), contamination_threshold(d.scored, cfg)).select(
+        *KEYS, "iforest_score", "iforest_anomaly"
+    )
+
+
 def q_formatted_monthly(spark, sf):
     return R.formatted_monthly(R.method_by(detection(spark, sf).scored, "month"))
 

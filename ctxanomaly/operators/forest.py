@@ -31,6 +31,7 @@ from ctxanomaly.functions.expressions import HASH_BITS, c_factor_py, hash_int, r
 from ctxanomaly.functions.isotree import ForestArrays, grow_trees_pdf
 from ctxanomaly.operators.quantile import rank_bucket, value_at_rank
 from ctxanomaly.schema import NODES, PATH_UNIT
+from ctxanomaly.session import cut
 
 
 def with_row_key(df: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
@@ -64,21 +65,31 @@ def training_pool(
 
 
 def tree_samples(pool: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFrame:
-    """Per-tree subsample without replacement: pool rows x tree ids, the
-    ``max_samples`` smallest hashes per tree (WindowGroupLimit prunes
-    before the shuffle).  Size is bounded by pool_size x num_trees."""
-    trees = pool.withColumn(
-        "tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.num_trees - 1)))
-    ).withColumn(
-        "h_tree",
-        hash_int(F.lit(cfg.seed), F.lit("tree"), F.col("tree_id"), F.col("row_key")),
+    """Per-tree subsample without replacement: the ``max_samples`` pool rows
+    with the smallest hash(seed, "tree", tree, row key).
+
+    Only narrow (row_key, tree_id, hash) rows are ranked, spread over all
+    cores; WindowGroupLimit keeps max_samples per tree and map partition
+    before the shuffle.  Features are attached afterwards from the pool,
+    which is bounded by ``cfg.pool_size`` rows and therefore broadcast.
+    """
+    parallelism = max(1, pool.sparkSession.sparkContext.defaultParallelism)
+    ranked = (
+        pool.select("row_key")
+        .repartition(parallelism)
+        .withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.num_trees - 1))))
+        .withColumn(
+            "h_tree",
+            hash_int(F.lit(cfg.seed), F.lit("tree"), F.col("tree_id"), F.col("row_key")),
+        )
     )
     w = Window.partitionBy("tree_id").orderBy("h_tree", "row_key")
-    return (
-        trees.withColumn("rn", F.row_number().over(w))
+    chosen = (
+        ranked.withColumn("rn", F.row_number().over(w))
         .filter(F.col("rn") <= F.lit(cfg.max_samples))
         .drop("rn")
     )
+    return chosen.join(F.broadcast(pool), "row_key")
 
 
 def fit_forest(
@@ -103,7 +114,9 @@ def fit(
 ) -> pd.DataFrame:
     """Grow the forest and return its node table (bounded: at most
     num_trees x (2^(max_depth+1) - 1) rows) as a local frame."""
-    pool = training_pool(featured, cfg, features)
+    # The pool is bounded by pool_size rows; cut it so the size check and
+    # the per-tree draw read it once.
+    pool = cut(training_pool(featured, cfg, features), "pool")
     n_pool = pool.count()
     if n_pool < cfg.min_pool_rows:
         raise ValueError(

@@ -483,6 +483,14 @@ def sql_queries() -> dict[str, str]:
     q["temporal_features"] = final(ev, f"select {CELL}, {TEMPORAL} from e_cells", ["total_passengers", "total_passages"])
     q["ensure_temporal"] = q["temporal_features"]
     q["merge_parts"] = final(lz, f"select {CELL} from l_hourly", ["total_passengers", "total_passages"])
+    q["coerce_numeric"] = final(
+        ev,
+        f"select {KEYS}, try_cast(cast(total_passengers as varchar) as double) as total_passengers, "
+        "try_cast(cast(total_passages as varchar) as double) as total_passages, "
+        "try_cast(cast(record_count as varchar) as double) as record_count from e_cells",
+        ["total_passengers", "total_passages", "record_count"],
+    )
+    q["read_stage"] = final(lz, f"select {CELL}, {TEMPORAL} from l_cells", ["total_passengers", "total_passages"])
     q["normalize_label"] = final(ev, f"select {KEYS}, zscore_anomaly from e_labelled")
     q["complete_rows"] = final(
         ev, f"select {CELL}, zscore_anomaly from e_complete", ["total_passengers", "total_passages"]
@@ -668,6 +676,7 @@ select 'cells' as stage, reason, count(*) as row_count from (
     by_line = method_rates(f"select line, {method_aggs()} from l_flagged group by line")
     q["method_by_month"] = final(lt, by_month, METHOD_DOUBLES)
     q["method_by_line"] = final(lt, by_line, METHOD_DOUBLES)
+    q["write_report"] = q["method_by_month"]
     q["method_grouping_sets"] = final(
         lt,
         method_rates(
