@@ -38,6 +38,11 @@ def with_row_key(df: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
     return df.withColumn("row_key", row_key(*keys))
 
 
+def with_pool_hash(df: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFrame:
+    """Add ``h_pool`` = hash(seed, "pool", row_key): the pool order key."""
+    return df.withColumn("h_pool", hash_int(F.lit(cfg.seed), F.lit("pool"), F.col("row_key")))
+
+
 def training_pool(
     df: DataFrame,
     cfg: DetectConfig = DetectConfig(),
@@ -48,9 +53,9 @@ def training_pool(
     ``df`` needs ``row_key`` and the feature columns.  The exact rank search
     bounds what reaches the final ordering by pool_size + 100,000 rows.
     """
-    keyed = df.select("row_key", *features).withColumn(
-        "h_pool", hash_int(F.lit(cfg.seed), F.lit("pool"), F.col("row_key"))
-    )
+    if "h_pool" not in df.columns:
+        df = with_pool_hash(df, cfg)
+    keyed = df.select("row_key", "h_pool", *features)
     total = keyed.count()
     if total == 0:
         raise ValueError("no rows to train on")

@@ -20,6 +20,7 @@ from ctxanomaly.operators.forest import (
     fit,
     flag_ge,
     score_forest,
+    with_pool_hash,
     with_row_key,
 )
 from ctxanomaly.operators.hourly import hourly_aggregate, with_temporal
@@ -69,11 +70,11 @@ def hourly_cells(raw: DataFrame) -> DataFrame:
 
 
 def featured_cells(zscored: DataFrame, cfg: DetectConfig = DetectConfig(), materialize: bool = True) -> DataFrame:
-    """Second filter, context features and row key (unscaled)."""
+    """Second filter, context features, row key and pool hash (unscaled)."""
     feats = context_features(
         forest_input(zscored), cfg.context, cfg.measure, cfg.min_context_obs, materialize
     )
-    return with_row_key(feats, cfg.hourly_keys)
+    return with_pool_hash(with_row_key(feats, cfg.hourly_keys), cfg)
 
 
 class _Clock:
@@ -102,8 +103,10 @@ def detect(
     clock.lap("hourly")
     zscored = cut(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold), "zscored")
     clock.lap("zscore")
-    feats = featured_cells(zscored, cfg)
-    featured = cut(standardize(feats, FEATURES, fit_scaler(feats, FEATURES)), "featured")
+    # Unscaled features are written once; scaling is a cheap projection
+    # applied where the scaled values are read (pool and scoring).
+    feats = cut(featured_cells(zscored, cfg), "featured")
+    featured = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
     clock.lap("features")
     nodes = fit(featured, cfg)
     clock.lap("fit")
