@@ -87,35 +87,43 @@ def grow_trees_pdf(
 
 
 class ForestArrays:
-    """Dense heap arrays of a node table, for vectorised descent."""
+    """Dense heap arrays of a node table, for vectorised descent.
+
+    Nodes of tree t live at flat index t * width + node_id.  A leaf loops
+    onto itself: its split is NaN (``x >= NaN`` is false) and its child
+    base is its own index, so every row takes exactly max_depth steps
+    without a leaf mask.
+    """
 
     def __init__(self, nodes: pd.DataFrame, num_trees: int, max_depth: int):
         width = 1 << (max_depth + 1)
         self.num_trees = num_trees
         self.max_depth = max_depth
-        self.feature = np.zeros((num_trees, width), dtype=np.int64)
-        self.split = np.zeros((num_trees, width), dtype=np.float64)
-        self.is_leaf = np.ones((num_trees, width), dtype=bool)
-        self.units = np.zeros((num_trees, width), dtype=np.int64)
+        self.width = width
+        size = num_trees * width
         t = nodes["tree_id"].to_numpy(dtype=np.int64)
         i = nodes["node_id"].to_numpy(dtype=np.int64)
+        flat = t * width + i
         leaf = nodes["is_leaf"].to_numpy(dtype=bool)
-        self.is_leaf[t, i] = leaf
-        self.feature[t[~leaf], i[~leaf]] = nodes["feature"].to_numpy()[~leaf].astype(np.int64)
-        self.split[t[~leaf], i[~leaf]] = nodes["split"].to_numpy()[~leaf].astype(np.float64)
-        self.units[t[leaf], i[leaf]] = nodes["path_units"].to_numpy()[leaf].astype(np.int64)
+        self.feature = np.zeros(size, dtype=np.int64)
+        self.split = np.full(size, np.nan, dtype=np.float64)
+        self.child = np.arange(size, dtype=np.int64)  # unused slots and leaves loop
+        self.units = np.zeros(size, dtype=np.int64)
+        inner = flat[~leaf]
+        self.feature[inner] = nodes["feature"].to_numpy()[~leaf].astype(np.int64)
+        self.split[inner] = nodes["split"].to_numpy()[~leaf].astype(np.float64)
+        self.child[inner] = t[~leaf] * width + 2 * i[~leaf]
+        self.units[flat[leaf]] = nodes["path_units"].to_numpy()[leaf].astype(np.int64)
 
     def path_units(self, x: np.ndarray) -> np.ndarray:
         """Sum over trees of leaf path units for each row of ``x`` (n x F)."""
-        n = x.shape[0]
-        trees = np.arange(self.num_trees)[None, :]
-        rows = np.arange(n)[:, None]
-        node = np.ones((n, self.num_trees), dtype=np.int64)
+        n, n_features = x.shape
+        xs = np.ascontiguousarray(x, dtype=np.float64).ravel()
+        row_base = (np.arange(n, dtype=np.int64) * n_features)[:, None]
+        idx = np.broadcast_to(
+            np.arange(self.num_trees, dtype=np.int64) * self.width + 1, (n, self.num_trees)
+        ).copy()
         for _ in range(self.max_depth):
-            leaf = self.is_leaf[trees, node]
-            if leaf.all():
-                break
-            value = x[rows, self.feature[trees, node]]
-            child = 2 * node + (value >= self.split[trees, node])
-            node = np.where(leaf, node, child)
-        return self.units[trees, node].sum(axis=1)
+            go = xs[row_base + self.feature[idx]] >= self.split[idx]
+            idx = self.child[idx] + go
+        return self.units[idx].sum(axis=1)

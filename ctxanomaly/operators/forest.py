@@ -190,7 +190,10 @@ def contamination_threshold(
     r = threshold_rank(n, cfg.contamination)
     # Score falls as path units grow: ascending-score rank r is
     # ascending-units rank n - r + 1.
-    units = value_at_rank(scored, "iforest_path_units", n - r + 1, 62)
+    # Upper bound of a row's summed path: every tree ends at depth
+    # max_depth in a leaf of at most max_samples rows.
+    bound = cfg.num_trees * int(math.ceil((cfg.max_depth + c_factor_py(cfg.max_samples)) * PATH_UNIT + 1))
+    units = value_at_rank(scored, "iforest_path_units", n - r + 1, bound.bit_length())
     score = 2.0 ** (-(units / PATH_UNIT / cfg.num_trees) / c_factor_py(cfg.max_samples))
     return score, units
 
