@@ -17,6 +17,7 @@ from ctxanomaly.operators.context import (
     ratio_features,
 )
 from ctxanomaly.operators.hourly import ensure_temporal
+from ctxanomaly.operators.records import fill_zero
 
 SECOND_FILTER_COLUMNS = (
     "total_passengers",
@@ -105,7 +106,7 @@ def context_features(
     }
     out = out.withColumns(signed)
     out = out.withColumns({f"abs_{k}": F.abs(F.col(k)) for k in signed})
-    return out.fillna(0.0, subset=list(FEATURES))
+    return fill_zero(out, FEATURES)
 
 
 def feature_moments(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
@@ -143,4 +144,4 @@ def standardize(
     scaled = {
         f"{c}{suffix}": (F.col(c) - F.lit(params[c][0])) / F.lit(params[c][1]) for c in cols
     }
-    return df.withColumns(scaled).fillna(0.0, subset=list(scaled))
+    return fill_zero(df.withColumns(scaled), scaled)

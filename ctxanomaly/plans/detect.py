@@ -24,7 +24,7 @@ from ctxanomaly.operators.forest import (
     with_row_key,
 )
 from ctxanomaly.operators.hourly import hourly_aggregate, with_temporal
-from ctxanomaly.operators.records import cast_records, valid_records, with_datetime
+from ctxanomaly.operators.records import cast_records, select_present, valid_records, with_datetime
 from ctxanomaly.operators.zscore import zscore
 from ctxanomaly.session import cut
 
@@ -110,8 +110,9 @@ def detect(
     clock.lap("features")
     nodes = fit(featured, cfg)
     clock.lap("fit")
-    scored = score_forest(featured, nodes, cfg).select(
-        *OUTPUT_COLUMNS, "iforest_path_units", "iforest_score"
+    scored = select_present(
+        score_forest(featured, nodes, cfg),
+        [*OUTPUT_COLUMNS, "iforest_path_units", "iforest_score"],
     )
     scored = cut(scored, "scored")
     clock.lap("score")
