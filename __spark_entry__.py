@@ -72,7 +72,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
     if not doubles:
         return df
-    return df.withColumns({c: F.round(F.col(c), digits) for c in doubles})
+    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in doubles})
 
 
 _DETECTIONS: dict[tuple[str, str], Detection] = {}

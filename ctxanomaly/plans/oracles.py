@@ -24,7 +24,8 @@ def h(*parts: str) -> str:
 
 
 def r(expr: str) -> str:
-    return f"round({expr}, {DIGITS})"
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's round never yields -0.0)
+    return f"(round({expr}, {DIGITS}) + 0.0)"
 
 
 def replace_round(cols: list[str]) -> str:
@@ -426,9 +427,9 @@ def summary_sql() -> str:
 from (select count(*) as total_rows,
   sum(zscore_anomaly)::bigint as zscore_anomaly_count,
   sum(iforest_anomaly)::bigint as iforest_anomaly_count,
-  count_if(zscore_anomaly = 1 and iforest_anomaly = 1) as both_methods_anomaly_count,
-  count_if(zscore_anomaly = 1 and iforest_anomaly = 0) as only_zscore_anomaly_count,
-  count_if(zscore_anomaly = 0 and iforest_anomaly = 1) as only_iforest_anomaly_count,
+  cast(count_if(zscore_anomaly = 1 and iforest_anomaly = 1) as bigint) as both_methods_anomaly_count,
+  cast(count_if(zscore_anomaly = 1 and iforest_anomaly = 0) as bigint) as only_zscore_anomaly_count,
+  cast(count_if(zscore_anomaly = 0 and iforest_anomaly = 1) as bigint) as only_iforest_anomaly_count,
   avg(iforest_score) as avg_iforest_score, max(iforest_score) as max_iforest_score,
   min(iforest_score) as min_iforest_score
   from l_flagged)"""
@@ -545,8 +546,8 @@ select 'cells' as stage, reason, count(*) as row_count from (
         zd,
     )
     sens = " union all ".join(
-        f"select {t} as threshold, count_if(abs(z_score) > {t}) as anomaly_count, "
-        f"count_if(abs(z_score) > {t})::double / count(*) as anomaly_rate from l_zscored"
+        f"select {t}::double as threshold, cast(count_if(abs(z_score) > {t}) as bigint) as anomaly_count, "
+        f"cast(count_if(abs(z_score) > {t}) as bigint)::double / count(*) as anomaly_rate from l_zscored"
         for t in SENSITIVITY_THRESHOLDS
     )
     q["threshold_sensitivity"] = final(lz, sens, ["anomaly_rate"])
@@ -567,14 +568,14 @@ select 'cells' as stage, reason, count(*) as row_count from (
     )
     q["overall_ratio"] = final(
         lz,
-        "select count(*) as total_rows, count_if(is_anomaly) as total_anomalies, "
-        "coalesce(count_if(is_anomaly)::double / nullif(count(*), 0), 0.0) as anomaly_ratio from l_zscored",
+        "select count(*) as total_rows, cast(count_if(is_anomaly) as bigint) as total_anomalies, "
+        "coalesce(cast(count_if(is_anomaly) as bigint)::double / nullif(count(*), 0), 0.0) as anomaly_ratio from l_zscored",
         ["anomaly_ratio"],
     )
     ds = (
         "(select count(*)::double as total_rows, 15.0::double as total_columns, "
-        "count_if(is_anomaly)::double as total_anomalies, "
-        "coalesce(count_if(is_anomaly)::double / nullif(count(*), 0), 0.0) as anomaly_ratio from l_zscored)"
+        "cast(count_if(is_anomaly) as bigint)::double as total_anomalies, "
+        "coalesce(cast(count_if(is_anomaly) as bigint)::double / nullif(count(*), 0), 0.0) as anomaly_ratio from l_zscored)"
     )
     q["dataset_summary"] = final(
         lz,
