@@ -78,12 +78,14 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 _DETECTIONS: dict[tuple[str, str], Detection] = {}
 
 
-def detection(spark: SparkSession, sf_dir: str) -> Detection:
-    """Detection over F2, memoised per session and table folder: the forest
-    reports all read the same written cut (one scoring pass)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+def detection(spark: SparkSession, sf_dir: str, mapping: str = "lineitem") -> Detection:
+    """Detection over F2 (or F1 with ``mapping="events"``), memoised per
+    session and table folder: the forest reports all read the same written
+    cut (one scoring pass)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), mapping)
     if key not in _DETECTIONS:
-        _DETECTIONS[key] = detect(raw_lineitem(spark, sf_dir), CFG)
+        raw = raw_lineitem(spark, sf_dir) if mapping == "lineitem" else raw_events(spark, sf_dir)
+        _DETECTIONS[key] = detect(raw, CFG)
     return _DETECTIONS[key]
 
 
@@ -385,6 +387,16 @@ def q_method_summary(spark, sf):
     return R.method_summary(detection(spark, sf).scored)
 
 
+def q_method_summary_events(spark, sf):
+    return R.method_summary(detection(spark, sf, "events").scored)
+
+
+def q_iforest_flags_events(spark, sf):
+    return detection(spark, sf, "events").scored.select(
+        *KEYS, "zscore_anomaly", "iforest_path_units", "iforest_score", "iforest_anomaly"
+    )
+
+
 def q_method_by_month(spark, sf):
     return R.method_by(detection(spark, sf).scored, "month")
 

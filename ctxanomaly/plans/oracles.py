@@ -378,6 +378,14 @@ def with_ctes(*fragments: str) -> str:
 
 
 EVENTS = with_ctes(RAW_EVENTS, record_chain("raw_events", "e_"), z_chain("e_"), feature_chain("e_"))
+EVENTS_FOREST = with_ctes(
+    RAW_EVENTS,
+    record_chain("raw_events", "e_"),
+    z_chain("e_"),
+    feature_chain("e_"),
+    scale_chain("e_"),
+    forest_chain("e_"),
+)
 LINEITEM_Z = with_ctes(RAW_LINEITEM, record_chain("raw_lineitem", "l_"), z_chain("l_"))
 LINEITEM_F = with_ctes(
     RAW_LINEITEM, record_chain("raw_lineitem", "l_"), z_chain("l_"), feature_chain("l_"), scale_chain("l_")
@@ -415,7 +423,7 @@ def method_rates(src: str) -> str:
     )
 
 
-def summary_sql() -> str:
+def summary_sql(src: str = "l_flagged") -> str:
     return f"""select *,
   zscore_anomaly_count::double / total_rows as zscore_anomaly_rate,
   iforest_anomaly_count::double / total_rows as iforest_anomaly_rate,
@@ -432,7 +440,7 @@ from (select count(*) as total_rows,
   cast(count_if(zscore_anomaly = 0 and iforest_anomaly = 1) as bigint) as only_iforest_anomaly_count,
   avg(iforest_score) as avg_iforest_score, max(iforest_score) as max_iforest_score,
   min(iforest_score) as min_iforest_score
-  from l_flagged)"""
+  from {src})"""
 
 
 SUMMARY_DOUBLES = [
@@ -673,6 +681,12 @@ select 'cells' as stage, reason, count(*) as row_count from (
         ["iforest_score"],
     )
     q["method_summary"] = final(lt, summary_sql(), SUMMARY_DOUBLES)
+    q["method_summary_events"] = final(EVENTS_FOREST, summary_sql("e_flagged"), SUMMARY_DOUBLES)
+    q["iforest_flags_events"] = final(
+        EVENTS_FOREST,
+        f"select {KEYS}, zscore_anomaly, iforest_path_units, iforest_score, iforest_anomaly from e_flagged",
+        ["iforest_score"],
+    )
     by_month = method_rates(f"select month, {method_aggs()} from l_flagged group by month")
     by_line = method_rates(f"select line, {method_aggs()} from l_flagged group by line")
     q["method_by_month"] = final(lt, by_month, METHOD_DOUBLES)

@@ -43,7 +43,17 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+# At sf0.001 the events mapping leaves 21 cells in contexts of >= 5: too
+# few to train on, which is an error by design (checked below).
+EVENTS_FOREST = {"method_summary_events", "iforest_flags_events"}
+
+
+def test_events_forest_needs_enough_rows(spark):
+    with pytest.raises(ValueError, match="training pool"):
+        E.queries()["method_summary_events"](spark, SF001)
+
+
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - EVENTS_FOREST))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     s_cols = df.columns
