@@ -131,3 +131,22 @@ def test_scoring_udf_runs_once(detection001):
 
 def test_path_unit_scale():
     assert PATH_UNIT == 10**9
+
+
+def test_approx_threshold_is_close_to_exact(detection001):
+    from dataclasses import replace
+
+    from ctxanomaly.operators.forest import contamination_threshold, flag_ge
+
+    scored = detection001.scored.drop("iforest_anomaly", "iforest_prediction")
+    cfg = replace(DetectConfig(), threshold_mode="approx")
+    thr = contamination_threshold(scored, cfg)
+    assert thr[1] is None
+    n = scored.count()
+    r = threshold_rank(n, cfg.contamination)
+    slack = cfg.quantile_rel_error * n + 1
+    below = scored.filter(f"iforest_score < {thr[0]!r}").count()
+    at_most = scored.filter(f"iforest_score <= {thr[0]!r}").count()
+    # approxQuantile's guarantee: the returned value's rank is within rel_error * n
+    assert below <= r + slack and at_most >= r - slack
+    assert flag_ge(scored, thr).filter("iforest_anomaly = 1").count() == n - below
