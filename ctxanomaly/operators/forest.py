@@ -131,14 +131,20 @@ def fit(
     return nodes.toPandas()
 
 
-def score_units_udf(arrays_bc, n_features: int):
-    """Arrow iterator UDF: summed leaf path units over all trees."""
+def score_units_udf(arrays_bc, n_features: int, counter=None):
+    """Arrow iterator UDF: summed leaf path units over all trees.
+
+    ``counter``: optional accumulator receiving the number of rows scored
+    (to measure how often the scorer runs).
+    """
 
     @F.pandas_udf("long")
     def path_units(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         forest: ForestArrays = arrays_bc.value
         for cols in batches:
             x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=0.0) for c in cols])
+            if counter is not None:
+                counter.add(len(x))
             yield pd.Series(forest.path_units(np.nan_to_num(x, nan=0.0)))
 
     return path_units
@@ -158,11 +164,12 @@ def score_forest(
     nodes: pd.DataFrame,
     cfg: DetectConfig = DetectConfig(),
     features: Sequence[str] = SCALED_FEATURES,
+    counter=None,
 ) -> DataFrame:
     """Add ``iforest_path_units`` and ``iforest_score``."""
     arrays = ForestArrays(nodes, cfg.num_trees, cfg.max_depth)
     bc = df.sparkSession.sparkContext.broadcast(arrays)
-    udf = score_units_udf(bc, len(features))
+    udf = score_units_udf(bc, len(features), counter)
     out = df.withColumn("iforest_path_units", udf(*[F.col(c) for c in features]))
     return out.withColumn("iforest_score", score_expr("iforest_path_units", cfg))
 

@@ -93,10 +93,12 @@ def detect(
     raw: DataFrame,
     cfg: DetectConfig = DetectConfig(),
     timings: dict[str, float] | None = None,
+    score_counter=None,
 ) -> Detection:
     """Run both methods over raw records and return every stage.
 
-    ``timings``, when given, receives wall seconds per stage.
+    ``timings``, when given, receives wall seconds per stage;
+    ``score_counter`` (an accumulator) the number of rows the scorer saw.
     """
     clock = _Clock(timings)
     hourly = cut(hourly_cells(raw), "hourly")
@@ -111,7 +113,7 @@ def detect(
     nodes = fit(featured, cfg)
     clock.lap("fit")
     scored = select_present(
-        score_forest(featured, nodes, cfg),
+        score_forest(featured, nodes, cfg, counter=score_counter),
         [*OUTPUT_COLUMNS, "iforest_path_units", "iforest_score"],
     )
     scored = cut(scored, "scored")
