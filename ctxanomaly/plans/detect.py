@@ -107,7 +107,10 @@ def detect(
     clock.lap("zscore")
     # Unscaled features are written once; scaling is a cheap projection
     # applied where the scaled values are read (pool and scoring).
-    feats = cut(featured_cells(zscored, cfg), "featured")
+    feats = cut(
+        select_present(featured_cells(zscored, cfg), [*OUTPUT_COLUMNS, "row_key", "h_pool"]),
+        "featured",
+    )
     featured = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
     clock.lap("features")
     nodes = fit(featured, cfg)
