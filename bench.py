@@ -53,7 +53,7 @@ def main() -> None:
     R.method_summary(scored).collect()
     R.method_by(scored, "month").collect()
     R.method_by(scored, "line").collect()
-    R.method_cube(scored).collect()
+    R.top_rate(d.zscored, "line", 5).collect()
     R.threshold_sensitivity(d.zscored).collect()
     R.rate_by(d.zscored, "month").collect()
     stages["reports"] = round(time.perf_counter() - t1, 3)

@@ -78,7 +78,9 @@ def tree_samples(pool: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFra
     before the shuffle.  Features are attached afterwards from the pool,
     which is bounded by ``cfg.pool_size`` rows and therefore broadcast.
     """
-    parallelism = max(1, pool.sparkSession.sparkContext.defaultParallelism)
+    # ~50k exploded rows per task: enough work per task on any cluster size.
+    wanted = math.ceil(cfg.pool_size * cfg.num_trees / 50_000)
+    parallelism = max(1, min(pool.sparkSession.sparkContext.defaultParallelism, wanted))
     ranked = (
         pool.select("row_key")
         .repartition(parallelism)

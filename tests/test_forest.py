@@ -150,3 +150,25 @@ def test_approx_threshold_is_close_to_exact(detection001):
     # approxQuantile's guarantee: the returned value's rank is within rel_error * n
     assert below <= r + slack and at_most >= r - slack
     assert flag_ge(scored, thr).filter("iforest_anomaly = 1").count() == n - below
+
+
+def test_forest_ignores_shuffle_partitioning(spark, detection001):
+    from ctxanomaly.plans.detect import detect
+    from ctxanomaly.sources import raw_lineitem
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        other = detect(raw_lineitem(spark, SF001).coalesce(1))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    key = ["tree_id", "node_id"]
+    pd.testing.assert_frame_equal(
+        detection001.nodes.sort_values(key).reset_index(drop=True),
+        other.nodes.sort_values(key).reset_index(drop=True),
+    )
+    assert detection001.threshold == other.threshold
+    cols = ["datetime", "line", "line_name", "town", "iforest_path_units", "iforest_anomaly", "zscore_anomaly"]
+    assert {tuple(r) for r in detection001.scored.select(*cols).collect()} == {
+        tuple(r) for r in other.scored.select(*cols).collect()
+    }
