@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ctxanomaly.config import FEATURES, SCALED_FEATURES, DetectConfig  # noqa: E402
+from ctxanomaly.config import SCALED_FEATURES, DetectConfig  # noqa: E402
 from ctxanomaly.functions.expressions import c_factor  # noqa: E402
 from ctxanomaly.operators import reports as R  # noqa: E402
 from ctxanomaly.operators.context import (  # noqa: E402
@@ -45,7 +45,7 @@ from ctxanomaly.operators.forest import (  # noqa: E402
     training_pool,
     tree_samples,
 )
-from ctxanomaly.operators.hourly import ensure_temporal, hourly_aggregate, with_temporal  # noqa: E402
+from ctxanomaly.operators.hourly import ensure_temporal, hourly_aggregate  # noqa: E402
 from ctxanomaly.operators.records import (  # noqa: E402
     anomalies,
     cast_records,
@@ -53,7 +53,7 @@ from ctxanomaly.operators.records import (  # noqa: E402
     with_datetime,
 )
 from ctxanomaly.operators.zscore import top_by_abs, zscore  # noqa: E402
-from ctxanomaly.plans.detect import OUTPUT_COLUMNS, Detection, detect, featured_cells, hourly_cells  # noqa: E402
+from ctxanomaly.plans.detect import OUTPUT_COLUMNS, Detection, detect, hourly_cells  # noqa: E402
 from ctxanomaly.plans.oracles import sql_queries  # noqa: E402
 from ctxanomaly.session import checkpoint_root, cut  # noqa: E402
 from ctxanomaly.sources import coerce_datetime, merge_parts, profile, raw_events, raw_lineitem, read_records  # noqa: E402
@@ -75,7 +75,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in doubles})
 
 
-_DETECTIONS: dict[tuple[str, str], Detection] = {}
+_DETECTIONS: dict[tuple[str, str, str], Detection] = {}
 
 
 def detection(spark: SparkSession, sf_dir: str, mapping: str = "lineitem") -> Detection:
@@ -108,10 +108,6 @@ def _l_ratios(spark, sf):
     return ratio_features(forest_input(_lz(spark, sf)))
 
 
-def _l_featured(spark, sf):
-    return featured_cells(_lz(spark, sf), CFG)
-
-
 # --- queries --------------------------------------------------------------------
 
 

@@ -8,10 +8,15 @@ from dataclasses import dataclass
 # leave-one-out epsilon 1e-6, Euler's gamma 0.5772156649, z threshold 3.0
 # (strict), minimum context size 5, contamination 0.011448, 50 trees,
 # 256 samples per tree, training pool of 50,000 rows, seed 42, at least
-# 100 training rows, z-score sensitivity thresholds 2.0, 2.5, 3.0.
+# 100 training rows, z-score sensitivity thresholds 2.0, 2.5, 3.0; report
+# labels of the two methods, of the overlap categories and of the dataset
+# summary properties.
 EPS = 1e-6
 EULER_GAMMA = 0.5772156649
 SENSITIVITY_THRESHOLDS = (2.0, 2.5, 3.0)
+METHOD_LABELS = {"zscore": "Z-score", "iforest": "Contextual Isolation Forest"}
+OVERLAP_LABELS = ("Detected by Both", "Only Z-score", "Only Contextual Isolation Forest")
+SUMMARY_PROPERTIES = ("Total rows", "Total columns", "Anomaly count", "Anomaly ratio")
 
 # Column names of the hourly fact and its context.
 HOURLY_KEYS = ("datetime", "line", "line_name", "town")

@@ -8,16 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctxanomaly.config import SENSITIVITY_THRESHOLDS
+from ctxanomaly.config import METHOD_LABELS, OVERLAP_LABELS, SENSITIVITY_THRESHOLDS, SUMMARY_PROPERTIES
 from ctxanomaly.functions.expressions import finite_nonneg, rate
 
 Z = "zscore_anomaly"
 IF = "iforest_anomaly"
 SCORE = "iforest_score"
 
-# Fixed display labels of the two methods and of the overlap categories.
-METHOD_LABELS = {"zscore": "Z-score", "iforest": "Contextual Isolation Forest"}
-OVERLAP_LABELS = ("Detected by Both", "Only Z-score", "Only Contextual Isolation Forest")
 
 
 def _flag(c: str) -> Column:
@@ -159,12 +156,7 @@ def overall_ratio(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
 def dataset_summary(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
     """Property / value rows: total rows, columns, anomaly count and ratio."""
     wide = overall_ratio(df, flag).withColumn("total_columns", F.lit(len(df.columns)))
-    props = [
-        ("Total rows", "total_rows"),
-        ("Total columns", "total_columns"),
-        ("Anomaly count", "total_anomalies"),
-        ("Anomaly ratio", "anomaly_ratio"),
-    ]
+    props = list(zip(SUMMARY_PROPERTIES, ("total_rows", "total_columns", "total_anomalies", "anomaly_ratio")))
     rows = F.array(
         *[
             F.struct(F.lit(p).alias("property"), F.col(c).cast("double").alias("value"))

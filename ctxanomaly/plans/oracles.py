@@ -8,8 +8,16 @@ decimals in the final projections of both engines.
 
 from __future__ import annotations
 
-from ctxanomaly.config import EPS, EULER_GAMMA, FEATURES, SENSITIVITY_THRESHOLDS, DetectConfig
-from ctxanomaly.operators.reports import METHOD_LABELS, OVERLAP_LABELS
+from ctxanomaly.config import (
+    EPS,
+    EULER_GAMMA,
+    FEATURES,
+    METHOD_LABELS,
+    OVERLAP_LABELS,
+    SENSITIVITY_THRESHOLDS,
+    SUMMARY_PROPERTIES,
+    DetectConfig,
+)
 
 CFG = DetectConfig()
 SEP = "chr(31)"
@@ -589,11 +597,8 @@ select 'cells' as stage, reason, count(*) as row_count from (
         lz,
         " union all ".join(
             f"select '{label}' as property, {col} as value from {ds}"
-            for label, col in (
-                ("Total rows", "total_rows"),
-                ("Total columns", "total_columns"),
-                ("Anomaly count", "total_anomalies"),
-                ("Anomaly ratio", "anomaly_ratio"),
+            for label, col in zip(
+                SUMMARY_PROPERTIES, ("total_rows", "total_columns", "total_anomalies", "anomaly_ratio")
             )
         ),
         ["value"],

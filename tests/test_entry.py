@@ -1,8 +1,6 @@
 """Driver contract and the SQL oracle at sf0.001 (every registered query)."""
 
 import datetime as dt
-import math
-import os
 
 import duckdb
 import pytest
