@@ -41,10 +41,10 @@ def merge_parts(spark: SparkSession, path: str, fmt: str = "csv", schema=None) -
 
 
 def coerce_datetime(df: DataFrame, col: str = "datetime") -> DataFrame:
-    """Text or typed datetime column to ``timestamp_ntz``; bad values -> null."""
-    dtype = dict(df.dtypes).get(col)
-    if dtype == "string":
-        return df.withColumn(col, F.try_to_timestamp(F.col(col)).cast("timestamp_ntz"))
+    """Text or typed datetime column to ``timestamp_ntz``; bad values -> null.
+
+    Text is read as wall-clock time (no session time zone involved).
+    """
     return df.withColumn(col, F.col(col).try_cast("timestamp_ntz"))
 
 

@@ -80,3 +80,21 @@ def test_ensure_temporal_names_missing_source(spark):
     df = spark.createDataFrame([(1,)], "x int")
     with pytest.raises(ValueError, match="datetime"):
         ensure_temporal(df)
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from ctxanomaly.sources import raw_events
+
+    from conftest import SF001
+
+    def cells():
+        return {tuple(r) for r in hourly_cells(raw_events(spark, SF001)).collect()}
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    base = cells()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        shifted = cells()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert base == shifted
