@@ -58,3 +58,19 @@ def test_stats_join_is_broadcast_when_small(spark):
     rows = [(week(i), "A", 5, 2, float(i)) for i in range(20)]
     plan = zscore(cells(spark, rows))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_large_stats_fall_back_to_shuffle_join(spark):
+    rows = [(week(i), "A" if i % 2 else "B", 5, 2, float(i * i % 17)) for i in range(40)]
+    df = cells(spark, rows)
+    expected = sorted(tuple(r) for r in zscore(df).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = zscore(df)
+        p = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+    assert got == expected
