@@ -31,7 +31,7 @@ from ctxanomaly.functions.expressions import HASH_BITS, c_factor_py, hash_int, r
 from ctxanomaly.functions.isotree import ForestArrays, grow_trees_pdf
 from ctxanomaly.operators.quantile import rank_bucket, value_at_rank
 from ctxanomaly.schema import NODES, PATH_UNIT
-from ctxanomaly.session import cut
+from ctxanomaly.session import cut, ship_package
 
 
 def with_row_key(df: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
@@ -107,6 +107,7 @@ def fit_forest(
     """Node table of the forest, one ``applyInPandas`` group per tree."""
     feats = list(features)
     seed, depth = cfg.seed, cfg.max_depth
+    ship_package(samples.sparkSession)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         return grow_trees_pdf(pdf, feats, seed, depth)
@@ -169,6 +170,7 @@ def score_forest(
     counter=None,
 ) -> DataFrame:
     """Add ``iforest_path_units`` and ``iforest_score``."""
+    ship_package(df.sparkSession)
     arrays = ForestArrays(nodes, cfg.num_trees, cfg.max_depth)
     bc = df.sparkSession.sparkContext.broadcast(arrays)
     udf = score_units_udf(bc, len(features), counter)

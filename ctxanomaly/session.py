@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,3 +76,31 @@ def sized_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     if n * _row_bytes(df.schema) <= limit:
         return F.broadcast(df)
     return df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ctxanomaly`` importable in the Python workers.
+
+    The tree grower and the scorer run in Python workers, which import this
+    package.  When it is not installed on the executors (no ``--py-files``
+    or wheel), the driver zips the package once per application and adds
+    it with ``addPyFile``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    target = os.path.join(tempfile.mkdtemp(prefix="ctxanomaly-pyfiles-"), "ctxanomaly.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    zf.write(path, os.path.relpath(path, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
