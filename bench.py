@@ -50,7 +50,7 @@ def main() -> None:
     d = detect(raw_lineitem(spark, sf_dir), timings=stages, score_counter=scored_rows_seen)
     t1 = time.perf_counter()
     scored = d.scored
-    R.method_summary(scored).collect()
+    summary = R.method_summary(scored).collect()[0]
     R.method_by(scored, "month").collect()
     R.method_by(scored, "line").collect()
     R.top_rate(d.zscored, "line", 5).collect()
@@ -71,6 +71,15 @@ def main() -> None:
                 "scoring_passes": round(scored_rows_seen.value / max(n_scored, 1), 3),
                 "warmup_sec": round(warmup, 3),
                 "scored_rows": n_scored,
+                # result volumes, in the shape of the published baseline table
+                "volumes": {
+                    "hourly_rows": d.hourly.count(),
+                    "compared_rows": summary["total_rows"],
+                    "zscore_anomalies": summary["zscore_anomaly_count"],
+                    "iforest_anomalies": summary["iforest_anomaly_count"],
+                    "both_methods": summary["both_methods_anomaly_count"],
+                    "iforest_threshold_score": round(d.threshold[0], 6),
+                },
                 "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
             }
         )
