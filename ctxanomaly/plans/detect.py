@@ -51,7 +51,7 @@ OUTPUT_COLUMNS = (
 @dataclass
 class Detection:
     cfg: DetectConfig
-    hourly: DataFrame
+    hourly: DataFrame | None
     zscored: DataFrame
     featured: DataFrame
     nodes: pd.DataFrame
@@ -103,8 +103,36 @@ def detect(
     clock = _Clock(timings)
     hourly = cut(hourly_cells(raw), "hourly")
     clock.lap("hourly")
+    return detect_cells(hourly, cfg, clock, score_counter)
+
+
+def detect_cells(
+    hourly: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    clock: _Clock | None = None,
+    score_counter=None,
+) -> Detection:
+    """Both methods starting from hourly cells (e.g. a stage written earlier)."""
+    clock = clock or _Clock(None)
     zscored = cut(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold), "zscored")
     clock.lap("zscore")
+    d = detect_forest(zscored, cfg, clock, score_counter)
+    d.hourly = hourly
+    return d
+
+
+def detect_forest(
+    zscored: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    clock: _Clock | None = None,
+    score_counter=None,
+) -> Detection:
+    """The forest and the flags, starting from z-scored cells.
+
+    The z-score label may be boolean, 0/1 or text, and missing temporal
+    columns are derived from ``datetime`` (see ``forest_input``).
+    """
+    clock = clock or _Clock(None)
     # Unscaled features are written once; scaling is a cheap projection
     # applied where the scaled values are read (pool and scoring).
     feats = cut(
@@ -123,4 +151,4 @@ def detect(
     clock.lap("score")
     threshold = contamination_threshold(scored, cfg)
     clock.lap("threshold")
-    return Detection(cfg, hourly, zscored, featured, nodes, flag_ge(scored, threshold), threshold)
+    return Detection(cfg, None, zscored, featured, nodes, flag_ge(scored, threshold), threshold)

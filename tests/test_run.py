@@ -31,3 +31,19 @@ def test_empty_input_is_an_explicit_error(spark):
     empty = raw_lineitem(spark, SF001).limit(0)
     with pytest.raises(ValueError):
         detect(empty)
+
+
+def test_forest_job_from_a_written_zscore_table(spark, detection001):
+    """The forest stage can start from a z-score table written as CSV text."""
+    from ctxanomaly.plans.detect import detect_forest
+    from ctxanomaly.sources import read_stage
+
+    path = f"{checkpoint_root(spark)}/tests/{uuid.uuid4().hex}/zscore_csv"
+    zs = detection001.zscored.drop("month", "is_weekend")  # derived again from datetime
+    write_stage(zs, path, fmt="csv")
+    back = read_stage(spark, path, fmt="csv", schema=zs.schema)
+    d = detect_forest(back)
+    cols = ["datetime", "line", "line_name", "town", "iforest_anomaly", "zscore_anomaly"]
+    assert {tuple(r) for r in d.scored.select(*cols).collect()} == {
+        tuple(r) for r in detection001.scored.select(*cols).collect()
+    }
