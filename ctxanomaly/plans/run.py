@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ctxanomaly.config import DetectConfig
 from ctxanomaly.operators import reports as R
-from ctxanomaly.plans.detect import detect
-from ctxanomaly.sources import read_records, write_report, write_stage
+from ctxanomaly.plans.detect import _Clock, detect, detect_cells, detect_forest
+from ctxanomaly.sources import read_records, read_stage, write_report, write_stage
 
 
 def reports(d) -> dict[str, DataFrame]:
@@ -46,14 +46,31 @@ def run(
     output: str,
     cfg: DetectConfig = DetectConfig(),
     input_format: str = "csv",
+    from_stage: str = "raw",
 ) -> dict[str, float]:
-    """Detect over the raw records at ``input_path`` and write every output."""
-    raw = read_records(spark, input_path) if input_format == "csv" else spark.read.format(input_format).load(input_path)
+    """Detect over the table at ``input_path`` and write every output.
+
+    ``from_stage``: "raw" records (default), "hourly" cells or "zscore"
+    results written by an earlier run (or by another tool with the same
+    columns).
+    """
     timings: dict[str, float] = {}
-    d = detect(raw, cfg, timings=timings)
+    if from_stage == "raw":
+        raw = read_records(spark, input_path) if input_format == "csv" else spark.read.format(input_format).load(input_path)
+        d = detect(raw, cfg, timings=timings)
+    else:
+        table = read_stage(spark, input_path, fmt=input_format)
+        if from_stage == "hourly":
+            d = detect_cells(table, cfg, _Clock(timings))
+        elif from_stage == "zscore":
+            d = detect_forest(table, cfg, _Clock(timings))
+        else:
+            raise ValueError(f"unknown stage {from_stage!r}")
     out = output.rstrip("/")
-    write_stage(d.hourly, f"{out}/hourly", partition_by=("month",))
-    write_stage(d.zscored, f"{out}/zscore", partition_by=("month",))
+    if d.hourly is not None and from_stage == "raw":
+        write_stage(d.hourly, f"{out}/hourly", partition_by=("month",))
+    if from_stage != "zscore":
+        write_stage(d.zscored, f"{out}/zscore", partition_by=("month",))
     write_stage(d.scored, f"{out}/scored", partition_by=("month",))
     for name, df in reports(d).items():
         write_report(df, f"{out}/{name}")
@@ -65,6 +82,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--input", required=True, help="raw records (glob for CSV)")
     ap.add_argument("--output", required=True, help="output folder")
     ap.add_argument("--format", default="csv", help="input format: csv (default) or parquet")
+    ap.add_argument(
+        "--from-stage",
+        default="raw",
+        choices=["raw", "hourly", "zscore"],
+        help="what the input holds: raw records, hourly cells or z-score results",
+    )
     ap.add_argument("--threshold-mode", default="exact", choices=["exact", "approx"])
     ap.add_argument("--z-threshold", type=float, default=3.0)
     ap.add_argument("--contamination", type=float, default=0.011448)
@@ -76,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
         contamination=args.contamination,
     )
     spark = SparkSession.builder.appName("ctxanomaly").getOrCreate()
-    print(json.dumps(run(spark, args.input, args.output, cfg, args.format)))
+    print(json.dumps(run(spark, args.input, args.output, cfg, args.format, args.from_stage)))
 
 
 if __name__ == "__main__":

@@ -47,3 +47,11 @@ def test_forest_job_from_a_written_zscore_table(spark, detection001):
     assert {tuple(r) for r in d.scored.select(*cols).collect()} == {
         tuple(r) for r in detection001.scored.select(*cols).collect()
     }
+
+
+def test_run_from_zscore_stage(spark, detection001):
+    base = f"{checkpoint_root(spark)}/tests/{uuid.uuid4().hex}"
+    write_stage(detection001.zscored, f"{base}/zscore_in")
+    run(spark, f"{base}/zscore_in", f"{base}/out", input_format="parquet", from_stage="zscore")
+    names = set(os.listdir(f"{base}/out"))
+    assert "scored" in names and "hourly" not in names and "method_by_line" in names
