@@ -59,7 +59,9 @@ def training_pool(
     total = keyed.count()
     if total == 0:
         raise ValueError("no rows to train on")
-    take = min(cfg.pool_size, total)
+    if total <= cfg.pool_size:
+        return keyed  # every row is in the pool; no ranking needed
+    take = cfg.pool_size
     bucket = rank_bucket(keyed, "h_pool", take, HASH_BITS)
     pool = (
         keyed.filter(F.col("h_pool") < F.lit(bucket.hi))
