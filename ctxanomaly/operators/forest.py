@@ -31,7 +31,7 @@ from ctxanomaly.functions.expressions import HASH_BITS, c_factor_py, hash_int, r
 from ctxanomaly.functions.isotree import ForestArrays, grow_trees_pdf
 from ctxanomaly.operators.quantile import rank_bucket, value_at_rank
 from ctxanomaly.schema import NODES, PATH_UNIT
-from ctxanomaly.session import cut, ship_package
+from ctxanomaly.session import cut, ship_package, sized_broadcast
 
 
 def with_row_key(df: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
@@ -78,7 +78,8 @@ def tree_samples(pool: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFra
     Only narrow (row_key, tree_id, hash) rows are ranked, spread over all
     cores; WindowGroupLimit keeps max_samples per tree and map partition
     before the shuffle.  Features are attached afterwards from the pool,
-    which is bounded by ``cfg.pool_size`` rows and therefore broadcast.
+    bounded by ``cfg.pool_size`` rows and broadcast when that fits the
+    session's broadcast threshold (pass a cut pool: it is counted).
     """
     # ~50k exploded rows per task: enough work per task on any cluster size.
     wanted = math.ceil(cfg.pool_size * cfg.num_trees / 50_000)
@@ -98,7 +99,7 @@ def tree_samples(pool: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFra
         .filter(F.col("rn") <= F.lit(cfg.max_samples))
         .drop("rn")
     )
-    return chosen.join(F.broadcast(pool), "row_key")
+    return chosen.join(sized_broadcast(pool), "row_key")
 
 
 def fit_forest(
