@@ -87,42 +87,45 @@ def grow_trees_pdf(
 
 
 class ForestArrays:
-    """Dense heap arrays of a node table, for vectorised descent.
-
-    Nodes of tree t live at flat index t * width + node_id.  A leaf loops
-    onto itself: its split is NaN (``x >= NaN`` is false) and its child
-    base is its own index, so every row takes exactly max_depth steps
-    without a leaf mask.
+    """Compact node arrays of a forest, for vectorised descent.
+
+    Nodes are stored in (tree, heap id) order, one slot per node, so the
+    size is bounded by trees x (2 max_samples - 1) whatever the depth.  The
+    two children 2i and 2i+1 of a node are adjacent in that order: the
+    right child sits right after the left one.  A leaf loops onto itself:
+    its split is NaN (``x >= NaN`` is false) and its child is its own slot,
+    so every row takes exactly max_depth steps without a leaf mask.
     """
 
     def __init__(self, nodes: pd.DataFrame, num_trees: int, max_depth: int):
-        width = 1 << (max_depth + 1)
         self.num_trees = num_trees
         self.max_depth = max_depth
-        self.width = width
-        size = num_trees * width
+        width = 1 << (max_depth + 1)  # heap ids of one tree are < width
         t = nodes["tree_id"].to_numpy(dtype=np.int64)
         i = nodes["node_id"].to_numpy(dtype=np.int64)
-        flat = t * width + i
-        leaf = nodes["is_leaf"].to_numpy(dtype=bool)
+        keys = t * width + i
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        leaf = nodes["is_leaf"].to_numpy(dtype=bool)[order]
+        inner = ~leaf
+        size = len(keys)
         self.feature = np.zeros(size, dtype=np.int64)
         self.split = np.full(size, np.nan, dtype=np.float64)
-        self.child = np.arange(size, dtype=np.int64)  # unused slots and leaves loop
+        self.child = np.arange(size, dtype=np.int64)
         self.units = np.zeros(size, dtype=np.int64)
-        inner = flat[~leaf]
-        self.feature[inner] = nodes["feature"].to_numpy()[~leaf].astype(np.int64)
-        self.split[inner] = nodes["split"].to_numpy()[~leaf].astype(np.float64)
-        self.child[inner] = t[~leaf] * width + 2 * i[~leaf]
-        self.units[flat[leaf]] = nodes["path_units"].to_numpy()[leaf].astype(np.int64)
+        self.feature[inner] = nodes["feature"].to_numpy()[order][inner].astype(np.int64)
+        self.split[inner] = nodes["split"].to_numpy()[order][inner].astype(np.float64)
+        left_keys = (keys[inner] // width) * width + 2 * (keys[inner] % width)
+        self.child[inner] = np.searchsorted(keys, left_keys)
+        self.units[leaf] = nodes["path_units"].to_numpy()[order][leaf].astype(np.int64)
+        self.roots = np.searchsorted(keys, np.arange(num_trees, dtype=np.int64) * width + 1)
 
     def path_units(self, x: np.ndarray) -> np.ndarray:
         """Sum over trees of leaf path units for each row of ``x`` (n x F)."""
         n, n_features = x.shape
         xs = np.ascontiguousarray(x, dtype=np.float64).ravel()
         row_base = (np.arange(n, dtype=np.int64) * n_features)[:, None]
-        idx = np.broadcast_to(
-            np.arange(self.num_trees, dtype=np.int64) * self.width + 1, (n, self.num_trees)
-        ).copy()
+        idx = np.broadcast_to(self.roots, (n, self.num_trees)).copy()
         for _ in range(self.max_depth):
             go = xs[row_base + self.feature[idx]] >= self.split[idx]
             idx = self.child[idx] + go
