@@ -7,8 +7,8 @@
   hash(seed, "tree", tree, row key);
 * fit: ``groupBy(tree_id).applyInPandas`` grows the trees in parallel (one
   bounded group per tree) into a node table;
-* score: an Arrow iterator UDF walks the dense node arrays (bounded by
-  trees x 2^(depth+1)) and returns the summed leaf path length in integer
+* score: an Arrow iterator UDF walks compact node arrays (bounded by
+  trees x (2 max_samples - 1) nodes) and returns the summed leaf path length in integer
   units; the score 2^(-avg_path / c(max_samples)) is a JVM expression;
 * threshold: exact rank ceil((1 - contamination) N) of the score, or the
   original approxQuantile; flag = score >= threshold (ties flagged).
