@@ -53,6 +53,13 @@ def training_pool(
     ``df`` needs ``row_key`` and the feature columns.  The exact rank search
     bounds what reaches the final ordering by pool_size + 100,000 rows.
     """
+    return _training_pool(df, cfg, features)[0]
+
+
+def _training_pool(
+    df: DataFrame, cfg: DetectConfig, features: Sequence[str]
+) -> tuple[DataFrame, int]:
+    """:func:`training_pool` and its row count (min(pool_size, rows))."""
     if "h_pool" not in df.columns:
         df = with_pool_hash(df, cfg)
     keyed = df.select("row_key", "h_pool", *features)
@@ -60,7 +67,7 @@ def training_pool(
     if total == 0:
         raise ValueError("no rows to train on")
     if total <= cfg.pool_size:
-        return keyed  # every row is in the pool; no ranking needed
+        return keyed, total  # every row is in the pool; no ranking needed
     take = cfg.pool_size
     bucket = rank_bucket(keyed, "h_pool", take, HASH_BITS)
     pool = (
@@ -68,10 +75,12 @@ def training_pool(
         .orderBy("h_pool", "row_key")
         .limit(take)
     )
-    return pool
+    return pool, take
 
 
-def tree_samples(pool: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFrame:
+def tree_samples(
+    pool: DataFrame, cfg: DetectConfig = DetectConfig(), pool_rows: int | None = None
+) -> DataFrame:
     """Per-tree subsample without replacement: the ``max_samples`` pool rows
     with the smallest hash(seed, "tree", tree, row key).
 
@@ -99,7 +108,7 @@ def tree_samples(pool: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFra
         .filter(F.col("rn") <= F.lit(cfg.max_samples))
         .drop("rn")
     )
-    return chosen.join(sized_broadcast(pool), "row_key")
+    return chosen.join(sized_broadcast(pool, pool_rows), "row_key")
 
 
 def fit_forest(
@@ -127,13 +136,13 @@ def fit(
     num_trees x (2^(max_depth+1) - 1) rows) as a local frame."""
     # The pool is bounded by pool_size rows; cut it so the size check and
     # the per-tree draw read it once.
-    pool = cut(training_pool(featured, cfg, features), "pool")
-    n_pool = pool.count()
+    pool, n_pool = _training_pool(featured, cfg, features)
     if n_pool < cfg.min_pool_rows:
         raise ValueError(
             f"training pool has {n_pool} rows; at least {cfg.min_pool_rows} are needed"
         )
-    nodes = fit_forest(tree_samples(pool, cfg), cfg, features)
+    pool = cut(pool, "pool")
+    nodes = fit_forest(tree_samples(pool, cfg, n_pool), cfg, features)
     return nodes.toPandas()
 
 
