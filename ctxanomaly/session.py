@@ -85,22 +85,32 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``ctxanomaly`` importable in the Python workers.
 
     The tree grower and the scorer run in Python workers, which import this
-    package.  When it is not installed on the executors (no ``--py-files``
-    or wheel), the driver zips the package once per application and adds
-    it with ``addPyFile``.
+    package.  The driver zips the package once per application and adds it
+    with ``addPyFile`` (harmless when a wheel is installed on the
+    executors).  On a cluster the zip is first copied into the shared
+    checkpoint folder, so executors fetch it from shared storage.
     """
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(pkg)
-    target = os.path.join(tempfile.mkdtemp(prefix="ctxanomaly-pyfiles-"), "ctxanomaly.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+    base = os.path.dirname(pkg)
+    local_zip = os.path.join(tempfile.mkdtemp(prefix="ctxanomaly-pyfiles-"), "ctxanomaly.zip")
+    with zipfile.ZipFile(local_zip, "w", zipfile.ZIP_DEFLATED) as zf:
         for folder, _, files in os.walk(pkg):
             for name in files:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
-                    zf.write(path, os.path.relpath(path, root))
+                    zf.write(path, os.path.relpath(path, base))
+    target = local_zip
+    if not sc.master.startswith("local"):
+        jvm = spark._jvm
+        dst = jvm.org.apache.hadoop.fs.Path(
+            f"{checkpoint_root(spark)}/ctxanomaly/pyfiles/{uuid.uuid4().hex}/ctxanomaly.zip"
+        )
+        fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path(local_zip), dst)
+        target = dst.toString()
     sc.addPyFile(target)
     _SHIPPED.add(app)
