@@ -294,7 +294,7 @@ def q_context_profile_joined(spark, sf):
     ratios = _l_ratios(spark, sf)
     prof = context_profile(ratios, CFG.context, CFG.measure)
     return attach_context(ratios, prof, CFG.context).select(
-        *CELL, "context_obs_count", "context_mean_passengers", "context_m2_passengers"
+        *CELL, "context_obs_count", "context_sum_passengers", "context_sumsq_passengers"
     )
 
 

@@ -60,21 +60,18 @@ def exact_avg(c: Column) -> Column:
 def context_profile(
     df: DataFrame, context: Sequence[str] = CONTEXT_KEYS, x: str = MEASURE
 ) -> DataFrame:
-    """Per-context count, sums, centred moments and mean ratios.
+    """Per-context count, sum, sum of squares, mean and mean ratios.
 
-    Expects :func:`ratio_features` columns.  Sums and means are exact
-    (order independent); ``context_m2_passengers`` (sum of squared
-    deviations) feeds the numerically stable leave-one-out variance.
+    Expects :func:`ratio_features` columns.  All sums are exact decimal
+    accumulations (order independent), so the leave-one-out moments built
+    from them are the same for any partitioning and in any engine.
     """
     c = F.col(x)
     return df.groupBy(*context).agg(
         F.count(F.lit(1)).alias("context_obs_count"),
         exact_sum(c).alias("context_sum_passengers"),
-        F.sum(c * c).alias("context_sumsq_passengers"),
+        exact_sum(c * c).alias("context_sumsq_passengers"),
         exact_avg(c).alias("context_mean_passengers"),
-        (F.coalesce(F.var_samp(c), F.lit(0.0)) * (F.count(F.lit(1)) - F.lit(1))).alias(
-            "context_m2_passengers"
-        ),
         exact_avg(F.col("passage_per_passenger")).alias("context_avg_passage_per_passenger"),
         exact_avg(F.col("passenger_per_record")).alias("context_avg_passenger_per_record"),
         exact_avg(F.col("passage_per_record")).alias("context_avg_passage_per_record"),
@@ -111,21 +108,22 @@ def min_context(df: DataFrame, n: int = 5) -> DataFrame:
 def leave_one_out(df: DataFrame, x: str = MEASURE) -> DataFrame:
     """Context mean and std of ``x`` without the row itself.
 
-    With n the context size, S its sum, m its mean and M2 its sum of
-    squared deviations: mean' = (S - x)/(n - 1),
-    M2' = M2 - (x - m)^2 n/(n - 1), var' = max(M2' / max(n - 2, 1), 0),
-    std' = sqrt(var' + 1e-6).  The variance is the raw-moment formula
-    rewritten in centred form (no cancellation for large, nearly constant
-    counts).
+    With n the context size, S1 and S2 its exact sums of x and x^2:
+    n' = n - 1, s1 = S1 - x, s2 = S2 - x^2, mean' = s1 / n',
+    var' = max((s2 - s1^2 / n') / max(n' - 1, 1), 0), std' = sqrt(var' + 1e-6).
+    Because the sums are exact, a context whose other rows are all equal
+    gets a variance of exactly 0, whatever the engine or partitioning.
     """
-    n = F.col("context_obs_count").cast("double")
-    n1 = n - F.lit(1.0)
-    d = F.col(x) - F.col("context_mean_passengers")
-    m2 = F.col("context_m2_passengers") - d * d * n / n1
-    var = F.greatest(m2 / F.greatest(n1 - F.lit(1.0), F.lit(1.0)), F.lit(0.0))
+    xc = F.col(x)
+    n1 = F.col("context_obs_count").cast("double") - F.lit(1.0)
+    s1 = F.col("context_sum_passengers") - xc
+    s2 = F.col("context_sumsq_passengers") - xc * xc
+    var = F.greatest(
+        F.try_divide(s2 - s1 * s1 / n1, F.greatest(n1 - F.lit(1.0), F.lit(1.0))), F.lit(0.0)
+    )
     return df.withColumns(
         {
-            "loo_mean_passengers": (F.col("context_sum_passengers") - F.col(x)) / n1,
+            "loo_mean_passengers": F.try_divide(s1, n1),
             "loo_std_passengers": F.sqrt(var + F.lit(EPS)),
         }
     )

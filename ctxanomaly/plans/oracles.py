@@ -195,9 +195,8 @@ def feature_chain(p: str, min_obs: int = CFG.min_context_obs) -> str:
   select line, hour, spark_dayofweek,
          count(*) as context_obs_count,
          {xsum('total_passengers')} as context_sum_passengers,
-         sum(total_passengers * total_passengers) as context_sumsq_passengers,
+         {xsum('total_passengers * total_passengers')} as context_sumsq_passengers,
          {xavg('total_passengers')} as context_mean_passengers,
-         coalesce(var_samp(total_passengers), 0.0) * (count(*) - 1) as context_m2_passengers,
          {xavg('passage_per_passenger')} as context_avg_passage_per_passenger,
          {xavg('passenger_per_record')} as context_avg_passenger_per_record,
          {xavg('passage_per_record')} as context_avg_passage_per_record
@@ -205,7 +204,7 @@ def feature_chain(p: str, min_obs: int = CFG.min_context_obs) -> str:
 ),
 {p}joined as (
   select r.*, s.context_obs_count, s.context_sum_passengers, s.context_sumsq_passengers,
-         s.context_mean_passengers, s.context_m2_passengers,
+         s.context_mean_passengers,
          s.context_avg_passage_per_passenger, s.context_avg_passenger_per_record,
          s.context_avg_passage_per_record
   from {p}ratios r join {p}profile s
@@ -214,15 +213,15 @@ def feature_chain(p: str, min_obs: int = CFG.min_context_obs) -> str:
 ),
 {p}loo0 as (
   select *,
-         total_passengers - context_mean_passengers as _d,
-         cast(context_obs_count as double) - 1.0 as _n1
+         cast(context_obs_count as double) - 1.0 as _n1,
+         context_sum_passengers - total_passengers as _s1,
+         context_sumsq_passengers - total_passengers * total_passengers as _s2
   from {p}joined
 ),
 {p}loo as (
-  select * exclude (_d, _n1),
-         (context_sum_passengers - total_passengers) / _n1 as loo_mean_passengers,
-         sqrt(greatest((context_m2_passengers - _d * _d * context_obs_count / _n1)
-                       / greatest(_n1 - 1.0, 1.0), 0.0) + {EPS}) as loo_std_passengers
+  select * exclude (_n1, _s1, _s2),
+         _s1 / _n1 as loo_mean_passengers,
+         sqrt(greatest((_s2 - _s1 * _s1 / _n1) / greatest(_n1 - 1.0, 1.0), 0.0) + {EPS}) as loo_std_passengers
   from {p}loo0
 ),
 {p}signed as (
@@ -621,7 +620,6 @@ select 'cells' as stage, reason, count(*) as row_count from (
         "context_sum_passengers",
         "context_sumsq_passengers",
         "context_mean_passengers",
-        "context_m2_passengers",
         "context_avg_passage_per_passenger",
         "context_avg_passenger_per_record",
         "context_avg_passage_per_record",
@@ -634,10 +632,10 @@ select 'cells' as stage, reason, count(*) as row_count from (
     )
     q["context_profile_joined"] = final(
         lf,
-        f"select {CELL}, context_obs_count, context_mean_passengers, context_m2_passengers from "
-        f"(select r.*, s.context_obs_count, s.context_mean_passengers, s.context_m2_passengers from l_ratios r "
+        f"select {CELL}, context_obs_count, context_sum_passengers, context_sumsq_passengers from "
+        f"(select r.*, s.context_obs_count, s.context_sum_passengers, s.context_sumsq_passengers from l_ratios r "
         f"left join l_profile s on r.line = s.line and r.hour = s.hour and r.spark_dayofweek = s.spark_dayofweek)",
-        ["total_passengers", "total_passages", "context_mean_passengers", "context_m2_passengers"],
+        ["total_passengers", "total_passages", "context_sum_passengers", "context_sumsq_passengers"],
     )
     q["min_context"] = final(
         lf, f"select {CELL}, context_obs_count from l_joined", ["total_passengers", "total_passages"]

@@ -56,6 +56,14 @@ def test_constant_context(spark):
         assert r.loo_mean_passengers == 7.0
 
 
+def test_constant_remainder_has_zero_variance(spark):
+    # every other row equal: the leave-one-out variance is exactly 0
+    rows = [cell(i, "R", 3.0) for i in range(9)] + [cell(9, "R", 4999.0)]
+    out = {r.total_passengers: r for r in feats(spark, rows).collect()}
+    assert out[4999.0].loo_std_passengers == math.sqrt(EPS)
+    assert out[4999.0].loo_mean_passengers == 3.0
+
+
 def test_context_size_filter(spark):
     rows = [cell(i, "four", 1.0 + i) for i in range(4)] + [cell(i, "five", 1.0 + i) for i in range(5)]
     lines = {r.line for r in feats(spark, rows).collect()}
@@ -73,13 +81,13 @@ def test_second_filter_drops_null_and_negative_totals(spark):
 
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.integers(min_value=0, max_value=5000), min_size=5, max_size=12))
-def test_centred_loo_equals_raw_form(spark, xs):
+def test_loo_matches_raw_moment_formula(spark, xs):
     rows = [cell(i, "P", float(x)) for i, x in enumerate(xs)]
     out = sorted(feats(spark, rows).collect(), key=lambda r: r.datetime)
     for i, r in enumerate(out):
         mean, std = raw_loo([float(x) for x in xs], i)
         assert r.loo_mean_passengers == pytest.approx(mean, rel=1e-9, abs=1e-9)
-        assert r.loo_std_passengers == pytest.approx(std, rel=1e-6, abs=1e-9)
+        assert r.loo_std_passengers == pytest.approx(std, rel=1e-9, abs=1e-12)
         expected = (float(xs[i]) - mean) / (std + EPS)
         assert r.independent_context_residual == pytest.approx(expected, rel=1e-6, abs=1e-6)
         assert r.abs_independent_context_residual == pytest.approx(abs(expected), rel=1e-6, abs=1e-6)
