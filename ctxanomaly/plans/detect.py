@@ -26,7 +26,7 @@ from ctxanomaly.operators.forest import (
 from ctxanomaly.operators.hourly import hourly_aggregate, with_temporal
 from ctxanomaly.operators.records import cast_records, select_present, valid_records, with_datetime
 from ctxanomaly.operators.zscore import zscore
-from ctxanomaly.session import cut
+from ctxanomaly.session import cut, remove_folder, run_folder
 
 OUTPUT_COLUMNS = (
     "datetime",
@@ -57,6 +57,14 @@ class Detection:
     nodes: pd.DataFrame
     scored: DataFrame
     threshold: tuple[float, int | None]
+    run_dir: str | None = None
+
+    def cleanup(self) -> bool:
+        """Delete this run's stage cuts.  The DataFrames above read those
+        files: use them (or write what you keep) before cleaning up."""
+        if self.run_dir is None:
+            return False
+        return remove_folder(self.scored.sparkSession, self.run_dir)
 
 
 def clean_records(raw: DataFrame) -> DataFrame:
@@ -101,9 +109,12 @@ def detect(
     ``score_counter`` (an accumulator) the number of rows the scorer saw.
     """
     clock = _Clock(timings)
-    hourly = cut(hourly_cells(raw), "hourly")
-    clock.lap("hourly")
-    return detect_cells(hourly, cfg, clock, score_counter)
+    with run_folder(raw.sparkSession) as folder:
+        hourly = cut(hourly_cells(raw), "hourly")
+        clock.lap("hourly")
+        d = detect_cells(hourly, cfg, clock, score_counter)
+    d.run_dir = folder
+    return d
 
 
 def detect_cells(
@@ -114,10 +125,12 @@ def detect_cells(
 ) -> Detection:
     """Both methods starting from hourly cells (e.g. a stage written earlier)."""
     clock = clock or _Clock(None)
-    zscored = cut(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold), "zscored")
-    clock.lap("zscore")
-    d = detect_forest(zscored, cfg, clock, score_counter)
+    with run_folder(hourly.sparkSession) as folder:
+        zscored = cut(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold), "zscored")
+        clock.lap("zscore")
+        d = detect_forest(zscored, cfg, clock, score_counter)
     d.hourly = hourly
+    d.run_dir = folder
     return d
 
 
@@ -133,22 +146,25 @@ def detect_forest(
     columns are derived from ``datetime`` (see ``forest_input``).
     """
     clock = clock or _Clock(None)
-    # Unscaled features are written once; scaling is a cheap projection
-    # applied where the scaled values are read (pool and scoring).
-    feats = cut(
-        select_present(featured_cells(zscored, cfg), [*OUTPUT_COLUMNS, "row_key", "h_pool"]),
-        "featured",
-    )
-    featured = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
-    clock.lap("features")
-    nodes = fit(featured, cfg)
-    clock.lap("fit")
-    scored = select_present(
-        score_forest(featured, nodes, cfg, counter=score_counter),
-        [*OUTPUT_COLUMNS, "iforest_path_units", "iforest_score"],
+    with run_folder(zscored.sparkSession) as folder:
+        # Unscaled features are written once; scaling is a cheap projection
+        # applied where the scaled values are read (pool and scoring).
+        feats = cut(
+            select_present(featured_cells(zscored, cfg), [*OUTPUT_COLUMNS, "row_key", "h_pool"]),
+            "featured",
+        )
+        featured = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
+        clock.lap("features")
+        nodes = fit(featured, cfg)
+        clock.lap("fit")
+        scored = select_present(
+            score_forest(featured, nodes, cfg, counter=score_counter),
+            [*OUTPUT_COLUMNS, "iforest_path_units", "iforest_score"],
+        )
+        scored = cut(scored, "scored")
+        clock.lap("score")
+        threshold = contamination_threshold(scored, cfg)
+        clock.lap("threshold")
+    return Detection(
+        cfg, None, zscored, featured, nodes, flag_ge(scored, threshold), threshold, folder
     )
-    scored = cut(scored, "scored")
-    clock.lap("score")
-    threshold = contamination_threshold(scored, cfg)
-    clock.lap("threshold")
-    return Detection(cfg, None, zscored, featured, nodes, flag_ge(scored, threshold), threshold)

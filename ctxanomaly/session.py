@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -33,15 +35,46 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_RUN_DIR: contextvars.ContextVar[str | None] = contextvars.ContextVar("ctxanomaly_run_dir", default=None)
+
+
+@contextlib.contextmanager
+def run_folder(spark: SparkSession, run_dir: str | None = None):
+    """Collect every cut written inside the block under one run folder.
+
+    Nested blocks reuse the outer folder.  Yields the folder path.
+    """
+    current = _RUN_DIR.get()
+    if current is not None:
+        yield current
+        return
+    folder = run_dir or f"{checkpoint_root(spark)}/ctxanomaly/run-{uuid.uuid4().hex}"
+    token = _RUN_DIR.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_DIR.reset(token)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a run folder (recursively) through the Hadoop file system."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts lineage (a lost executor re-reads the files instead of recomputing
     the upstream plan) and gives later scans column pruning and row counts
-    from parquet footers.
+    from parquet footers.  Inside :func:`run_folder` the cut goes to the
+    run's folder.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/{name}"
+    base = _RUN_DIR.get() or f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 

@@ -55,3 +55,14 @@ def test_run_from_zscore_stage(spark, detection001):
     run(spark, f"{base}/zscore_in", f"{base}/out", input_format="parquet", from_stage="zscore")
     names = set(os.listdir(f"{base}/out"))
     assert "scored" in names and "hourly" not in names and "method_by_line" in names
+
+
+def test_cleanup_removes_the_run_folder(spark):
+    from ctxanomaly.plans.detect import detect
+
+    d = detect(raw_lineitem(spark, SF001))
+    assert d.run_dir is not None and os.path.isdir(d.run_dir)
+    cuts = set(n.split("-")[0] for n in os.listdir(d.run_dir))
+    assert {"hourly", "context_stats", "zscored", "featured", "pool", "scored"} <= cuts
+    assert d.cleanup()
+    assert not os.path.exists(d.run_dir)
