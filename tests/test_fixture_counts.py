@@ -31,3 +31,27 @@ def test_lineitem_sf0001_counts(spark):
     assert in_big == 5030
     sens = {r.threshold: r.anomaly_count for r in R.threshold_sensitivity(zscore(cells)).collect()}
     assert sens == {2.0: 34, 2.5: 0, 3.0: 0}
+
+
+SF01 = "/root/testdata/sf0.01"
+
+
+def test_events_sf001_counts(spark):
+    raw = raw_events(spark, SF01)
+    assert raw.count() == 10000
+    assert valid_records(cast_records(raw)).count() == 9482
+    cells = hourly_cells(raw)
+    assert cells.count() == 8937
+    assert cells.filter(F.col("total_passages").isNull()).count() == 108
+    assert cells.filter(F.col("line").isNull()).count() == 96
+    sizes = cells.groupBy("line", "hour", "spark_dayofweek").agg(F.count(F.lit(1)).alias("n"))
+    assert cells.join(sizes.filter("n >= 5"), ["line", "hour", "spark_dayofweek"]).count() == 8773
+    assert zscore(cells).filter("is_anomaly").count() == 25
+
+
+def test_lineitem_sf001_counts(spark):
+    cells = hourly_cells(raw_lineitem(spark, SF01))
+    assert cells.count() == 59752
+    assert context_moments(cells).count() == 1008
+    sens = {r.threshold: r.anomaly_count for r in R.threshold_sensitivity(zscore(cells)).collect()}
+    assert sens == {2.0: 197, 2.5: 78, 3.0: 44}
