@@ -58,6 +58,18 @@ class DetectConfig:
     threshold_mode: str = "exact"
     quantile_rel_error: float = 0.001
 
+    def __post_init__(self) -> None:
+        if not 0.0 <= self.contamination < 1.0:
+            raise ValueError("contamination must be in [0, 1)")
+        if self.num_trees < 1 or self.max_samples < 2 or self.pool_size < 1:
+            raise ValueError("num_trees >= 1, max_samples >= 2 and pool_size >= 1 are required")
+        if self.min_context_obs < 2:
+            raise ValueError("min_context_obs must be at least 2 (leave-one-out needs another row)")
+        if self.threshold_mode not in ("exact", "approx"):
+            raise ValueError("threshold_mode is 'exact' or 'approx'")
+        if not self.context or not self.hourly_keys:
+            raise ValueError("context and hourly_keys must not be empty")
+
     @property
     def max_depth(self) -> int:
         # ceil(log2(max_samples)), from the configured sample size.

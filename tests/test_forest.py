@@ -172,3 +172,15 @@ def test_forest_ignores_shuffle_partitioning(spark, detection001):
     assert {tuple(r) for r in detection001.scored.select(*cols).collect()} == {
         tuple(r) for r in other.scored.select(*cols).collect()
     }
+
+
+def test_config_validation():
+    for bad in (
+        dict(contamination=1.0),
+        dict(num_trees=0),
+        dict(max_samples=1),
+        dict(min_context_obs=1),
+        dict(threshold_mode="fast"),
+    ):
+        with pytest.raises(ValueError):
+            DetectConfig(**bad)
