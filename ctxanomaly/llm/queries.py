@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from ctxanomaly.llm.common import table
 from ctxanomaly.llm.decontaminate import decontaminate
+from ctxanomaly.llm.language_id import identify
 from ctxanomaly.llm.packing import pack, pieces
 from ctxanomaly.llm.quality_rules import quality
 from ctxanomaly.llm.secret_scan import report, secrets
 from ctxanomaly.llm.simhash_neardup import simhash_classes
+from ctxanomaly.llm.substring_dedup import substring_dedup
+from ctxanomaly.llm.suffix_dedup import suffix_dedup
+from ctxanomaly.llm.url_filter import judge
+from ctxanomaly.llm.warc import read_archives, write_archives
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +30,10 @@ def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(write_archives(table(spark, sf_dir, "pages")))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -32,6 +41,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
