@@ -214,7 +214,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BIT
     chosen = cut(
         classes.groupBy("root").agg(F.min(first).alias("f")).select(F.col("f.d").alias("_d"), F.col("f.k").alias("_k")),
         "chosen",
-    )
+    ).hint("merge")  # texts are shuffled once at any size; the plan does not turn on the number of classes
     rows = docs.withColumn("_tk", text_key())
     kept = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["_d"]) & (rows["_tk"] == chosen["_k"]), "left_semi")
     if not classes.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():
