@@ -178,6 +178,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source", repos
         F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.array_sort(F.concat("base", "added")).alias("_s")
     )
     spans = cut(spans.filter(F.size("_s") > 0).dropDuplicates(["_d", "_k"]), "spans_to_redact")
+    spans = spans.hint("merge")  # texts are shuffled once at any size
     rows = docs.withColumn("_tk", text_key())
     text = F.col("text")
     begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
