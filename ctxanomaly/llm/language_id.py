@@ -70,11 +70,13 @@ class CodeModel:
         """counts: (languages, buckets) n-gram counts."""
         self.langs, self.code = langs, codewords(len(langs))
         self.buckets = counts.shape[1]
+        if not langs:
+            return
         share = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * self.buckets)
         bits = []
         for column in self.code.T:
             yes, no = share[column > 0].mean(axis=0), share[column < 0]
-            bits.append(np.log(yes) - np.log(no.mean(axis=0)) if len(no) else np.zeros(self.buckets))
+            bits.append(np.log(yes) - np.log(no.mean(axis=0)) if len(no) else np.zeros(self.buckets))  # one language
         self.log_odds = np.array(bits, dtype=np.float32).T
         self.weight = np.ones(self.code.shape[1])
 

@@ -171,4 +171,24 @@ from d left join per using (rid)
 """
 )
 
-SQL: dict[str, str] = {"op1_secret_scans": _OP1, "op4_quality_rules": _OP4}
+_OP3 = """
+with p as (
+  select row_number() over () as rid, page_id, coalesce(html, '') as h from pages
+), digits as (
+  select rid, i, cast(list_sum([
+      (instr('0123456789abcdef', substr(sha1(h), 5 * (i // 4) + 1 + k, 1)) - 1) * (1 << (4 * (4 - k)))
+      for k in [0, 1, 2, 3, 4]]) as bigint) as v
+  from p, (select unnest(generate_series(0, 31)) as i)
+), base32 as (
+  select rid, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> (15 - 5 * (i % 4))) & 31), 1), ''
+    order by i) as digest from digits group by rid
+), first as (
+  select h, min(page_id) as f from p group by h
+)
+select page_id, cast(strlen(h) as bigint) as payload_bytes, digest as payload_digest,
+  case when page_id is not distinct from f then 'response' else 'revisit' end as record_type,
+  case when page_id is not distinct from f then null else f end as refers_to
+from p join base32 using (rid) join first using (h)
+"""
+
+SQL: dict[str, str] = {"op1_secret_scans": _OP1, "op3_warc": _OP3, "op4_quality_rules": _OP4}
