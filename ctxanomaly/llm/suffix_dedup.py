@@ -32,11 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ctxanomaly.llm.anchors import gram_hashes, merge_spans, mix, territories
-from ctxanomaly.llm.common import arrow_rows, body, cut, prepare, text_key
+from ctxanomaly.llm.common import BATCH_ROWS, arrow_rows, body, cut, prepare, text_key
 
 LENGTH = 400
 SHALLOW = 64
@@ -223,12 +223,14 @@ def _contexts(length: int):
         names = [x.split()[0] for x in _CONTEXT.split(", ")]
         kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
         for batch in batches:
-            for d, k, text, parts in zip(*next(arrow_rows([batch], "d", "k", "body", "parts")), strict=True):
-                rows = [
-                    (p["seed"], p["n"], d, k, p["at"], p["first"], p["last"], text[p["first"] : p["last"] + length])
-                    for p in parts
-                ]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            rows = [
+                (p["seed"], p["n"], d, k, p["at"], p["first"], p["last"], text[p["first"] : p["last"] + length])
+                for d, k, text, parts in zip(*next(arrow_rows([batch], "d", "k", "body", "parts")), strict=True)
+                for p in parts
+            ]
+            for at in range(0, len(rows), 4 * BATCH_ROWS):
+                part = zip(*rows[at : at + 4 * BATCH_ROWS], strict=True)
+                columns = [pa.array(c, t) for c, t in zip(part, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -308,14 +310,16 @@ def repeated_spans(
     prepare(docs.sparkSession)
     texts = _documents(docs)
     schema = "seed long, whole long, d long, k long, at int, first int, last int"
-    rows = texts.mapInArrow(_anchor_rows(length, shallow), schema).repartition("seed")
-    territory, seed = Window.partitionBy("seed", "whole"), Window.partitionBy("seed")
-    first = F.row_number().over(territory.orderBy("d", "k", "at")) == 1
-    rows = rows.withColumns({"copies": F.count(F.lit(1)).over(territory), "chosen": first})
-    rows = rows.withColumn("n", F.count_if("chosen").over(seed))
-    settled = F.col("copies") > 1
-    rows = cut(rows.filter(settled | (F.col("n") > 1)).withColumn("settled", settled), "anchor_groups")
-    parts = rows.filter(F.col("chosen") & (F.col("n") > 1)).groupBy("d", "k").agg(
+    anchors = texts.mapInArrow(_anchor_rows(length, shallow), schema)
+    anchors = cut(anchors.withColumn("i", F.monotonically_increasing_id()), "anchors")
+    # Sums that combine on the map side, and joins whose skewed keys Spark can
+    # split: an anchor that most documents hold is no task's alone.
+    groups = anchors.groupBy("seed", "whole").agg(F.count(F.lit(1)).alias("copies"), F.min("i").alias("chosen"))
+    groups = cut(groups, "territories")
+    several = groups.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    useful = groups.join(several, "seed", "left").filter("copies > 1 or n > 1")
+    rows = cut(anchors.join(useful, ["seed", "whole"]).drop("whole"), "anchor_groups")
+    parts = rows.filter("i = chosen and n > 1").groupBy("d", "k").agg(
         F.collect_list(F.struct("seed", "n", "at", "first", "last")).alias("parts")
     )
     # rows that repeat give their contexts twice, and rightly so: all their strings repeat
@@ -330,7 +334,7 @@ def repeated_spans(
     )
     twice = hashed.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w1", "w2")
     more = hashed.join(twice, ["w1", "w2"]).select("d", "k", "start", (F.col("start") + length).alias("end"))
-    whole = rows.filter("settled").select("d", "k", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+    whole = rows.filter("copies > 1").select("d", "k", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     return whole.unionByName(found).unionByName(more)
 
 
