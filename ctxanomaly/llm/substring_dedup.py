@@ -8,7 +8,9 @@ stands for:
 1. *whole territory*: the words from the first to the last window of an
    anchor are hashed too.  Inside long repeats anchor and territory agree, so
    the smallest document of an (anchor, territory) group settles all its
-   windows at once: no pairs, whatever the size of the group;
+   windows at once: no pairs, whatever the size of the group.  Each task
+   combines its own documents' anchors first, so that an anchor which a third
+   of all documents hold reaches the join with a few rows of each task;
 2. *part of it*: at a repeat's ends territories differ.  Of each territory
    only its smallest document goes on; it is extended window by window to
    both sides, and a window that a smaller document has (a minimum by window
@@ -102,29 +104,66 @@ def _anchor_rows(min_words: int, seed_words: int):
             if found:
                 seed, whole, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
                 rows = np.concatenate(who)
-                columns = [seed, whole, d[rows], k[rows], first.astype(np.int32), last.astype(np.int32)]
+                seed, state = combine_anchors(seed, whole, d[rows])
+                columns = [seed, whole, state, d[rows], k[rows], first.astype(np.int32), last.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], names=["seed", "whole", "d", "k", "first", "last"]
+                    [pa.array(c) for c in columns], names=["seed", "whole", "state", "d", "k", "first", "last"]
                 )
 
     return run
 
 
+UNDECIDED, SETTLED, OPEN = 0, 1, 2
+
+
+def combine_anchors(seed: np.ndarray, whole: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Map-side combine of a batch's anchors: decide what the batch can, and
+    leave at most two rows of a seed that several documents share under it.
+
+    A territory that a smaller document of the batch has is settled.  Other
+    anchors of a seed that two documents of the batch share are open; the
+    smallest and the largest document keep the seed, to tell other tasks of
+    it.  All further decided rows get seeds of their own, which spreads them.
+    """
+    order = np.lexsort((d, whole, seed))
+    s, w, doc = seed[order], whole[order], d[order]
+    new_seed = np.r_[True, s[1:] != s[:-1]]
+    new_pair = new_seed | np.r_[True, w[1:] != w[:-1]]
+    low = doc[np.flatnonzero(new_pair)][np.cumsum(new_pair) - 1]
+    state = np.where(doc > low, SETTLED, UNDECIDED).astype(np.int8)
+    loose = state == SETTLED
+    left = np.flatnonzero(~loose)  # not empty: every territory has a smallest document
+    by_doc = left[np.lexsort((doc[left], s[left]))]
+    starts = np.flatnonzero(np.r_[True, s[by_doc][1:] != s[by_doc][:-1]])
+    size = np.diff(np.r_[starts, by_doc.size])
+    lo, hi = by_doc[starts], by_doc[starts + size - 1]
+    shared = np.repeat(doc[lo] < doc[hi], size)
+    state[by_doc[shared]] = OPEN
+    loose[by_doc[shared]] = True
+    kept = doc[lo] < doc[hi]
+    loose[lo[kept]] = loose[hi[kept]] = False
+    own = mix(np.arange(seed.size, dtype=np.uint64) * np.uint64(_BASES[0]) ^ s.view(np.uint64) ^ mix(doc.view(np.uint64)))
+    out_seed, out_state = np.empty_like(seed), np.empty_like(state)
+    out_seed[order] = np.where(loose, own.view(np.int64), s)
+    out_state[order] = state
+    return out_seed, out_state
+
+
 def _window_rows(min_words: int):
     """Batches of (d, k, body, parts) to one row per window of the parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
+            found = []
             for d, k, text, parts in zip(*next(arrow_rows([batch], "d", "k", "body", "parts")), strict=True):
                 units = word_hashes(text.split(), known)
                 one, two = (mix(gram_hashes(units, min_words, b)).view(np.int64) for b in _BASES)
                 at = np.concatenate([np.arange(p["first"], p["last"] + 1) for p in parts])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one[at]), pa.array(two[at]), pa.array(np.full(at.size, d)), pa.array(np.full(at.size, k)),
-                     pa.array(at.astype(np.int32))],
-                    names=["w1", "w2", "d", "k", "at"],
-                )
+                found.append((one[at], two[at], np.full(at.size, d), np.full(at.size, k), at.astype(np.int32)))
+            if found:
+                columns = [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "d", "k", "at"])
 
     return run
 
@@ -140,14 +179,14 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int = SEED_
     starts; not merged)."""
     prepare(docs.sparkSession)
     texts = _documents(docs)
-    schema = "seed long, whole long, d long, k long, first int, last int"
+    schema = "seed long, whole long, state tinyint, d long, k long, first int, last int"
     rows = texts.mapInArrow(_anchor_rows(min_words, seed_words), schema).repartition("seed")
     territory, seed = Window.partitionBy("seed", "whole"), Window.partitionBy("seed")
     rows = rows.withColumn("low", F.min("d").over(territory))
     rows = rows.withColumns({"seed_low": F.min("low").over(seed), "seed_high": F.max("low").over(seed)})
-    settled = F.col("low") < F.col("d")
+    settled = (F.col("state") == SETTLED) | (F.col("low") < F.col("d"))
     rows = cut(
-        rows.filter(settled | (F.col("seed_low") < F.col("seed_high"))).select(
+        rows.filter(settled | (F.col("state") == OPEN) | (F.col("seed_low") < F.col("seed_high"))).select(
             settled.alias("settled"), "d", "k", "first", "last"
         ),
         "anchor_matches",

@@ -1,8 +1,9 @@
 import hashlib
 
+import numpy as np
 import pytest
 
-from ctxanomaly.llm.substring_dedup import substring_dedup
+from ctxanomaly.llm.substring_dedup import OPEN, SETTLED, combine_anchors, substring_dedup
 
 
 def brute(rows, size=13):
@@ -53,3 +54,23 @@ def test_reordered_and_self_repeats(make_docs):
 
 def test_empty_table(make_docs):
     assert substring_dedup(make_docs([])).count() == 0
+
+
+def test_combining_leaves_few_rows_of_a_hot_seed():
+    rng = np.random.default_rng(3)
+    n = 4000
+    seed = rng.integers(0, 40, n) * np.int64(1 << 40)
+    whole, d = rng.integers(0, 6, n), rng.integers(0, 300, n)
+    own, state = combine_anchors(seed, whole, d)
+    kept = own == seed
+    for s in np.unique(seed):
+        mine = seed == s
+        assert kept[mine].sum() == 2  # the smallest and the largest document that is not settled
+        docs = d[mine & (state != SETTLED)]
+        assert set(d[mine & kept]) == {docs.min(), docs.max()}
+        for w in np.unique(whole[mine]):
+            group = mine & (whole == w)
+            assert (state[group] == np.where(d[group] > d[group].min(), SETTLED, OPEN)).all()
+    alone = combine_anchors(np.array([5, 5, 9]), np.array([1, 2, 1]), np.array([7, 7, 3]))
+    assert alone[0].tolist() == [5, 5, 9] and alone[1].tolist() == [0, 0, 0]
+    assert len(np.unique(own[~kept])) == (~kept).sum()
