@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctxanomaly.llm.common import body, cut, prepare, text_key
+from ctxanomaly.llm.common import body, cut, partitions_for, prepare, text_key
 from ctxanomaly.llm.components import connected_components
 
 SEED = 42
@@ -174,7 +174,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCK
     if not 0 <= max_bits <= 4:
         raise ValueError("two tables of radius one find links of at most 4 bits")
     prepare(distinct.sparkSession)
-    spread = table_keys(distinct).repartition("key").sortWithinPartitions("key")
+    # a fingerprint becomes 66 rows: spread them over tasks before they do
+    tasks = partitions_for(distinct.sparkSession, distinct.count(), 50_000)
+    spread = table_keys(distinct.repartition(tasks, "fp")).repartition("key").sortWithinPartitions("key")
     found = cut(
         spread.mapInArrow(_links_in_tables(max_bits, bucket_rows), "a long, b long").distinct(), "simhash_links"
     )
