@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctxanomaly.config import HOURLY_KEYS
@@ -16,6 +16,16 @@ DEFAULT_MEASURES = {
 TEMPORAL = ("hour", "month", "spark_dayofweek", "is_weekend")
 
 
+def measure_sum(x: Column) -> Column:
+    """Sum at a declared scale of six decimals, as whole numbers: exact, and
+    the same for any order and partitioning.  A cell whose values or total
+    leave the 64-bit range at that scale gets the plain double sum."""
+    unit = F.lit(1e6)
+    whole = F.round(x * unit).try_cast("bigint")
+    exact = F.when(F.count(whole) == F.count(x), F.try_sum(whole).cast("double") / unit)
+    return F.coalesce(exact, F.sum(x))
+
+
 def hourly_aggregate(
     df: DataFrame,
     keys: Sequence[str] = HOURLY_KEYS,
@@ -24,11 +34,11 @@ def hourly_aggregate(
 ) -> DataFrame:
     """One row per (datetime, line, line_name, town): sums and a row count.
 
-    Null keys form their own groups; ``sum`` skips nulls, so a total is null
+    Null keys form their own groups; a sum skips nulls, so a total is null
     only when every value of the cell is null.  Partial aggregation runs
     before the shuffle, so a hot key costs one row per map partition.
     """
-    aggs = [F.sum(src).alias(dst) for dst, src in measures.items()]
+    aggs = [measure_sum(F.col(src)).alias(dst) for dst, src in measures.items()]
     aggs.append(F.count(F.lit(1)).alias(count_col))
     return df.groupBy(*keys).agg(*aggs)
 

@@ -11,11 +11,16 @@ from ctxanomaly.functions.expressions import finite_nonneg
 
 
 def cast_records(df: DataFrame) -> DataFrame:
-    """Type the raw columns; unparsable text becomes null (ANSI-safe ``try_cast``)."""
+    """Type the raw columns; unparsable text becomes null (ANSI-safe ``try_cast``).
+
+    Hours may be written as numbers of any form (``8``, ``8.0``); one that is
+    not whole becomes null.
+    """
+    hour = F.col("transition_hour").try_cast("double")
     return df.withColumns(
         {
             "transition_date": F.col("transition_date").try_cast("date"),
-            "transition_hour": F.col("transition_hour").try_cast("int"),
+            "transition_hour": F.when(F.rint(hour) == hour, hour.try_cast("int")),
             "number_of_passenger": F.col("number_of_passenger").try_cast("double"),
             "number_of_passage": F.col("number_of_passage").try_cast("double"),
         }
@@ -57,7 +62,7 @@ def anomalies(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
     return df.filter(c == F.lit(1) if dict(df.dtypes)[flag] != "boolean" else c)
 
 
-def min_obs(df: DataFrame, n: int, column: str = "total_obs") -> DataFrame:
+def at_least(df: DataFrame, n: int, column: str = "total_obs") -> DataFrame:
     """Report rows backed by at least ``n`` observations."""
     return df.filter(F.col(column) >= F.lit(n))
 

@@ -1,7 +1,7 @@
 """Sources and sinks."""
 
-from ctxanomaly.sources.fixtures import raw_events, raw_lineitem, table
-from ctxanomaly.sources.records import coerce_datetime, merge_parts, profile, read_records, read_stage
+from ctxanomaly.sources.fixtures import raw_events, raw_lineitem, raw_prices, table
+from ctxanomaly.sources.records import coerce_datetime, merge_parts, profile, read_records, read_results, read_stage
 from ctxanomaly.sources.sinks import write_report, write_stage
 
 __all__ = [
@@ -10,7 +10,9 @@ __all__ = [
     "profile",
     "raw_events",
     "raw_lineitem",
+    "raw_prices",
     "read_records",
+    "read_results",
     "read_stage",
     "table",
     "write_report",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def write_stage(
@@ -14,8 +15,14 @@ def write_stage(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> None:
-    """Write a stage table; ``partition_by=("month",)`` lets month reports
-    prune directories.  Parquet keeps types; CSV gets a header."""
+    """Write a stage table.  Parquet keeps types; CSV gets a header.
+
+    With ``partition_by`` the rows are rebalanced on those columns first
+    (Spark splits large groups and merges small ones), so a folder gets a few
+    full files instead of one from every task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
@@ -24,11 +31,17 @@ def write_stage(
     writer.save(path)
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
+def write_report(
+    df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite", order: Sequence[Column | str] = ()
+) -> None:
     """One output file for an already aggregated report.  ``repartition(1)``
     adds a shuffle of the few report rows instead of collapsing the
-    parallelism of the aggregate upstream (which ``coalesce(1)`` would do)."""
-    writer = df.repartition(1).write.mode(mode).format(fmt)
+    parallelism of the aggregate upstream; ``order`` is applied inside that
+    one partition, after the shuffle, so the file keeps it."""
+    one = df.repartition(1)
+    if order:
+        one = one.sortWithinPartitions(*order)
+    writer = one.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(path)

@@ -2,7 +2,9 @@
 
 import datetime as dt
 
-from ctxanomaly.operators.hourly import ensure_temporal, hourly_aggregate, with_temporal
+from pyspark.sql import functions as F
+
+from ctxanomaly.operators.hourly import ensure_temporal, hourly_aggregate, measure_sum, with_temporal
 from ctxanomaly.operators.records import cast_records, valid_records, with_datetime
 from ctxanomaly.plans.detect import hourly_cells
 from ctxanomaly.schema import RAW_TEXT
@@ -32,6 +34,26 @@ def test_casts_and_validity_drop_bad_rows(spark):
     assert sorted((r.transition_hour, r.number_of_passenger) for r in out) == [(5, 10.0), (6, 4.0)]
 
 
+def test_hours_of_any_number_form(spark):
+    rows = [("2024-01-08", h, "L", "N", "T", "1", "1") for h in ("8.0", "8", "8.5", "1e1", " 7", "NaN", "1e300", "-0.0")]
+    got = sorted(r.transition_hour for r in valid_records(cast_records(raw(spark, rows))).collect())
+    assert got == [0, 7, 8, 8, 10]
+    typed = raw(spark, rows[:1]).withColumn("transition_hour", F.lit(8.0))
+    assert cast_records(typed).first().transition_hour == 8
+
+
+def test_sums_keep_the_order_out(spark):
+    values = [0.1, 1e9, 0.2, -0.0, 3.3, 7.7] * 50
+    sums = set()
+    for n in (1, 3, 17):
+        df = spark.createDataFrame([("k", v) for v in values], "k string, v double").repartition(n)
+        sums.add(df.groupBy("k").agg(measure_sum(F.col("v")).alias("s")).first().s)
+    assert len(sums) == 1 and abs(sums.pop() - sum(values)) < 1e-3
+    for big in ([1e18] * 30, [1e300, 1.0]):
+        df = spark.createDataFrame([(v,) for v in big], "v double")
+        assert df.agg(measure_sum(F.col("v")).alias("s")).first().s == sum(big)
+
+
 def test_datetime_and_calendar(spark):
     rows = [
         ("2024-01-07", "0", "L", "N", "T", "1", "1"),  # Sunday
