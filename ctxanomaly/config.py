@@ -7,8 +7,8 @@ from dataclasses import dataclass
 # Fixed values that must equal the original method for equal results:
 # leave-one-out epsilon 1e-6, Euler's gamma 0.5772156649, z threshold 3.0
 # (strict), minimum context size 5, contamination 0.011448, 50 trees,
-# 256 samples per tree, training pool of 50,000 rows, seed 42, at least
-# 100 training rows, z-score sensitivity thresholds 2.0, 2.5, 3.0; report
+# 256 samples per tree, published training pool of 50,000 rows, seed 42, at
+# least 100 training rows, z-score sensitivity thresholds 2.0, 2.5, 3.0; report
 # labels of the two methods, of the overlap categories and of the dataset
 # summary properties.
 EPS = 1e-6
@@ -18,7 +18,10 @@ METHOD_LABELS = {"zscore": "Z-score", "iforest": "Contextual Isolation Forest"}
 OVERLAP_LABELS = ("Detected by Both", "Only Z-score", "Only Contextual Isolation Forest")
 SUMMARY_PROPERTIES = ("Total rows", "Total columns", "Anomaly count", "Anomaly ratio")
 
-# Column names of the hourly fact and its context.
+PUBLISHED_POOL = 50_000
+MAX_NODES = 10_000_000  # nodes of a forest, which every task holds
+
+# Fixed output names: the hourly fact, its context and the ten features.
 HOURLY_KEYS = ("datetime", "line", "line_name", "town")
 CONTEXT_KEYS = ("line", "hour", "spark_dayofweek")
 MEASURE = "total_passengers"
@@ -35,6 +38,9 @@ FEATURES = (
     "passenger_per_record_diff",
     "abs_passenger_per_record_diff",
 )
+#: Features are rounded to this many decimals: values that are equal but for
+#: the last bits of their arithmetic are then equal, in any engine.
+FEATURE_DIGITS = 10
 SCALED_FEATURES = tuple(f"{c}_scaled" for c in FEATURES)
 
 
@@ -50,7 +56,9 @@ class DetectConfig:
     contamination: float = 0.011448
     num_trees: int = 50
     max_samples: int = 256
-    pool_size: int = 50_000
+    # Rows the trees are drawn from: all (None), or a hash-selected pool of at
+    # most this many (the published method: PUBLISHED_POOL).
+    pool_size: int | None = None
     seed: int = 42
     min_pool_rows: int = 100
     # "exact": value at rank ceil((1 - contamination) * N);
@@ -61,8 +69,10 @@ class DetectConfig:
     def __post_init__(self) -> None:
         if not 0.0 <= self.contamination < 1.0:
             raise ValueError("contamination must be in [0, 1)")
-        if self.num_trees < 1 or self.max_samples < 2 or self.pool_size < 1:
-            raise ValueError("num_trees >= 1, max_samples >= 2 and pool_size >= 1 are required")
+        if self.num_trees < 1 or self.max_samples < 2 or (self.pool_size is not None and self.pool_size < 1):
+            raise ValueError("num_trees >= 1, max_samples >= 2 and pool_size >= 1 (or None) are required")
+        if self.num_trees * 2 * self.max_samples > MAX_NODES:
+            raise ValueError(f"num_trees x 2 max_samples must be at most {MAX_NODES}: the forest is broadcast")
         if self.min_context_obs < 2:
             raise ValueError("min_context_obs must be at least 2 (leave-one-out needs another row)")
         if self.threshold_mode not in ("exact", "approx"):

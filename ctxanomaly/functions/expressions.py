@@ -81,3 +81,9 @@ def flag_abs_gt(z: Column, threshold: float) -> Column:
 def finite_nonneg(c: Column) -> Column:
     """``0 <= c < inf``; rejects null, negative, NaN and infinity."""
     return c.isNotNull() & (c >= F.lit(0.0)) & (c < F.lit(float("inf")))
+
+
+def flag_of(c: Column) -> Column:
+    """1 where ``c`` is true, 'true' in any case or numerically 1, else 0."""
+    hit = (F.lower(c.cast("string")) == F.lit("true")) | (c.try_cast("double") == F.lit(1.0))
+    return F.when(hit, F.lit(1)).otherwise(F.lit(0))

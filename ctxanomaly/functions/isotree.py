@@ -21,6 +21,9 @@ from ctxanomaly.functions.expressions import c_factor_py, hash_int_py, hash_unit
 from ctxanomaly.schema import PATH_UNIT
 
 
+BLOCK_ROWS = 1000  # rows descended at a time: their indices stay in the CPU cache
+
+
 def leaf_units(depth: int, size: int) -> int:
     """Path length of a leaf (depth + c(size)) in integer units of 1e-9."""
     return int(round((depth + c_factor_py(size)) * PATH_UNIT))
@@ -109,22 +112,27 @@ class ForestArrays:
         leaf = nodes["is_leaf"].to_numpy(dtype=bool)[order]
         inner = ~leaf
         size = len(keys)
-        self.feature = np.zeros(size, dtype=np.int64)
+        self.feature = np.zeros(size, dtype=np.int32)
         self.split = np.full(size, np.nan, dtype=np.float64)
-        self.child = np.arange(size, dtype=np.int64)
+        self.child = np.arange(size, dtype=np.int32)
         self.units = np.zeros(size, dtype=np.int64)
-        self.feature[inner] = nodes["feature"].to_numpy()[order][inner].astype(np.int64)
+        self.feature[inner] = nodes["feature"].to_numpy()[order][inner].astype(np.int32)
         self.split[inner] = nodes["split"].to_numpy()[order][inner].astype(np.float64)
         left_keys = (keys[inner] // width) * width + 2 * (keys[inner] % width)
         self.child[inner] = np.searchsorted(keys, left_keys)
         self.units[leaf] = nodes["path_units"].to_numpy()[order][leaf].astype(np.int64)
-        self.roots = np.searchsorted(keys, np.arange(num_trees, dtype=np.int64) * width + 1)
+        roots = np.searchsorted(keys, np.arange(num_trees, dtype=np.int64) * width + 1)
+        self.roots = roots.astype(np.int32)
 
     def path_units(self, x: np.ndarray) -> np.ndarray:
         """Sum over trees of leaf path units for each row of ``x`` (n x F)."""
+        blocks = [self._block_units(x[i : i + BLOCK_ROWS]) for i in range(0, len(x), BLOCK_ROWS)]
+        return np.concatenate(blocks) if blocks else np.empty(0, np.int64)
+
+    def _block_units(self, x: np.ndarray) -> np.ndarray:
         n, n_features = x.shape
         xs = np.ascontiguousarray(x, dtype=np.float64).ravel()
-        row_base = (np.arange(n, dtype=np.int64) * n_features)[:, None]
+        row_base = (np.arange(n, dtype=np.int32) * n_features)[:, None]
         idx = np.broadcast_to(self.roots, (n, self.num_trees)).copy()
         for _ in range(self.max_depth):
             go = xs[row_base + self.feature[idx]] >= self.split[idx]

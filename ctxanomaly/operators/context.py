@@ -9,13 +9,15 @@ never matches, so such rows keep null statistics.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctxanomaly.config import CONTEXT_KEYS, EPS, MEASURE
 from ctxanomaly.functions.expressions import rate
-from ctxanomaly.session import cut, sized_broadcast
+from ctxanomaly.functions.sums import ScaledSums
+from ctxanomaly.session import cut, fits_broadcast
 
 RATIOS = {
     "passage_per_passenger": ("total_passages", "total_passengers"),
@@ -24,12 +26,40 @@ RATIOS = {
 }
 
 
+def _sums(c: str) -> ScaledSums:
+    """Scaled sums of ``c`` from the statistics of its context."""
+    return ScaledSums(F.col(c), F.col(f"_n_{c}"), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"))
+
+
+def context_sums(df: DataFrame, context: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Per context: rows (``_rows``) and, for each column, count, extremes and
+    the two scaled sums (see ``functions.sums``); null keys are left out.
+
+    Two aggregates with map-side combine over ``df`` (a cut, or cheap to read).
+    """
+    finite = [F.when(F.abs(F.col(c)) < float("inf"), F.col(c)).alias(c) for c in cols]  # NaN is above infinity
+    keyed = df.dropna(subset=list(context)).select(*context, *finite)
+    spans = keyed.groupBy(*context).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[f(c).alias(f"_{n}_{c}") for c in cols for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
+    )
+    spans = cut(spans, "context_spans")
+    kept = [c for c in spans.columns if c not in context]
+    sums = [F.sum(p).alias(f"_{n}_{c}") for c in cols for n, p in zip(("s", "s2"), _sums(c).parts(), strict=True)]
+    return (
+        keyed.join(spans, list(context))
+        .groupBy(*context)
+        .agg(*[F.any_value(c).alias(c) for c in kept], *sums)
+    )
+
+
 def context_moments(
     df: DataFrame, context: Sequence[str] = CONTEXT_KEYS, x: str = MEASURE
 ) -> DataFrame:
     """Mean and sample standard deviation of ``x`` per context."""
-    return df.groupBy(*context).agg(
-        F.avg(x).alias("group_mean"), F.stddev_samp(x).alias("group_std")
+    s, a, b = _sums(x), F.col(f"_s_{x}"), F.col(f"_s2_{x}")
+    return context_sums(df, context, [x]).select(
+        *context, s.mean(a, b).alias("group_mean"), s.std(a, b).alias("group_std")
     )
 
 
@@ -43,38 +73,25 @@ def ratio_features(df: DataFrame) -> DataFrame:
     )
 
 
-def exact_sum(c: Column) -> Column:
-    """Order-independent sum: decimal(38,9) accumulation, read back as double.
-
-    A double sum depends on the order partial sums meet in, so results would
-    change with partitioning in the last bits; the decimal sum does not.
-    """
-    return F.sum(c.cast("decimal(38,9)")).cast("double")
-
-
-def exact_avg(c: Column) -> Column:
-    """Mean from :func:`exact_sum` over the non-null values."""
-    return exact_sum(c) / F.count(c)
-
-
 def context_profile(
     df: DataFrame, context: Sequence[str] = CONTEXT_KEYS, x: str = MEASURE
 ) -> DataFrame:
-    """Per-context count, sum, sum of squares, mean and mean ratios.
+    """Per-context count, mean, sample variance and mean ratios, with the
+    scaled sums of ``x`` that :func:`leave_one_out` takes a row out of.
 
-    Expects :func:`ratio_features` columns.  All sums are exact decimal
-    accumulations (order independent), so the leave-one-out moments built
-    from them are the same for any partitioning and in any engine.
+    Expects :func:`ratio_features` columns.
     """
-    c = F.col(x)
-    return df.groupBy(*context).agg(
-        F.count(F.lit(1)).alias("context_obs_count"),
-        exact_sum(c).alias("context_sum_passengers"),
-        exact_sum(c * c).alias("context_sumsq_passengers"),
-        exact_avg(c).alias("context_mean_passengers"),
-        exact_avg(F.col("passage_per_passenger")).alias("context_avg_passage_per_passenger"),
-        exact_avg(F.col("passenger_per_record")).alias("context_avg_passenger_per_record"),
-        exact_avg(F.col("passage_per_record")).alias("context_avg_passage_per_record"),
+    sums = context_sums(df, context, [x, *RATIOS])
+    of = lambda c: (_sums(c), F.col(f"_s_{c}"), F.col(f"_s2_{c}"))
+    s, a, b = of(x)
+    averages = [r.mean(p, q).alias(f"context_avg_{name}") for name in RATIOS for r, p, q in [of(name)]]
+    return sums.select(
+        *context,
+        F.col("_rows").alias("context_obs_count"),
+        s.mean(a, b).alias("context_mean_passengers"),
+        s.variance(a, b).alias("context_var_passengers"),
+        *averages,
+        *[F.col(f"_{n}_{x}") for n in ("n", "lo", "hi", "s", "s2")],
     )
 
 
@@ -83,17 +100,22 @@ def attach_context(
     stats: DataFrame,
     context: Sequence[str] = CONTEXT_KEYS,
     how: str = "left",
-    materialize: bool = True,
 ) -> DataFrame:
     """Equi join of per-context statistics onto the fact.
 
-    The statistics are written once (a cut) and broadcast only when their
-    measured size fits the session's broadcast threshold; otherwise Spark
-    shuffles both sides on the context key and AQE splits skewed partitions.
+    The statistics are written once (a cut); Spark broadcasts them when their
+    size is within its threshold and else shuffles both sides on the context
+    key, where AQE splits skewed partitions.  Rows with a null key match
+    nothing: in the shuffled form they go round the join, so they never meet
+    in one partition.
     """
-    if materialize:
-        stats = cut(stats, "context_stats")
-    return df.join(sized_broadcast(stats), on=list(context), how=how)
+    stats = cut(stats, "context_stats")
+    keys = list(context)
+    if how == "left" and not fits_broadcast(stats):
+        bare = {f.name: F.lit(None).cast(f.dataType) for f in stats.schema.fields if f.name not in keys}
+        null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        return df.filter(~null_key).join(stats, keys, "left").unionByName(df.filter(null_key).withColumns(bare))
+    return df.join(stats, keys, how)
 
 
 def min_context(df: DataFrame, n: int = 5) -> DataFrame:
@@ -108,22 +130,21 @@ def min_context(df: DataFrame, n: int = 5) -> DataFrame:
 def leave_one_out(df: DataFrame, x: str = MEASURE) -> DataFrame:
     """Context mean and std of ``x`` without the row itself.
 
-    With n the context size, S1 and S2 its exact sums of x and x^2:
-    n' = n - 1, s1 = S1 - x, s2 = S2 - x^2, mean' = s1 / n',
-    var' = max((s2 - s1^2 / n') / max(n' - 1, 1), 0), std' = sqrt(var' + 1e-6).
-    Because the sums are exact, a context whose other rows are all equal
-    gets a variance of exactly 0, whatever the engine or partitioning.
+    The row's own share is taken out of the context's scaled sums, which are
+    whole numbers (exact), and the moments of the remaining n - 1 values are
+    read from them: mean', var' (0 for a single value), std' = sqrt(var' + 1e-6).
+    Values are measured from the context's minimum in units of its range, so
+    nothing cancels when they are large against their spread, and equal
+    values leave a variance of exactly 0.
     """
-    xc = F.col(x)
-    n1 = F.col("context_obs_count").cast("double") - F.lit(1.0)
-    s1 = F.col("context_sum_passengers") - xc
-    s2 = F.col("context_sumsq_passengers") - xc * xc
-    var = F.greatest(
-        F.try_divide(s2 - s1 * s1 / n1, F.greatest(n1 - F.lit(1.0), F.lit(1.0))), F.lit(0.0)
-    )
-    return df.withColumns(
+    s = _sums(x)
+    q, q2 = s.parts()
+    left, rest, rest2 = F.col(f"_n_{x}") - 1, F.col(f"_s_{x}") - q, F.col(f"_s2_{x}") - q2
+    var = F.when(left > 0, F.coalesce(s.variance(rest, rest2, left), F.lit(0.0)))
+    out = df.withColumns(
         {
-            "loo_mean_passengers": F.try_divide(s1, n1),
+            "loo_mean_passengers": s.mean(rest, rest2, left),
             "loo_std_passengers": F.sqrt(var + F.lit(EPS)),
         }
     )
+    return out.drop(*[f"_{n}_{x}" for n in ("n", "lo", "hi", "s", "s2")])

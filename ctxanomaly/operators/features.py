@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ctxanomaly.config import CONTEXT_KEYS, EPS, FEATURES, MEASURE
-from ctxanomaly.functions.expressions import finite_nonneg, rate
+from ctxanomaly.config import CONTEXT_KEYS, EPS, FEATURE_DIGITS, FEATURES, MEASURE
+from ctxanomaly.functions.expressions import finite_nonneg, flag_of, rate
+from ctxanomaly.functions.sums import ScaledSums
 from ctxanomaly.operators.context import (
     attach_context,
     context_profile,
@@ -18,6 +20,7 @@ from ctxanomaly.operators.context import (
 )
 from ctxanomaly.operators.hourly import ensure_temporal
 from ctxanomaly.operators.records import fill_zero
+from ctxanomaly.session import cut
 
 SECOND_FILTER_COLUMNS = (
     "total_passengers",
@@ -33,18 +36,28 @@ SECOND_FILTER_COLUMNS = (
 def normalize_label(df: DataFrame, src: str = "is_anomaly", dst: str = "zscore_anomaly") -> DataFrame:
     """0/1 integer label for comparison (never a feature).
 
-    An existing ``dst`` is cast; otherwise ``src`` counts as 1 when it is
-    true, 'true' in any case, or numerically 1; an absent label is 0.
+    An existing numeric ``dst`` is cast.  Else ``dst``, or ``src`` without
+    one, counts as 1 when it is true, 'true' in any case, or numerically 1;
+    an absent label is 0.
     """
-    if dst in df.columns:
+    kinds = dict(df.dtypes)
+    if kinds.get(dst, "string") not in ("string", "boolean"):
         return df.withColumn(dst, F.col(dst).try_cast("int"))
-    if src in df.columns:
-        c = F.col(src)
-        hit = (F.lower(c.cast("string")) == F.lit("true")) | (c.try_cast("double") == F.lit(1.0))
-        return df.withColumn(dst, F.when(hit, F.lit(1)).otherwise(F.lit(0)))
+    for c in (dst, src):
+        if c in kinds:
+            return df.withColumn(dst, flag_of(F.col(c)))
     return df.withColumn(dst, F.lit(0))
 
 
+def numeric_text(df: DataFrame) -> DataFrame:
+    """The forest's number columns where they are text: totals as doubles,
+    counts and calendar fields as whole numbers; bad values become null."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    out = coerce_numeric(df, [c for c in SECOND_FILTER_COLUMNS if c in texts])
+    whole = {"record_count": "bigint", "hour": "int", "month": "int", "spark_dayofweek": "int", "is_weekend": "int"}
+    return out.withColumns({c: F.col(c).try_cast(kind) for c, kind in whole.items() if c in texts})
+
+
 def coerce_numeric(df: DataFrame, cols: Sequence[str] = SECOND_FILTER_COLUMNS) -> DataFrame:
     """``try_cast`` the present columns to double; unparsable values become null."""
     present = [c for c in cols if c in df.columns]
@@ -69,10 +82,11 @@ def in_range_rows(df: DataFrame) -> DataFrame:
 def forest_input(df: DataFrame) -> DataFrame:
     """Label, temporal columns and the second filter, ahead of the features.
 
-    Integer columns keep their types; the filters are the same as on
-    doubles.
+    Typed columns keep their types; text is coerced first, and what cannot
+    be read as a number is dropped by the filters (and counted by
+    ``cell_drop_reasons``).
     """
-    out = ensure_temporal(normalize_label(df))
+    out = ensure_temporal(numeric_text(normalize_label(df)))
     return in_range_rows(complete_rows(out))
 
 
@@ -81,17 +95,18 @@ def context_features(
     context: Sequence[str] = CONTEXT_KEYS,
     x: str = MEASURE,
     min_obs: int = 5,
-    materialize: bool = True,
+    is_cut: bool = False,
 ) -> DataFrame:
     """Ratios, context profile, n >= min_obs, leave-one-out moments and the
     ten deviation features (five signed, five absolute), nulls filled with 0.
 
     The context profile is computed over ``df`` itself (the rows passing the
-    second filter), not over the z-score input.
+    second filter), not over the z-score input.  ``df`` is read three times;
+    unless it comes from a cut (``is_cut``) it is cut first.
     """
-    base = ratio_features(df)
+    base = ratio_features(df if is_cut else cut(df, "forest_input"))
     stats = context_profile(base, context, x)
-    out = min_context(attach_context(base, stats, context, "left", materialize), min_obs)
+    out = min_context(attach_context(base, stats, context, "inner"), min_obs)
     out = leave_one_out(out, x)
     xc = F.col(x)
     mu = F.col("loo_mean_passengers")
@@ -104,17 +119,23 @@ def context_features(
         "passenger_per_record_diff": F.col("passenger_per_record")
         - F.col("context_avg_passenger_per_record"),
     }
-    out = out.withColumns(signed)
+    out = out.withColumns({k: F.round(v, FEATURE_DIGITS) for k, v in signed.items()})
     out = out.withColumns({f"abs_{k}": F.abs(F.col(k)) for k in signed})
     return fill_zero(out, FEATURES)
 
 
 def feature_moments(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
-    """One-row frame: mean and sample std of every column, in one pass."""
+    """One-row frame: mean and sample std of every column.
+
+    Two passes: the extremes (one row, brought to the driver), then sums of
+    whole numbers, so the moments do not depend on order or partitioning.
+    """
+    spans = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]).first()
     aggs = []
     for c in cols:
-        aggs.append(F.avg(c).alias(f"{c}_mean"))
-        aggs.append(F.stddev_samp(c).alias(f"{c}_std"))
+        n, lo, hi = spans[f"n_{c}"], spans[f"lo_{c}"], spans[f"hi_{c}"]
+        s = ScaledSums(F.col(c), F.lit(n), F.lit(lo).cast("double"), F.lit(hi).cast("double"))
+        aggs += [s.mean(*s.sums()).alias(f"{c}_mean"), s.std(*s.sums()).alias(f"{c}_std")]
     return df.agg(*aggs)
 
 

@@ -1,10 +1,10 @@
 """Isolation forest over the scaled context features.
 
-* pool: the ``pool_size`` rows with the smallest hash(seed, "pool", row key),
-  found by an exact distributed rank search, so the pool does not depend on
-  partitioning or row order;
-* per tree: the ``max_samples`` pool rows with the smallest
-  hash(seed, "tree", tree, row key);
+* rows: all of them, or (``pool_size``) those with the smallest hash(seed,
+  "pool", row key), found by an exact distributed rank search;
+* per tree: the ``max_samples`` rows with the smallest draw value, a cheap
+  function of (row hash, tree).  Rows are filtered by a bound on that value
+  in the scan, so only a few times ``max_samples`` rows a tree are ranked;
 * fit: ``groupBy(tree_id).applyInPandas`` grows the trees in parallel (one
   bounded group per tree) into a node table;
 * score: an Arrow iterator UDF walks compact node arrays (bounded by
@@ -12,6 +12,8 @@
   units; the score 2^(-avg_path / c(max_samples)) is a JVM expression;
 * threshold: exact rank ceil((1 - contamination) N) of the score, or the
   original approxQuantile; flag = score >= threshold (ties flagged).
+
+Neither rows nor draws depend on partitioning or row order.
 """
 
 from __future__ import annotations
@@ -27,11 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ctxanomaly.config import HOURLY_KEYS, SCALED_FEATURES, DetectConfig
-from ctxanomaly.functions.expressions import HASH_BITS, c_factor_py, hash_int, row_key
+from ctxanomaly.functions.expressions import HASH_BITS, c_factor_py, hash_int, hash_int_py, row_key
 from ctxanomaly.functions.isotree import ForestArrays, grow_trees_pdf
-from ctxanomaly.operators.quantile import rank_bucket, value_at_rank
+from ctxanomaly.operators.quantile import value_at_rank
 from ctxanomaly.schema import NODES, PATH_UNIT
-from ctxanomaly.session import cut, ship_package, sized_broadcast
+from ctxanomaly.session import cut, ship_package
+
+DRAW_PRIME = (1 << 31) - 1
+DRAW_MARGIN = 4
 
 
 def with_row_key(df: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
@@ -43,72 +48,85 @@ def with_pool_hash(df: DataFrame, cfg: DetectConfig = DetectConfig()) -> DataFra
     return df.withColumn("h_pool", hash_int(F.lit(cfg.seed), F.lit("pool"), F.col("row_key")))
 
 
+def _with_pool_hash(df: DataFrame, cfg: DetectConfig, features: Sequence[str]) -> DataFrame:
+    if "h_pool" not in df.columns:
+        df = with_pool_hash(df, cfg)
+    return df.select("row_key", "h_pool", *features)
+
+
 def training_pool(
     df: DataFrame,
     cfg: DetectConfig = DetectConfig(),
     features: Sequence[str] = SCALED_FEATURES,
 ) -> DataFrame:
-    """Reproducible training pool of at most ``cfg.pool_size`` rows.
+    """The rows that trees are drawn from: all, or exactly ``cfg.pool_size``
+    of the smallest (h_pool, row_key).
 
-    ``df`` needs ``row_key`` and the feature columns.  The exact rank search
-    bounds what reaches the final ordering by pool_size + 100,000 rows.
+    ``df`` needs ``row_key`` and the feature columns.  The value at the
+    pool's rank is searched for distributedly; below it every row is in, and
+    only rows that tie with it are ordered.
     """
-    return _training_pool(df, cfg, features)[0]
+    keyed = _with_pool_hash(df, cfg, features)
+    if cfg.pool_size is None or keyed.count() <= cfg.pool_size:
+        return keyed
+    last = value_at_rank(keyed, "h_pool", cfg.pool_size, HASH_BITS)
+    h = F.col("h_pool")
+    below = keyed.filter(h < last)
+    ties = keyed.filter(h == last).orderBy("row_key").limit(cfg.pool_size - below.count())
+    return below.unionByName(ties)
 
 
-def _training_pool(
-    df: DataFrame, cfg: DetectConfig, features: Sequence[str]
-) -> tuple[DataFrame, int]:
-    """:func:`training_pool` and its row count (min(pool_size, rows))."""
-    if "h_pool" not in df.columns:
-        df = with_pool_hash(df, cfg)
-    keyed = df.select("row_key", "h_pool", *features)
-    total = keyed.count()
-    if total == 0:
-        raise ValueError("no rows to train on")
-    if total <= cfg.pool_size:
-        return keyed, total  # every row is in the pool; no ranking needed
-    take = cfg.pool_size
-    bucket = rank_bucket(keyed, "h_pool", take, HASH_BITS)
-    pool = (
-        keyed.filter(F.col("h_pool") < F.lit(bucket.hi))
-        .orderBy("h_pool", "row_key")
-        .limit(take)
-    )
-    return pool, take
+def draw_factors(cfg: DetectConfig) -> list[tuple[int, int]]:
+    """(a, b) of each tree: its draw value is (a h + b) mod (2^31 - 1)."""
+    return [
+        (1 + hash_int_py(cfg.seed, "tree-a", t) % (DRAW_PRIME - 1), hash_int_py(cfg.seed, "tree-b", t) % DRAW_PRIME)
+        for t in range(cfg.num_trees)
+    ]
 
 
 def tree_samples(
-    pool: DataFrame, cfg: DetectConfig = DetectConfig(), pool_rows: int | None = None
+    rows: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    features: Sequence[str] = SCALED_FEATURES,
+    total: int | None = None,
 ) -> DataFrame:
-    """Per-tree subsample without replacement: the ``max_samples`` pool rows
-    with the smallest hash(seed, "tree", tree, row key).
-
-    Only narrow (row_key, tree_id, hash) rows are ranked, spread over all
-    cores; WindowGroupLimit keeps max_samples per tree and map partition
-    before the shuffle.  Features are attached afterwards from the pool,
-    bounded by ``cfg.pool_size`` rows and broadcast when that fits the
-    session's broadcast threshold (pass a cut pool: it is counted).
+    """Per-tree subsample without replacement: the ``max_samples`` rows with
+    the smallest (draw value, row key) of each tree.
+
+    A row's draw values come from its hash by one multiplication a tree, and
+    only (row, tree) pairs under a bound leave the scan: expected are
+    ``DRAW_MARGIN`` times ``max_samples`` a tree.  Should a tree get too few,
+    the bound is raised for all and the scan repeated.  ``rows`` should be
+    cheap to read (a cut).
     """
-    # ~50k exploded rows per task: enough work per task on any cluster size.
-    wanted = math.ceil(cfg.pool_size * cfg.num_trees / 50_000)
-    parallelism = max(1, min(pool.sparkSession.sparkContext.defaultParallelism, wanted))
-    ranked = (
-        pool.select("row_key")
-        .repartition(parallelism)
-        .withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.num_trees - 1))))
-        .withColumn(
-            "h_tree",
-            hash_int(F.lit(cfg.seed), F.lit("tree"), F.col("tree_id"), F.col("row_key")),
-        )
+    rows = _with_pool_hash(rows, cfg, features)
+    total = rows.count() if total is None else total
+    if total == 0:
+        raise ValueError("no rows to train on")
+    wanted = min(cfg.max_samples, total)
+    bound = min(DRAW_PRIME, math.ceil(DRAW_PRIME * DRAW_MARGIN * cfg.max_samples / total))
+    h = F.col("h_pool") % DRAW_PRIME
+    draws = F.array(
+        *[
+            F.struct(F.lit(t).alias("tree_id"), ((h * a + b) % DRAW_PRIME).alias("h_tree"))
+            for t, (a, b) in enumerate(draw_factors(cfg))
+        ]
     )
+    while True:
+        limit = F.lit(bound)
+        low = F.filter(draws, lambda d: d["h_tree"] < limit)  # noqa: B023 (used at once)
+        drawn = cut(
+            rows.withColumn("_low", low).filter(F.size("_low") > 0)
+            .select("row_key", *features, F.explode("_low").alias("d"))
+            .select("d.tree_id", "row_key", "d.h_tree", *features),
+            "drawn",
+        )
+        counts = drawn.groupBy("tree_id").count().agg(F.count(F.lit(1)), F.min("count")).first()
+        if bound == DRAW_PRIME or (counts[0] == cfg.num_trees and counts[1] >= wanted):
+            break
+        bound = min(DRAW_PRIME, 4 * bound)
     w = Window.partitionBy("tree_id").orderBy("h_tree", "row_key")
-    chosen = (
-        ranked.withColumn("rn", F.row_number().over(w))
-        .filter(F.col("rn") <= F.lit(cfg.max_samples))
-        .drop("rn")
-    )
-    return chosen.join(sized_broadcast(pool, pool_rows), "row_key")
+    return drawn.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= cfg.max_samples).drop("rn")
 
 
 def fit_forest(
@@ -134,15 +152,14 @@ def fit(
 ) -> pd.DataFrame:
     """Grow the forest and return its node table (bounded: at most
     num_trees x (2^(max_depth+1) - 1) rows) as a local frame."""
-    # The pool is bounded by pool_size rows; cut it so the size check and
-    # the per-tree draw read it once.
-    pool, n_pool = _training_pool(featured, cfg, features)
+    total = featured.count()
+    n_pool = total if cfg.pool_size is None else min(total, cfg.pool_size)
     if n_pool < cfg.min_pool_rows:
         raise ValueError(
             f"training pool has {n_pool} rows; at least {cfg.min_pool_rows} are needed"
         )
-    pool = cut(pool, "pool")
-    nodes = fit_forest(tree_samples(pool, cfg, n_pool), cfg, features)
+    rows = featured if n_pool == total else cut(training_pool(featured, cfg, features), "pool")
+    nodes = fit_forest(tree_samples(rows, cfg, features, n_pool), cfg, features)
     return nodes.toPandas()
 
 
@@ -190,6 +207,11 @@ def score_forest(
     return out.withColumn("iforest_score", score_expr("iforest_path_units", cfg))
 
 
+def top_by_score(df: DataFrame, n: int = 20, tie_keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
+    """The n rows of highest forest score (TakeOrderedAndProject, no global sort)."""
+    return df.orderBy(F.col("iforest_score").desc(), *[F.col(k).asc_nulls_first() for k in tie_keys]).limit(n)
+
+
 def threshold_rank(n: int, contamination: float) -> int:
     """1-based ascending rank of the (1 - contamination) discrete quantile:
     the first value whose cumulative share reaches the level."""

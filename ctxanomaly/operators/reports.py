@@ -9,17 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctxanomaly.config import METHOD_LABELS, OVERLAP_LABELS, SENSITIVITY_THRESHOLDS, SUMMARY_PROPERTIES
-from ctxanomaly.functions.expressions import finite_nonneg, rate
+from ctxanomaly.functions.expressions import finite_nonneg, flag_of, rate
+from ctxanomaly.operators.records import at_least, line_slice
 
 Z = "zscore_anomaly"
 IF = "iforest_anomaly"
 SCORE = "iforest_score"
 
 
-
 def _flag(c: str) -> Column:
-    """0/1 integer view of a boolean or integer flag column."""
-    return F.coalesce(F.col(c).cast("int"), F.lit(0))
+    """0/1 integer view of a boolean, numeric or text flag column."""
+    return flag_of(F.col(c))
 
 
 def _method_aggs(a: str, b: str, score: str) -> list[Column]:
@@ -54,6 +54,10 @@ def method_summary(df: DataFrame, a: str = Z, b: str = IF, score: str = SCORE) -
         F.max(score).alias("max_iforest_score"),
         F.min(score).alias("min_iforest_score"),
     )
+    return _summary_rates(out)
+
+
+def _summary_rates(out: DataFrame) -> DataFrame:
     both = F.col("both_methods_anomaly_count")
     return out.withColumns(
         {
@@ -69,25 +73,111 @@ def method_summary(df: DataFrame, a: str = Z, b: str = IF, score: str = SCORE) -
 def method_by(
     df: DataFrame, key: str, a: str = Z, b: str = IF, score: str = SCORE
 ) -> DataFrame:
-    """Per-key comparison of the two methods.  Months sort ascending; other
-    keys by forest rate descending, then key."""
-    out = _method_rates(df.groupBy(key).agg(*_method_aggs(a, b, score)))
-    if key == "month":
-        return out.orderBy(key)
-    return out.orderBy(F.col("iforest_anomaly_rate").desc(), F.col(key).asc_nulls_first())
+    """Per-key comparison of the two methods, the null key dropped (as in
+    :func:`rate_by`).  Months sort ascending; other keys by forest rate
+    descending, then key."""
+    out = _method_rates(df.filter(F.col(key).isNotNull()).groupBy(key).agg(*_method_aggs(a, b, score)))
+    return out.orderBy(*method_order(key))
+
+
+def method_order(key: str) -> list[Column]:
+    return [F.col(key)] if key == "month" else [F.col("iforest_anomaly_rate").desc(), F.col(key)]
+
+
+def _grain() -> Column:
+    """Which of the grouping sets (), (month), (line) a row belongs to."""
+    gid = F.grouping_id()
+    return F.when(gid == 3, F.lit("all")).when(gid == 1, F.lit("month")).otherwise(F.lit("line"))
 
 
 def method_cube(df: DataFrame, a: str = Z, b: str = IF, score: str = SCORE) -> DataFrame:
     """Overall, per-month and per-line comparisons in one scan (grouping sets)."""
     out = df.groupingSets([[], ["month"], ["line"]], "month", "line").agg(
-        F.grouping_id().alias("gid"), *_method_aggs(a, b, score)
+        _grain().alias("grain"), *_method_aggs(a, b, score)
     )
-    grain = (
-        F.when(F.col("gid") == 3, F.lit("all"))
-        .when(F.col("gid") == 1, F.lit("month"))
-        .otherwise(F.lit("line"))
+    return _method_rates(out)
+
+
+def scored_cube(df: DataFrame, a: str = Z, b: str = IF, score: str = SCORE) -> DataFrame:
+    """Everything the method reports need, by grain, in one scan."""
+    fa, fb = _flag(a), _flag(b)
+    return df.groupingSets([[], ["month"], ["line"]], "month", "line").agg(
+        _grain().alias("grain"),
+        *_method_aggs(a, b, score),
+        F.count_if((fa == 1) & (fb == 1)).alias("both_methods_anomaly_count"),
+        F.count_if((fa == 1) & (fb == 0)).alias("only_zscore_anomaly_count"),
+        F.count_if((fa == 0) & (fb == 1)).alias("only_iforest_anomaly_count"),
+        F.max(score).alias("max_iforest_score"),
+        F.min(score).alias("min_iforest_score"),
     )
-    return _method_rates(out.withColumn("grain", grain)).drop("gid")
+
+
+def scored_reports(cube: DataFrame) -> dict[str, DataFrame]:
+    """The method reports from a (written) :func:`scored_cube`."""
+    by = {}
+    for key in ("month", "line"):
+        rows = cube.filter((F.col("grain") == key) & F.col(key).isNotNull())
+        cols = [key, "total_obs", "zscore_anomaly_count", "iforest_anomaly_count", "avg_iforest_score"]
+        by[f"method_by_{key}"] = _method_rates(rows.select(*cols)).orderBy(*method_order(key))
+    overall = cube.filter(F.col("grain") == "all").drop("grain", "month", "line")
+    return {"method_summary": _summary_rates(overall.withColumnRenamed("total_obs", "total_rows")), **by}
+
+
+def zscore_cube(
+    df: DataFrame, flag: str = "is_anomaly", z: str = "z_score", thresholds: Sequence[float] = SENSITIVITY_THRESHOLDS
+) -> DataFrame:
+    """Everything the z-score reports need, by grain, in one scan."""
+    zs = F.abs(F.col(z).try_cast("double"))
+    sets = [[], ["month"], ["line"], ["hour"]]
+    gid = F.grouping_id()
+    grain = F.when(gid == 7, F.lit("all")).when(gid == 3, F.lit("month")).when(gid == 5, F.lit("line"))
+    return df.groupingSets(sets, "month", "line", "hour").agg(
+        grain.otherwise(F.lit("hour")).alias("grain"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.col(flag)).alias("total_obs"),
+        F.sum(_flag(flag)).cast("bigint").alias("anomaly_count"),
+        F.avg("total_passengers").alias("avg_passengers"),
+        *[F.count_if(zs > F.lit(float(t))).alias(f"over_{i}") for i, t in enumerate(thresholds)],
+    )
+
+
+def zscore_reports(
+    cube: DataFrame, columns: int, thresholds: Sequence[float] = SENSITIVITY_THRESHOLDS
+) -> dict[str, DataFrame]:
+    """The z-score reports from a (written) :func:`zscore_cube`; ``columns``:
+    how many the table has."""
+    every = cube.filter(F.col("grain") == "all")
+    ratio = F.coalesce(rate(F.col("anomaly_count"), F.col("rows")), F.lit(0.0))
+    overall = every.select(
+        F.col("rows").alias("total_rows"),
+        F.coalesce("anomaly_count", F.lit(0).cast("bigint")).alias("total_anomalies"),
+        ratio.alias("anomaly_ratio"),
+    )
+    by = {}
+    for key in ("month", "line"):
+        rows = cube.filter((F.col("grain") == key) & F.col(key).isNotNull())
+        by[key] = rows.select(
+            key, "total_obs", "anomaly_count", rate(F.col("anomaly_count"), F.col("total_obs")).alias("anomaly_rate")
+        )
+    over = F.array(
+        *[
+            F.struct(F.lit(float(t)).alias("threshold"), F.col(f"over_{i}").alias("anomaly_count"))
+            for i, t in enumerate(thresholds)
+        ]
+    )
+    sensitivity = every.select("rows", F.inline(over)).withColumn("anomaly_rate", rate(F.col("anomaly_count"), F.col("rows")))
+    hours = cube.filter((F.col("grain") == "hour") & F.col("hour").isNotNull())
+    return {
+        "rate_by_line": by["line"].orderBy("line"),
+        "rate_by_month": by["month"].orderBy("month"),
+        "threshold_sensitivity": sensitivity.drop("rows").orderBy("threshold"),
+        "top5_line_rate": by["line"].orderBy(F.col("anomaly_rate").desc(), F.col("line")).limit(5),
+        "top_anomaly_lines": by["line"].filter("anomaly_count > 0").select("line", "anomaly_count")
+        .orderBy(F.col("anomaly_count").desc(), F.col("line")).limit(10),
+        "overall_ratio": overall,
+        "dataset_summary": _summary_rows(overall, columns),
+        "hourly_average": hours.select("hour", "avg_passengers").orderBy("hour"),
+    }
 
 
 def rate_by(df: DataFrame, key: str, flag: str = "is_anomaly") -> DataFrame:
@@ -116,7 +206,7 @@ def threshold_sensitivity(
     A null z never counts; the rate divides by all rows."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, t in enumerate(thresholds):
-        aggs.append(F.count_if(F.abs(F.col(z)) > F.lit(float(t))).alias(f"c{i}"))
+        aggs.append(F.count_if(F.abs(F.col(z).try_cast("double")) > F.lit(float(t))).alias(f"c{i}"))
     wide = df.agg(*aggs)
     rows = F.array(
         *[
@@ -155,7 +245,11 @@ def overall_ratio(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
 
 def dataset_summary(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
     """Property / value rows: total rows, columns, anomaly count and ratio."""
-    wide = overall_ratio(df, flag).withColumn("total_columns", F.lit(len(df.columns)))
+    return _summary_rows(overall_ratio(df, flag), len(df.columns))
+
+
+def _summary_rows(overall: DataFrame, columns: int) -> DataFrame:
+    wide = overall.withColumn("total_columns", F.lit(columns))
     props = list(zip(SUMMARY_PROPERTIES, ("total_rows", "total_columns", "total_anomalies", "anomaly_ratio")))
     rows = F.array(
         *[
@@ -169,7 +263,7 @@ def dataset_summary(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
 def line_series(df: DataFrame, line: str, flag: str = "is_anomaly", x: str = "total_passengers") -> DataFrame:
     """Time-ordered series of one line with an anomaly overlay column."""
     return (
-        df.filter(F.col("line") == F.lit(line))
+        line_slice(df, line)
         .select(
             "datetime",
             "line_name",
@@ -185,7 +279,7 @@ def line_ranking(df_by_line: DataFrame, min_obs: int = 0, top_n: int = 10) -> Da
     """Top lines by forest rate among lines with at least ``min_obs`` rows,
     then re-sorted ascending for display."""
     top = (
-        df_by_line.filter(F.col("total_obs") >= F.lit(min_obs))
+        at_least(df_by_line, min_obs)
         .orderBy(F.col("iforest_anomaly_rate").desc(), F.col("line"))
         .limit(top_n)
     )
@@ -194,7 +288,7 @@ def line_ranking(df_by_line: DataFrame, min_obs: int = 0, top_n: int = 10) -> Da
 
 def line_rate_pairs(df_by_line: DataFrame, min_obs: int = 0) -> DataFrame:
     """(line, z rate, forest rate, size) for lines with >= min_obs rows."""
-    return df_by_line.filter(F.col("total_obs") >= F.lit(min_obs)).select(
+    return at_least(df_by_line, min_obs).select(
         "line", "zscore_anomaly_rate", "iforest_anomaly_rate", "total_obs"
     )
 
@@ -274,7 +368,8 @@ def cell_drop_reasons(cells_with_context: DataFrame, min_obs: int = 5) -> DataFr
     """First failing forest-input rule of every hourly cell, counted.
 
     Expects the second-filter context size as ``context_obs_count`` (null
-    when the cell fails the second filter or its key never matches).
+    when the cell fails the second filter or its key never matches); number
+    columns that are text should be coerced before (``numeric_text``).
     """
     reason = (
         F.when(
@@ -293,6 +388,10 @@ def cell_drop_reasons(cells_with_context: DataFrame, min_obs: int = 5) -> DataFr
             F.col("line").isNull() | F.col("hour").isNull() | F.col("spark_dayofweek").isNull(),
             F.lit("null_context_key"),
         )
+        .when(
+            F.col("month").isNull() | F.col("is_weekend").isNull() | ~F.col("hour").between(0, 23),
+            F.lit("bad_calendar"),
+        )
         .when(
             F.coalesce(F.col("context_obs_count"), F.lit(0)) < F.lit(min_obs),
             F.lit("small_context"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ctxanomaly.config import CONTEXT_KEYS, MEASURE
 from ctxanomaly.functions.expressions import flag_abs_gt
 from ctxanomaly.operators.context import attach_context, context_moments
+from ctxanomaly.session import cut
 
 
 def zscore(
@@ -17,15 +18,16 @@ def zscore(
     context: Sequence[str] = CONTEXT_KEYS,
     x: str = MEASURE,
     threshold: float = 3.0,
-    materialize: bool = True,
+    is_cut: bool = False,
 ) -> DataFrame:
     """Add group_mean, group_std (sample), z_score and is_anomaly.
 
     Statistics use every row of ``df``.  One-row contexts have a null std,
     constant contexts a zero std: both give a null z, never anomalous.
+    ``df`` is read three times; unless it is a cut (``is_cut``) it is cut first.
     """
-    stats = context_moments(df, context, x)
-    out = attach_context(df, stats, context, "left", materialize)
+    df = df if is_cut else cut(df, "cells")
+    out = attach_context(df, context_moments(df, context, x), context, "left")
     out = out.withColumn(
         "z_score", F.try_divide(F.col(x) - F.col("group_mean"), F.col("group_std"))
     )

@@ -1,4 +1,4 @@
-"""Session-level helpers: where stage cuts are written, and size-checked broadcast."""
+"""Session-level helpers: where stage cuts are written, and what Spark can broadcast."""
 
 from __future__ import annotations
 
@@ -10,16 +10,14 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for stage cuts, taken from ``spark.checkpoint.dir``.
 
     On a cluster the folder must be set by the caller (a shared file system
-    or object store).  Only a local-mode session without one gets a private
-    temporary folder, as in tests.
+    or object store).  A local-mode session without one uses a folder of its
+    warehouse.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -29,7 +27,7 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "that every executor can read"
             )
-        root = tempfile.mkdtemp(prefix="ctxanomaly-ckpt-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_ctxanomaly"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -79,36 +77,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _row_bytes(schema: T.StructType) -> int:
-    size = 0
-    for field in schema.fields:
-        size += 32 if isinstance(field.dataType, T.StringType) else 8
-    return size + 16
-
-
 def broadcast_limit_bytes(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        value = int(str(raw).strip().lower().rstrip("b"))
-    except ValueError:
-        value = 10 * 1024 * 1024
-    return value
+    """``spark.sql.autoBroadcastJoinThreshold`` as Spark parses it (any unit)."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def sized_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Broadcast hint only when the (materialised) side is proven small.
-
-    ``df`` should be a cut (cheap to count).  Its estimated size is checked
-    against ``spark.sql.autoBroadcastJoinThreshold``; beyond it the side is
-    returned as is and Spark plans a shuffle join (AQE splits skewed keys).
-    """
-    limit = broadcast_limit_bytes(df.sparkSession)
-    if limit <= 0:
-        return df
-    n = df.count() if rows is None else rows
-    if n * _row_bytes(df.schema) <= limit:
-        return F.broadcast(df)
-    return df
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size statistics put ``df`` (a cut: the size of its
+    files) within the broadcast threshold.  No hint is given anywhere; this
+    only tells which of two equal plans is the cheaper one."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= broadcast_limit_bytes(df.sparkSession)
 
 
 _SHIPPED: set[str] = set()

@@ -2,10 +2,12 @@
 
 import datetime as dt
 import math
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ctxanomaly.config import EPS, FEATURES
 from ctxanomaly.operators.features import (
@@ -16,6 +18,8 @@ from ctxanomaly.operators.features import (
     standardize,
 )
 from ctxanomaly.operators.records import select_present
+from ctxanomaly.operators.zscore import zscore
+from ctxanomaly.session import broadcast_limit_bytes
 
 CELLS = (
     "datetime timestamp_ntz, line string, line_name string, town string, total_passengers double, "
@@ -64,6 +68,63 @@ def test_constant_remainder_has_zero_variance(spark):
     assert out[4999.0].loo_mean_passengers == 3.0
 
 
+@pytest.mark.parametrize(
+    "xs",
+    [
+        [1e9 + i for i in range(12)],
+        [1e15 + i for i in range(12)],
+        [1e-7 * i * i for i in range(9)],
+        [0.0, 1e-9, 5e-9, 2e-9, 3e-9],
+        [12345.67, 99.01, 4.5, 70000.25, 12.0, 12.0, 13.0],
+    ],
+)
+def test_loo_equals_direct_moments(spark, xs):
+    """Against the moments of the other rows themselves, in exact arithmetic."""
+    rows = feats(spark, [cell(i, "D", x) for i, x in enumerate(xs)]).collect()
+    for r in rows:
+        i = xs.index(r.total_passengers)
+        rest = [Fraction(x) for j, x in enumerate(xs) if j != i]
+        mean = sum(rest) / len(rest)
+        var = sum((x - mean) ** 2 for x in rest) / (len(rest) - 1)
+        assert r.loo_mean_passengers == pytest.approx(float(mean), rel=1e-12)
+        # float(var) is exact to the last digit; the epsilon of 1e-6 is part of the method
+        assert r.loo_std_passengers**2 - EPS == pytest.approx(float(var), rel=1e-6, abs=1e-12)
+
+
+def test_text_and_labels_reach_the_forest_input(spark):
+    text = spark.createDataFrame([cell(i, "A", 1.0 + i) for i in range(7)], CELLS)
+    text = text.select(*[F.col(c).cast("string").alias(c) for c in text.columns]).withColumn("zscore_anomaly", F.lit("1.0"))
+    text = text.withColumn("total_passages", F.when(F.col("total_passengers") == "3.0", "n/a").otherwise(F.col("total_passages")))
+    out = forest_input(text.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")))
+    rows = out.collect()
+    assert len(rows) == 6 and all(r.zscore_anomaly == 1 for r in rows)
+    assert dict(out.dtypes)["record_count"] == "bigint" and dict(out.dtypes)["hour"] == "int"
+
+
+def test_null_keys_go_round_the_shuffled_join(spark):
+    rows = [cell(i, "A", 1.0 + i) for i in range(6)] + [cell(9, None, 2.0)]
+    df = spark.createDataFrame(rows, CELLS)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted(map(tuple, zscore(df).collect()), key=repr)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = zscore(df)
+        assert sorted(map(tuple, out.collect()), key=repr) == want
+        assert "Union" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("text,value", [("1GB", 1 << 30), ("64m", 64 << 20), ("-1", -1), ("123", 123)])
+def test_broadcast_threshold_is_parsed(spark, text, value):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert broadcast_limit_bytes(spark) == value
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_context_size_filter(spark):
     rows = [cell(i, "four", 1.0 + i) for i in range(4)] + [cell(i, "five", 1.0 + i) for i in range(5)]
     lines = {r.line for r in feats(spark, rows).collect()}
@@ -100,6 +161,8 @@ def test_label_forms(spark):
     assert [r.zscore_anomaly for r in normalize_label(df).collect()] == [1, 1, 1, 0, 0, 0, 1]
     b = spark.createDataFrame([(True,), (False,), (None,)], "is_anomaly boolean")
     assert [r.zscore_anomaly for r in normalize_label(b).collect()] == [1, 0, 0]
+    existing = spark.createDataFrame([("1.0",), ("TRUE",), ("x",), (None,)], "zscore_anomaly string")
+    assert [r.zscore_anomaly for r in normalize_label(existing).collect()] == [1, 1, 0, 0]
     i = spark.createDataFrame([(1,), (0,)], "is_anomaly int")
     assert [r.zscore_anomaly for r in normalize_label(i).collect()] == [1, 0]
     absent = spark.createDataFrame([(1,)], "x int")

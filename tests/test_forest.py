@@ -114,7 +114,7 @@ def test_forest_is_partition_independent(spark, detection001):
     key = ["tree_id", "node_id"]
     a = detection001.nodes.sort_values(key).reset_index(drop=True)
     b = other.nodes.sort_values(key).reset_index(drop=True)
-    pd.testing.assert_frame_equal(a, b)
+    pd.testing.assert_frame_equal(a, b, check_exact=True)
     cols = ["datetime", "line", "line_name", "town", "iforest_path_units", "iforest_anomaly"]
     fa = {tuple(r) for r in detection001.scored.select(*cols).collect()}
     fb = {tuple(r) for r in other.scored.select(*cols).collect()}
@@ -166,6 +166,7 @@ def test_forest_ignores_shuffle_partitioning(spark, detection001):
     pd.testing.assert_frame_equal(
         detection001.nodes.sort_values(key).reset_index(drop=True),
         other.nodes.sort_values(key).reset_index(drop=True),
+        check_exact=True,
     )
     assert detection001.threshold == other.threshold
     cols = ["datetime", "line", "line_name", "town", "iforest_path_units", "iforest_anomaly", "zscore_anomaly"]
@@ -174,6 +175,47 @@ def test_forest_ignores_shuffle_partitioning(spark, detection001):
     }
 
 
+def test_fractional_measures_give_the_same_bits(spark):
+    from ctxanomaly.plans.detect import detect
+    from ctxanomaly.sources import raw_prices
+
+    raw = raw_prices(spark, SF001)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    runs = []
+    for parts, shuffle in ((1, "1"), (7, "8"), (64, "64")):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        try:
+            runs.append(detect(raw.repartition(parts)))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    cols = ["datetime", "line", "line_name", "town", "total_passengers", "iforest_path_units", "iforest_anomaly", "zscore_anomaly"]
+    first = {tuple(r) for r in runs[0].scored.select(*cols).collect()}
+    nodes = [r.nodes.sort_values(["tree_id", "node_id"]).reset_index(drop=True) for r in runs]
+    for r, n in zip(runs[1:], nodes[1:]):
+        pd.testing.assert_frame_equal(nodes[0], n, check_exact=True)
+        assert {tuple(x) for x in r.scored.select(*cols).collect()} == first
+    assert any(x[4] % 1 for x in first)
+
+
+def test_draws_cover_all_rows_and_a_pool_only_part(spark, detection001):
+    from dataclasses import replace
+
+    from ctxanomaly.operators.forest import training_pool, tree_samples
+
+    featured = detection001.featured
+    n = featured.count()
+    every = tree_samples(featured, DetectConfig())
+    assert every.groupBy("tree_id").count().filter("count != 256").isEmpty()
+    assert every.select("row_key").distinct().count() > 0.8 * n
+    small = replace(DetectConfig(), pool_size=300)
+    pool = training_pool(featured, small)
+    assert pool.count() == 300
+    want = sorted((r.h_pool, r.row_key) for r in featured.select("h_pool", "row_key").collect())[:300]
+    assert sorted((r.h_pool, r.row_key) for r in pool.collect()) == want
+    few = tree_samples(pool.limit(100), DetectConfig(max_samples=256, num_trees=3))
+    assert few.count() == 300  # fewer rows than max_samples: every tree gets them all
+
+
 def test_config_validation():
     for bad in (
         dict(contamination=1.0),
@@ -181,6 +223,8 @@ def test_config_validation():
         dict(max_samples=1),
         dict(min_context_obs=1),
         dict(threshold_mode="fast"),
+        dict(pool_size=0),
+        dict(num_trees=1_000_000),
     ):
         with pytest.raises(ValueError):
             DetectConfig(**bad)
