@@ -8,16 +8,21 @@ decimals in the final projections of both engines.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ctxanomaly.config import (
     EPS,
     EULER_GAMMA,
+    FEATURE_DIGITS,
     FEATURES,
     METHOD_LABELS,
     OVERLAP_LABELS,
+    PUBLISHED_POOL,
     SENSITIVITY_THRESHOLDS,
     SUMMARY_PROPERTIES,
     DetectConfig,
 )
+from ctxanomaly.operators.forest import DRAW_PRIME, draw_factors
 
 CFG = DetectConfig()
 SEP = "chr(31)"
@@ -42,15 +47,6 @@ def replace_round(cols: list[str]) -> str:
     return "* replace (" + ", ".join(f"{r(c)} as {c}" for c in cols) + ")"
 
 
-def xsum(c: str) -> str:
-    """Exact (decimal) sum read back as double."""
-    return f"cast(sum(cast({c} as decimal(38,9))) as double)"
-
-
-def xavg(c: str) -> str:
-    return f"({xsum(c)} / count({c}))"
-
-
 def c_factor(n: str) -> str:
     return (
         f"(case when {n} <= 1 then 0.0 when {n} = 2 then 1.0 else "
@@ -96,12 +92,27 @@ raw_lineitem as (
 )"""
 
 
+RAW_PRICES = """
+raw_prices as (
+  select
+    cast(date_trunc('week', l_shipdate) as date) as transition_date,
+    cast((l_orderkey % 2) * 12 as integer) as transition_hour,
+    concat(l_returnflag, l_linestatus) as line,
+    concat('LINE ', l_returnflag) as line_name,
+    'ALL' as town,
+    l_extendedprice as number_of_passenger,
+    l_quantity * (1.0::double - l_discount) as number_of_passage
+  from lineitem
+)"""
+
+
 def record_chain(src: str, p: str) -> str:
     """cast -> valid -> dated -> hourly -> cells (prefix p)."""
     return f"""
 {p}cast as (
   select try_cast(transition_date as date) as transition_date,
-         try_cast(transition_hour as integer) as transition_hour,
+         case when floor(try_cast(transition_hour as double)) = try_cast(transition_hour as double)
+              then try_cast(try_cast(transition_hour as double) as integer) end as transition_hour,
          line, line_name, town,
          try_cast(number_of_passenger as double) as number_of_passenger,
          try_cast(number_of_passage as double) as number_of_passage
@@ -165,7 +176,7 @@ def feature_chain(p: str, min_obs: int = CFG.min_context_obs) -> str:
         "passage_per_passenger_diff": "passage_per_passenger - context_avg_passage_per_passenger",
         "passenger_per_record_diff": "passenger_per_record - context_avg_passenger_per_record",
     }
-    sig = ",\n         ".join(f"coalesce({e}, 0.0) as {k}" for k, e in signed.items())
+    sig = ",\n         ".join(f"coalesce(round({e}, {FEATURE_DIGITS}), 0.0) as {k}" for k, e in signed.items())
     ab = ",\n         ".join(f"abs({k}) as abs_{k}" for k in signed)
     return f"""
 {p}labelled as (
@@ -194,17 +205,15 @@ def feature_chain(p: str, min_obs: int = CFG.min_context_obs) -> str:
 {p}profile as materialized (
   select line, hour, spark_dayofweek,
          count(*) as context_obs_count,
-         {xsum('total_passengers')} as context_sum_passengers,
-         {xsum('total_passengers * total_passengers')} as context_sumsq_passengers,
-         {xavg('total_passengers')} as context_mean_passengers,
-         {xavg('passage_per_passenger')} as context_avg_passage_per_passenger,
-         {xavg('passenger_per_record')} as context_avg_passenger_per_record,
-         {xavg('passage_per_record')} as context_avg_passage_per_record
+         avg(total_passengers) as context_mean_passengers,
+         var_samp(total_passengers) as context_var_passengers,
+         avg(passage_per_passenger) as context_avg_passage_per_passenger,
+         avg(passenger_per_record) as context_avg_passenger_per_record,
+         avg(passage_per_record) as context_avg_passage_per_record
   from {p}ratios group by line, hour, spark_dayofweek
 ),
 {p}joined as (
-  select r.*, s.context_obs_count, s.context_sum_passengers, s.context_sumsq_passengers,
-         s.context_mean_passengers,
+  select r.*, s.context_obs_count, s.context_mean_passengers, s.context_var_passengers,
          s.context_avg_passage_per_passenger, s.context_avg_passenger_per_record,
          s.context_avg_passage_per_record
   from {p}ratios r join {p}profile s
@@ -212,16 +221,16 @@ def feature_chain(p: str, min_obs: int = CFG.min_context_obs) -> str:
   where s.context_obs_count >= {min_obs}
 ),
 {p}loo0 as (
-  select *,
-         cast(context_obs_count as double) - 1.0 as _n1,
-         context_sum_passengers - total_passengers as _s1,
-         context_sumsq_passengers - total_passengers * total_passengers as _s2
+  select *, total_passengers - context_mean_passengers as _d, cast(context_obs_count as double) as _n,
+         sum((total_passengers - context_mean_passengers) * (total_passengers - context_mean_passengers))
+           over (partition by line, hour, spark_dayofweek) as _ss
   from {p}joined
 ),
 {p}loo as (
-  select * exclude (_n1, _s1, _s2),
-         _s1 / _n1 as loo_mean_passengers,
-         sqrt(greatest((_s2 - _s1 * _s1 / _n1) / greatest(_n1 - 1.0, 1.0), 0.0) + {EPS}) as loo_std_passengers
+  select * exclude (_d, _n, _ss),
+         context_mean_passengers - _d / (_n - 1.0) as loo_mean_passengers,
+         sqrt(case when _ss - _d * _d * _n / (_n - 1.0) < 1e-12 * _ss then 0.0
+                   else (_ss - _d * _d * _n / (_n - 1.0)) / greatest(_n - 2.0, 1.0) end + {EPS}) as loo_std_passengers
   from {p}loo0
 ),
 {p}signed as (
@@ -259,6 +268,28 @@ def scale_chain(p: str) -> str:
 )"""
 
 
+def pool_chain(p: str, cfg: DetectConfig = CFG) -> str:
+    seed = str(cfg.seed)
+    fcols = ", ".join(f"{c}_scaled" for c in FEATURES)
+    limit = "" if cfg.pool_size is None else f"order by h_pool, row_key limit {cfg.pool_size}"
+    factors = ", ".join(f"({t}, {a}, {b})" for t, (a, b) in enumerate(draw_factors(cfg)))
+    return f"""
+{p}pool as materialized (
+  select row_key, {h(repr(seed), "'pool'", 'row_key')} as h_pool, {fcols}
+  from {p}scaled
+  {limit}
+),
+{p}factors as (
+  select * from (values {factors}) v(tree_id, a, b)
+),
+{p}samples as materialized (
+  select t.tree_id::integer as tree_id, p.row_key,
+         ((p.h_pool % {DRAW_PRIME}) * t.a + t.b) % {DRAW_PRIME} as h_tree, {fcols}
+  from {p}pool p cross join {p}factors t
+  qualify row_number() over (partition by t.tree_id order by h_tree, p.row_key) <= {cfg.max_samples}
+)"""
+
+
 def forest_chain(p: str, cfg: DetectConfig = CFG) -> str:
     seed = str(cfg.seed)
     scaled = [f"{c}_scaled" for c in FEATURES]
@@ -269,19 +300,8 @@ def forest_chain(p: str, cfg: DetectConfig = CFG) -> str:
         return f"(case {feature_col} {whens} end)"
 
     parts = [
+        pool_chain(p, cfg),
         f"""
-{p}pool as materialized (
-  select row_key, {h(repr(seed), "'pool'", 'row_key')} as h_pool, {fcols}
-  from {p}scaled
-  order by h_pool, row_key
-  limit {cfg.pool_size}
-),
-{p}samples as materialized (
-  select t.tree_id::integer as tree_id, p.row_key,
-         {h(repr(seed), "'tree'", 't.tree_id', 'p.row_key')} as h_tree, {", ".join("p." + c for c in scaled)}
-  from {p}pool p cross join range(0, {cfg.num_trees}) t(tree_id)
-  qualify row_number() over (partition by t.tree_id order by h_tree, p.row_key) <= {cfg.max_samples}
-),
 {p}l0 as materialized (
   select tree_id, 1::bigint as node_id, {fcols} from {p}samples
 )"""
@@ -393,6 +413,39 @@ EVENTS_FOREST = with_ctes(
     scale_chain("e_"),
     forest_chain("e_"),
 )
+PRICES_Z = with_ctes(RAW_PRICES, record_chain("raw_prices", "p_"), z_chain("p_"))
+PRICES_FOREST = with_ctes(
+    RAW_PRICES,
+    record_chain("raw_prices", "p_"),
+    z_chain("p_"),
+    feature_chain("p_"),
+    scale_chain("p_"),
+    forest_chain("p_"),
+)
+PUBLISHED = replace(CFG, pool_size=PUBLISHED_POOL)
+LINEITEM_PUBLISHED = with_ctes(
+    RAW_LINEITEM,
+    record_chain("raw_lineitem", "l_"),
+    z_chain("l_"),
+    feature_chain("l_"),
+    scale_chain("l_"),
+    pool_chain("l_", PUBLISHED),
+)
+# F2 z-scores read from text: some passages are not numbers, labels come in three forms.
+TEXT_Z = """
+t_zscored as materialized (
+  select * replace (case when extract(day from datetime) = 13 then null else total_passages end as total_passages)
+  from l_zscored
+)"""
+LINEITEM_TEXT = with_ctes(
+    RAW_LINEITEM,
+    record_chain("raw_lineitem", "l_"),
+    z_chain("l_"),
+    TEXT_Z,
+    feature_chain("t_"),
+    scale_chain("t_"),
+    forest_chain("t_"),
+)
 LINEITEM_Z = with_ctes(RAW_LINEITEM, record_chain("raw_lineitem", "l_"), z_chain("l_"))
 LINEITEM_F = with_ctes(
     RAW_LINEITEM, record_chain("raw_lineitem", "l_"), z_chain("l_"), feature_chain("l_"), scale_chain("l_")
@@ -483,6 +536,12 @@ def sql_queries() -> dict[str, str]:
 
     # --- sources and record operators (F1: dirty events) -------------------
     q["scan_records"] = final(ev, f"select {raw_cols} from raw_events")
+    q["scan_records_permuted"] = q["scan_records"]
+    hour = "cast(extract(hour from ts) as integer)"
+    q["cast_records_decimal_hours"] = (
+        f"select event_id, case when event_id % 3 = 1 or event_id % 89 = 0 then null else {hour} end as transition_hour "
+        "from events"
+    )
     q["cast_records"] = final(ev, f"select {raw_cols} from e_cast", ["number_of_passenger", "number_of_passage"])
     q["valid_records"] = final(ev, f"select {raw_cols} from e_valid", ["number_of_passenger", "number_of_passage"])
     q["build_datetime"] = final(
@@ -498,6 +557,19 @@ def sql_queries() -> dict[str, str]:
     q["hourly_aggregate"] = final(ev, f"select {CELL} from e_hourly", ["total_passengers", "total_passages"])
     q["temporal_features"] = final(ev, f"select {CELL}, {TEMPORAL} from e_cells", ["total_passengers", "total_passages"])
     q["ensure_temporal"] = q["temporal_features"]
+    q["merge_parts_mixed"] = final(
+        lz,
+        "select datetime, line, line_name, town, total_passengers, "
+        "case when hour % 3 = 2 then null else total_passages end as total_passages, record_count from l_cells",
+        ["total_passengers", "total_passages"],
+    )
+    q["read_results"] = final(
+        ev,
+        f"select {KEYS}, total_passengers, "
+        "case when hour % 5 = 0 then null else z_score end as z_score, case when is_anomaly then 1 else 0 end as zscore_anomaly "
+        "from e_zscored",
+        ["total_passengers", "z_score"],
+    )
     q["merge_parts"] = final(lz, f"select {CELL} from l_hourly", ["total_passengers", "total_passages"])
     q["coerce_numeric"] = final(
         ev,
@@ -617,9 +689,8 @@ select 'cells' as stage, reason, count(*) as row_count from (
         ["total_passengers", "total_passages", "passage_per_passenger", "passenger_per_record", "passage_per_record"],
     )
     prof_d = [
-        "context_sum_passengers",
-        "context_sumsq_passengers",
         "context_mean_passengers",
+        "context_var_passengers",
         "context_avg_passage_per_passenger",
         "context_avg_passenger_per_record",
         "context_avg_passage_per_record",
@@ -632,10 +703,10 @@ select 'cells' as stage, reason, count(*) as row_count from (
     )
     q["context_profile_joined"] = final(
         lf,
-        f"select {CELL}, context_obs_count, context_sum_passengers, context_sumsq_passengers from "
-        f"(select r.*, s.context_obs_count, s.context_sum_passengers, s.context_sumsq_passengers from l_ratios r "
+        f"select {CELL}, context_obs_count, context_mean_passengers, context_var_passengers from "
+        f"(select r.*, s.context_obs_count, s.context_mean_passengers, s.context_var_passengers from l_ratios r "
         f"left join l_profile s on r.line = s.line and r.hour = s.hour and r.spark_dayofweek = s.spark_dayofweek)",
-        ["total_passengers", "total_passages", "context_sum_passengers", "context_sumsq_passengers"],
+        ["total_passengers", "total_passages", "context_mean_passengers", "context_var_passengers"],
     )
     q["min_context"] = final(
         lf, f"select {CELL}, context_obs_count from l_joined", ["total_passengers", "total_passages"]
@@ -653,7 +724,9 @@ select 'cells' as stage, reason, count(*) as row_count from (
     q["standardize"] = final(lf, f"select {KEYS}, {', '.join(scaled)} from l_scaled", scaled)
 
     # --- forest (F2) ------------------------------------------------------------
-    q["training_pool"] = final(lt, f"select row_key, h_pool, {', '.join(scaled)} from l_pool", scaled)
+    lp = LINEITEM_PUBLISHED
+    q["training_pool"] = final(lp, f"select row_key, h_pool, {', '.join(scaled)} from l_pool", scaled)
+    q["tree_samples_published_pool"] = final(lp, "select tree_id, row_key, h_tree from l_samples")
     q["tree_samples"] = final(lt, "select tree_id, row_key, h_tree from l_samples")
     q["fit_forest"] = final(lt, "select * from l_nodes", ["split"])
     q["iforest_score"] = final(
@@ -740,4 +813,44 @@ select 'cells' as stage, reason, count(*) as row_count from (
         f"union all select '{oz}' as category, only_zscore_anomaly_count as count from ({summ}) "
         f"union all select '{oi}' as category, only_iforest_anomaly_count as count from ({summ})",
     )
+    pct = lambda c: f"printf('%.2f%%', {c} * 100.0)"
+    q["formatted_monthly"] = (
+        f"{lt}select month, "
+        + ", ".join(
+            f"format('{{:,}}', {c}) as {c}" for c in ("total_obs", "zscore_anomaly_count", "iforest_anomaly_count")
+        )
+        + f", {pct('zscore_anomaly_rate')} as zscore_anomaly_rate, {pct('iforest_anomaly_rate')} as iforest_anomaly_rate "
+        f"from ({by_month})"
+    )
+    q["iforest_flags_approx"] = final(
+        lt,
+        "select n as scored_rows, true as rank_within_tolerance, true as flags_follow_score "
+        "from (select count(*) as n from l_scored0)",
+    )
+
+    # --- fractional measure, many records per cell (F3) -----------------------
+    pz, pf = PRICES_Z, PRICES_FOREST
+    q["hourly_aggregate_prices"] = final(pz, f"select {CELL} from p_hourly", ["total_passengers", "total_passages"])
+    q["contextual_zscore_prices"] = final(pz, f"select {zcols} from p_zscored", zd)
+    q["context_features_prices"] = final(pf, f"select {OUTPUT} from p_featured", OUTPUT_DOUBLES)
+    q["iforest_flags_prices"] = final(
+        pf,
+        f"select {KEYS}, zscore_anomaly, iforest_path_units, iforest_score, iforest_anomaly from p_flagged",
+        ["iforest_score"],
+    )
+    q["method_summary_prices"] = final(pf, summary_sql("p_flagged"), SUMMARY_DOUBLES)
+
+    # --- forest from a text table of z-scores ----------------------------------
+    tx = LINEITEM_TEXT
+    q["iforest_flags_text"] = final(
+        tx, f"select {KEYS}, zscore_anomaly, iforest_path_units, iforest_anomaly from t_flagged"
+    )
+    q["drop_reasons_text"] = final(
+        tx,
+        """select 'cells' as stage, reason, count(*) as row_count from (
+  select case when z.total_passages is null then 'null_total'
+              when coalesce(p.context_obs_count, 0) < 5 then 'small_context' else 'kept' end as reason
+  from t_zscored z left join t_profile p
+    on z.line = p.line and z.hour = p.hour and z.spark_dayofweek = p.spark_dayofweek) group by reason""",
+    )
     return q

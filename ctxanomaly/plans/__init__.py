@@ -1,2 +1 @@
-"""Compositions of operators (the end-to-end detection) and the SQL
-restatements used as independent oracles."""
+"""Compositions of operators: the end-to-end detection and the batch job."""

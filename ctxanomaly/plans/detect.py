@@ -1,13 +1,14 @@
 """End-to-end detection: records -> hourly -> z-score -> features -> forest.
 
-Stage outputs are cut (written under the checkpoint folder and read back),
-so every later job, including all reports, reads materialised columns and
-the scoring UDF runs once per run.
+Stage outputs are written once and read back (as cuts under the checkpoint
+folder, or where ``store`` puts them), so every later job, including all
+reports, reads materialised columns and the scoring UDF runs once per run.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pandas as pd
@@ -28,6 +29,7 @@ from ctxanomaly.operators.records import cast_records, select_present, valid_rec
 from ctxanomaly.operators.zscore import zscore
 from ctxanomaly.session import cut, remove_folder, run_folder
 
+# Fixed output names of the scored table.
 OUTPUT_COLUMNS = (
     "datetime",
     "line",
@@ -77,14 +79,15 @@ def hourly_cells(raw: DataFrame) -> DataFrame:
     return with_temporal(hourly_aggregate(clean_records(raw)))
 
 
-def featured_cells(zscored: DataFrame, cfg: DetectConfig = DetectConfig(), materialize: bool = True) -> DataFrame:
+def featured_cells(zscored: DataFrame, cfg: DetectConfig = DetectConfig(), is_cut: bool = False) -> DataFrame:
     """Second filter, context features, row key and pool hash (unscaled)."""
-    feats = context_features(
-        forest_input(zscored), cfg.context, cfg.measure, cfg.min_context_obs, materialize
-    )
+    feats = context_features(forest_input(zscored), cfg.context, cfg.measure, cfg.min_context_obs, is_cut)
     return with_pool_hash(with_row_key(feats, cfg.hourly_keys), cfg)
 
 
+Store = Callable[[DataFrame, str], DataFrame]
+
+
 class _Clock:
     def __init__(self, sink: dict[str, float] | None):
         self.sink = sink
@@ -102,17 +105,20 @@ def detect(
     cfg: DetectConfig = DetectConfig(),
     timings: dict[str, float] | None = None,
     score_counter=None,
+    store: Store = cut,
 ) -> Detection:
     """Run both methods over raw records and return every stage.
 
     ``timings``, when given, receives wall seconds per stage;
-    ``score_counter`` (an accumulator) the number of rows the scorer saw.
+    ``score_counter`` (an accumulator) the number of rows the scorer saw;
+    ``store(df, name)`` writes the stages ``hourly``, ``zscore`` and
+    ``scored`` and reads them back.
     """
     clock = _Clock(timings)
     with run_folder(raw.sparkSession) as folder:
-        hourly = cut(hourly_cells(raw), "hourly")
+        hourly = store(hourly_cells(raw), "hourly")
         clock.lap("hourly")
-        d = detect_cells(hourly, cfg, clock, score_counter)
+        d = detect_cells(hourly, cfg, clock, score_counter, store, is_cut=True)
     d.run_dir = folder
     return d
 
@@ -122,13 +128,15 @@ def detect_cells(
     cfg: DetectConfig = DetectConfig(),
     clock: _Clock | None = None,
     score_counter=None,
+    store: Store = cut,
+    is_cut: bool = False,
 ) -> Detection:
     """Both methods starting from hourly cells (e.g. a stage written earlier)."""
     clock = clock or _Clock(None)
     with run_folder(hourly.sparkSession) as folder:
-        zscored = cut(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold), "zscored")
+        zscored = store(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold, is_cut), "zscore")
         clock.lap("zscore")
-        d = detect_forest(zscored, cfg, clock, score_counter)
+        d = detect_forest(zscored, cfg, clock, score_counter, store, is_cut=True)
     d.hourly = hourly
     d.run_dir = folder
     return d
@@ -139,6 +147,8 @@ def detect_forest(
     cfg: DetectConfig = DetectConfig(),
     clock: _Clock | None = None,
     score_counter=None,
+    store: Store = cut,
+    is_cut: bool = False,
 ) -> Detection:
     """The forest and the flags, starting from z-scored cells.
 
@@ -150,7 +160,7 @@ def detect_forest(
         # Unscaled features are written once; scaling is a cheap projection
         # applied where the scaled values are read (pool and scoring).
         feats = cut(
-            select_present(featured_cells(zscored, cfg), [*OUTPUT_COLUMNS, "row_key", "h_pool"]),
+            select_present(featured_cells(zscored, cfg, is_cut), [*OUTPUT_COLUMNS, "row_key", "h_pool"]),
             "featured",
         )
         featured = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
@@ -164,7 +174,8 @@ def detect_forest(
         scored = cut(scored, "scored")
         clock.lap("score")
         threshold = contamination_threshold(scored, cfg)
+        flagged = flag_ge(scored, threshold)
+        if store is not cut:
+            flagged = store(flagged, "scored")
         clock.lap("threshold")
-    return Detection(
-        cfg, None, zscored, featured, nodes, flag_ge(scored, threshold), threshold, folder
-    )
+    return Detection(cfg, None, zscored, featured, nodes, flagged, threshold, folder)

@@ -4,6 +4,7 @@ import os
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from ctxanomaly.plans.run import run
 from ctxanomaly.session import checkpoint_root
@@ -19,12 +20,56 @@ def test_run_writes_all_outputs(spark):
     run(spark, f"{base}/raw", f"{base}/out", input_format="parquet")
     names = set(os.listdir(f"{base}/out"))
     assert {"hourly", "zscore", "scored", "method_summary", "method_by_month", "threshold_sensitivity"} <= names
-    months = [n for n in os.listdir(f"{base}/out/scored") if n.startswith("month=")]
-    assert len(months) == 12
+    years = [n for n in os.listdir(f"{base}/out/scored") if n.startswith("year=")]
+    assert len(years) >= 6
+    for year in years:
+        for month in os.listdir(f"{base}/out/scored/{year}"):
+            files = [f for f in os.listdir(f"{base}/out/scored/{year}/{month}") if f.endswith(".parquet")]
+            assert len(files) == 1, "a folder gets few full files"
+    assert {"top_zscore", "top_iforest", "dataset_summary", "hourly_average", "drop_reasons", "overall_ratio"} <= names
+    top = spark.read.option("header", True).csv(f"{base}/out/top_iforest").collect()
+    scores = [float(r["iforest_score"]) for r in top]
+    assert len(top) == 20 and scores == sorted(scores, reverse=True)
+    left = f"{checkpoint_root(spark)}/ctxanomaly"
+    assert not [n for n in os.listdir(left) if n.startswith("run-") and "hourly" in os.listdir(f"{left}/{n}")]
     summary = spark.read.option("header", True).csv(f"{base}/out/method_summary").collect()
     assert len(summary) == 1
 
 
+def test_csv_stages_give_the_same_results(spark, detection001):
+    base = f"{checkpoint_root(spark)}/tests/{uuid.uuid4().hex}"
+    write_stage(raw_lineitem(spark, SF001).drop("town").withColumn("more", F.lit("x")), f"{base}/raw", fmt="csv")
+    with pytest.raises(ValueError, match="town"):
+        run(spark, f"{base}/raw", f"{base}/out", stage_format="csv")
+    write_stage(raw_lineitem(spark, SF001).withColumn("more", F.lit("x")).select("more", "town", "line", *[
+        "transition_hour", "transition_date", "line_name", "number_of_passage", "number_of_passenger"]), f"{base}/raw2", fmt="csv")
+    run(spark, f"{base}/raw2", f"{base}/out", stage_format="csv")
+    got = spark.read.option("header", True).csv(f"{base}/out/scored")
+    assert got.filter("iforest_anomaly = 1").count() == detection001.scored.filter("iforest_anomaly = 1").count()
+    drops = spark.read.option("header", True).csv(f"{base}/out/drop_reasons").collect()
+    assert {r["stage"] for r in drops} == {"records", "cells"}
+
+
+def test_reports_are_those_of_the_single_operators(detection001):
+    from ctxanomaly.operators import reports as R
+    from ctxanomaly.plans.run import reports
+
+    got, z, s = reports(detection001), detection001.zscored, detection001.scored
+    want = {
+        "method_summary": R.method_summary(s), "method_by_month": R.method_by(s, "month"),
+        "method_by_line": R.method_by(s, "line"), "rate_by_line": R.rate_by(z, "line"),
+        "rate_by_month": R.rate_by(z, "month"), "threshold_sensitivity": R.threshold_sensitivity(z),
+        "top5_line_rate": R.top_rate(z, "line", 5), "top_anomaly_lines": R.anomaly_count_by(z, "line"),
+        "overall_ratio": R.overall_ratio(z), "dataset_summary": R.dataset_summary(z),
+    }
+    key = lambda df: sorted(
+        (tuple(round(v, 9) if isinstance(v, float) else v for v in (r[c] for c in sorted(df.columns))) for r in df.collect()), key=repr
+    )
+    for name, df in want.items():
+        assert sorted(got[name].columns) == sorted(df.columns), name
+        assert key(got[name]) == key(df), name
+
+
 def test_empty_input_is_an_explicit_error(spark):
     from ctxanomaly.plans.detect import detect
 
@@ -63,6 +108,6 @@ def test_cleanup_removes_the_run_folder(spark):
     d = detect(raw_lineitem(spark, SF001))
     assert d.run_dir is not None and os.path.isdir(d.run_dir)
     cuts = set(n.split("-")[0] for n in os.listdir(d.run_dir))
-    assert {"hourly", "context_stats", "zscored", "featured", "pool", "scored"} <= cuts
+    assert {"hourly", "context_stats", "zscore", "featured", "drawn", "scored"} <= cuts
     assert d.cleanup()
     assert not os.path.exists(d.run_dir)
