@@ -2,7 +2,8 @@
 
 Fixture mappings (see FIXTURES.md): F1 ``raw_events`` gives dirty text
 records (casts, validity, null keys); F2 ``raw_lineitem`` gives typed
-records over twelve months (z-score, features, forest, reports).  Every
+records over twelve months (z-score, features, forest, reports); F3
+``raw_prices`` has fractional measures and many records per cell.  Every
 query reads whole tables.  Doubles are rounded to 6 decimals in both the
 Spark result and the SQL oracle.
 """
@@ -13,6 +14,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ctxanomaly.config import SCALED_FEATURES, DetectConfig  # noqa: E402
+from ctxanomaly.config import PUBLISHED_POOL, SCALED_FEATURES, DetectConfig  # noqa: E402
 from ctxanomaly.functions.expressions import c_factor  # noqa: E402
 from ctxanomaly.operators import reports as R  # noqa: E402
 from ctxanomaly.operators.context import (  # noqa: E402
@@ -41,7 +43,11 @@ from ctxanomaly.operators.features import (  # noqa: E402
     standardize,
 )
 from ctxanomaly.operators.forest import (  # noqa: E402
+    contamination_threshold,
+    fit_forest,
+    flag_ge,
     threshold_rank,
+    top_by_score,
     training_pool,
     tree_samples,
 )
@@ -53,10 +59,20 @@ from ctxanomaly.operators.records import (  # noqa: E402
     with_datetime,
 )
 from ctxanomaly.operators.zscore import top_by_abs, zscore  # noqa: E402
-from ctxanomaly.plans.detect import OUTPUT_COLUMNS, Detection, detect, hourly_cells  # noqa: E402
-from ctxanomaly.plans.oracles import sql_queries  # noqa: E402
+from ctxanomaly.plans.detect import OUTPUT_COLUMNS, Detection, detect, detect_forest, hourly_cells  # noqa: E402
+from ctxanomaly.plans.run import drop_reasons as cell_report  # noqa: E402
+from checks.oracles import sql_queries  # noqa: E402
 from ctxanomaly.session import checkpoint_root, cut  # noqa: E402
-from ctxanomaly.sources import coerce_datetime, merge_parts, profile, raw_events, raw_lineitem, read_records  # noqa: E402
+from ctxanomaly.sources import (  # noqa: E402
+    coerce_datetime,
+    merge_parts,
+    profile,
+    raw_events,
+    raw_lineitem,
+    raw_prices,
+    read_records,
+    read_results,
+)
 from ctxanomaly.sources.sinks import write_stage  # noqa: E402
 
 try:
@@ -87,16 +103,20 @@ _DETECTIONS: dict[tuple[str, str, str], Detection] = {}
 
 
 def detection(spark: SparkSession, sf_dir: str, mapping: str = "lineitem") -> Detection:
-    """Detection over F2 (or F1 with ``mapping="events"``), memoised per
-    session and table folder: the forest reports all read the same written
-    cut (one scoring pass)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), mapping)
+    """Detection over F2 (or another mapping), kept for the session and table
+    folder: the forest reports all read the same written cut (one scoring
+    pass)."""
+    key = (spark.sparkContext.applicationId, sf_dir, mapping)
     if key not in _DETECTIONS:
-        raw = raw_lineitem(spark, sf_dir) if mapping == "lineitem" else raw_events(spark, sf_dir)
-        _DETECTIONS[key] = detect(raw, CFG)
+        raw = {"lineitem": raw_lineitem, "events": raw_events, "prices": raw_prices}[mapping]
+        _DETECTIONS[key] = detect(raw(spark, sf_dir), CFG)
     return _DETECTIONS[key]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/{name}"
+
+
 # --- F1 helpers ----------------------------------------------------------------
 
 
@@ -113,18 +133,33 @@ def _lz(spark, sf):
 
 
 def _l_ratios(spark, sf):
-    return ratio_features(forest_input(_lz(spark, sf)))
+    return cut(ratio_features(forest_input(_lz(spark, sf))), "ratios")
 
 
 # --- queries --------------------------------------------------------------------
 
 
 def q_scan_records(spark, sf):
-    path = f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/raw_csv"
+    path = scratch(spark, "raw_csv")
     write_stage(raw_events(spark, sf), path, fmt="csv")
     return read_records(spark, path).select(*RAW)
 
 
+def q_scan_records_permuted(spark, sf):
+    path = scratch(spark, "permuted_csv")
+    write_stage(raw_events(spark, sf).select("town", F.lit("x").alias("more"), *RAW[::-1][:2], *RAW[:4]), path, fmt="csv")
+    return read_records(spark, path).select(*RAW)
+
+
+def q_cast_records_decimal_hours(spark, sf):
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts")
+    part = F.when(F.col("event_id") % 3 == 1, ".5").when(F.col("event_id") % 3 == 2, ".0").otherwise("")
+    hour = F.when(F.col("event_id") % 89 != 0, F.concat(F.hour("ts").cast("string"), part))
+    null = F.lit(None).cast("string")
+    raw = ev.select("event_id", hour.alias("transition_hour"), *[null.alias(c) for c in RAW if c != "transition_hour"])
+    return cast_records(raw).select("event_id", "transition_hour")
+
+
 def q_cast_records(spark, sf):
     return cast_records(raw_events(spark, sf)).select(*RAW)
 
@@ -161,10 +196,27 @@ def q_ensure_temporal(spark, sf):
 
 def q_merge_parts(spark, sf):
     cells = hourly_cells(raw_lineitem(spark, sf)).select(*CELL)
-    path = f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/hourly_parts"
-    write_stage(cells.repartition(4), path, fmt="csv")
-    schema = cells.schema
-    return merge_parts(spark, path, fmt="csv", schema=schema)
+    path = scratch(spark, "hourly_parts")
+    write_stage(cells, path, fmt="csv")
+    return merge_parts(spark, path, fmt="csv", schema=cells.schema)
+
+
+def q_merge_parts_mixed(spark, sf):
+    """Parts with their columns as they are, in another order with one more,
+    and without an optional one."""
+    cells = cut(hourly_cells(raw_lineitem(spark, sf)).select(*CELL, "hour"), "cells")
+    path = scratch(spark, "mixed_parts")
+    for k, cols in enumerate((CELL, ["hour", *CELL[::-1]], [c for c in CELL if c != "total_passages"])):
+        write_stage(cells.filter(F.col("hour") % 3 == k).select(*cols), path, fmt="csv", mode="append")
+    return merge_parts(spark, path, fmt="csv", schema=cells.select(*CELL).schema)
+
+
+def q_read_results(spark, sf):
+    z = _ev_zscored(spark, sf)
+    path = scratch(spark, "results_csv")
+    bad = F.when(F.col("hour") % 5 == 0, F.lit("n/a")).otherwise(F.col("z_score").cast("string"))
+    write_stage(z.withColumn("z_score", bad), path, fmt="csv")
+    return read_results(spark, path).select(*KEYS, "total_passengers", "z_score", "zscore_anomaly")
 
 
 def q_coerce_numeric(spark, sf):
@@ -180,7 +232,7 @@ def q_read_stage(spark, sf):
     from ctxanomaly.sources import read_stage
 
     cells = hourly_cells(raw_lineitem(spark, sf)).select(*CELL, *TEMPORAL)
-    path = f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/hourly_by_month"
+    path = scratch(spark, "hourly_by_month")
     write_stage(cells, path, fmt="parquet", partition_by=("month",))
     return read_stage(spark, path).select(*CELL, *TEMPORAL)
 
@@ -290,7 +342,8 @@ def q_ratio_features(spark, sf):
 
 
 def q_context_profile(spark, sf):
-    return context_profile(_l_ratios(spark, sf), CFG.context, CFG.measure)
+    prof = context_profile(_l_ratios(spark, sf), CFG.context, CFG.measure)
+    return prof.select(*[c for c in prof.columns if not c.startswith("_")])
 
 
 def q_c_factor(spark, sf):
@@ -302,7 +355,7 @@ def q_context_profile_joined(spark, sf):
     ratios = _l_ratios(spark, sf)
     prof = context_profile(ratios, CFG.context, CFG.measure)
     return attach_context(ratios, prof, CFG.context).select(
-        *CELL, "context_obs_count", "context_sum_passengers", "context_sumsq_passengers"
+        *CELL, "context_obs_count", "context_mean_passengers", "context_var_passengers"
     )
 
 
@@ -325,33 +378,40 @@ def q_context_features(spark, sf):
     return context_features(forest_input(_lz(spark, sf))).select(*OUTPUT_COLUMNS)
 
 
+def _l_features(spark, sf):
+    return cut(context_features(forest_input(_lz(spark, sf))), "features")
+
+
 def q_feature_moments(spark, sf):
-    return feature_moments(context_features(forest_input(_lz(spark, sf))))
+    return feature_moments(_l_features(spark, sf))
 
 
 def q_standardize(spark, sf):
-    return standardize(context_features(forest_input(_lz(spark, sf)))).select(*KEYS, *SCALED_FEATURES)
+    return standardize(_l_features(spark, sf)).select(*KEYS, *SCALED_FEATURES)
 
 
 def _featured_scaled(spark, sf):
     return detection(spark, sf).featured
 
 
+PUBLISHED = replace(CFG, pool_size=PUBLISHED_POOL)
+
+
 def q_training_pool(spark, sf):
-    return training_pool(_featured_scaled(spark, sf), CFG).select("row_key", "h_pool", *SCALED_FEATURES)
+    return training_pool(_featured_scaled(spark, sf), PUBLISHED).select("row_key", "h_pool", *SCALED_FEATURES)
+
+
+def q_tree_samples_published_pool(spark, sf):
+    pool = cut(training_pool(_featured_scaled(spark, sf), PUBLISHED), "pool")
+    return tree_samples(pool, PUBLISHED).select("tree_id", "row_key", "h_tree")
 
 
 def q_tree_samples(spark, sf):
-    pool = training_pool(_featured_scaled(spark, sf), CFG)
-    return tree_samples(pool, CFG).select("tree_id", "row_key", "h_tree")
+    return tree_samples(_featured_scaled(spark, sf), CFG).select("tree_id", "row_key", "h_tree")
 
 
 def q_fit_forest(spark, sf):
-    d = detection(spark, sf)
-    from ctxanomaly.operators.forest import fit_forest
-
-    pool = training_pool(d.featured, CFG)
-    return fit_forest(tree_samples(pool, CFG), CFG)
+    return fit_forest(tree_samples(_featured_scaled(spark, sf), CFG), CFG)
 
 
 def q_iforest_score(spark, sf):
@@ -381,8 +441,7 @@ def q_detect_end_to_end(spark, sf):
 
 
 def q_top_iforest(spark, sf):
-    scored = detection(spark, sf).scored
-    return scored.orderBy(F.col("iforest_score").desc(), *[F.col(k).asc_nulls_first() for k in KEYS]).limit(20).select(
+    return top_by_score(detection(spark, sf).scored, 20, KEYS).select(
         *KEYS, "zscore_anomaly", "iforest_score", "iforest_anomaly"
     )
 
@@ -441,20 +500,27 @@ def q_write_report(spark, sf):
     from ctxanomaly.sources import read_stage, write_report
 
     by_month = R.method_by(detection(spark, sf).scored, "month")
-    path = f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}/monthly_report"
-    write_report(by_month, path, fmt="csv")
+    path = scratch(spark, "monthly_report")
+    write_report(by_month, path, fmt="csv", order=R.method_order("month"))
     return read_stage(spark, path, fmt="csv", schema=by_month.schema)
 
 
 def q_iforest_flags_approx(spark, sf):
-    from dataclasses import replace
-
-    from ctxanomaly.operators.forest import contamination_threshold, flag_ge
-
-    d = detection(spark, sf)
+    """Whether the approximate threshold's rank is within its tolerance, and
+    the flags are the rows at or above it."""
     cfg = replace(CFG, threshold_mode="approx")
-    return flag_ge(d.scored.drop("iforest_anomaly", "iforest_prediction"), contamination_threshold(d.scored, cfg)).select(
-        *KEYS, "iforest_score", "iforest_anomaly"
+    scored = detection(spark, sf).scored.drop("iforest_anomaly", "iforest_prediction")
+    threshold = contamination_threshold(scored, cfg)
+    below, at = F.col("iforest_score") < threshold[0], F.col("iforest_score") <= threshold[0]
+    counts = flag_ge(scored, threshold).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(below).alias("below"), F.count_if(at).alias("at_most"),
+        F.count_if((F.col("iforest_anomaly") == 1) != ~below).alias("wrong"),
+    )
+    rank = F.ceil(F.col("n") * F.lit(1 - cfg.contamination))
+    slack = F.col("n") * F.lit(cfg.quantile_rel_error) + 1
+    within = (F.col("below") <= rank + slack) & (F.col("at_most") >= rank - slack)
+    return counts.select(
+        F.col("n").alias("scored_rows"), within.alias("rank_within_tolerance"), (F.col("wrong") == 0).alias("flags_follow_score")
     )
 
 
@@ -462,6 +528,51 @@ def q_formatted_monthly(spark, sf):
     return R.formatted_monthly(R.method_by(detection(spark, sf).scored, "month"))
 
 
+def q_hourly_aggregate_prices(spark, sf):
+    return hourly_cells(raw_prices(spark, sf)).select(*CELL)
+
+
+def q_contextual_zscore_prices(spark, sf):
+    return detection(spark, sf, "prices").zscored.select(*ZCOLS)
+
+
+def q_context_features_prices(spark, sf):
+    return detection(spark, sf, "prices").featured.select(*OUTPUT_COLUMNS)
+
+
+def q_iforest_flags_prices(spark, sf):
+    return detection(spark, sf, "prices").scored.select(
+        *KEYS, "zscore_anomaly", "iforest_path_units", "iforest_score", "iforest_anomaly"
+    )
+
+
+def q_method_summary_prices(spark, sf):
+    return R.method_summary(detection(spark, sf, "prices").scored)
+
+
+def _text_detection(spark, sf):
+    """The forest from z-scores written as text: some passages are not
+    numbers, and labels read 1.0, TRUE or false."""
+    key = (spark.sparkContext.applicationId, sf, "text")
+    if key not in _DETECTIONS:
+        z = detection(spark, sf).zscored
+        label = F.when(F.col("is_anomaly"), F.when(F.col("hour") % 2 == 0, "1.0").otherwise("TRUE")).otherwise("false")
+        bad = F.when(F.dayofmonth("datetime") == 13, F.lit("n/a")).otherwise(F.col("total_passages").cast("string"))
+        path = scratch(spark, "zscore_text")
+        text = z.withColumns({"total_passages": bad, "zscore_anomaly": label}).drop("is_anomaly", "month")
+        write_stage(text, path, fmt="csv")
+        _DETECTIONS[key] = detect_forest(coerce_datetime(spark.read.option("header", True).csv(path)), CFG)
+    return _DETECTIONS[key]
+
+
+def q_iforest_flags_text(spark, sf):
+    return _text_detection(spark, sf).scored.select(*KEYS, "zscore_anomaly", "iforest_path_units", "iforest_anomaly")
+
+
+def q_drop_reasons_text(spark, sf):
+    return cell_report(None, _text_detection(spark, sf))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -489,8 +600,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query key; ``formatted_monthly`` (display strings) is
-    left to the rows-only check."""
+    """DuckDB SQL per query key."""
     sql = sql_queries()
     out = {k: sql[k] for k in _QUERIES if k in sql}
     if corpus_queries is not None:
