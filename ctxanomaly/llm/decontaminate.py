@@ -95,7 +95,7 @@ class SeedIndex:
     def __init__(self, items: list[tuple[object, str | None]], size: int):
         self.size, self.vocabulary = size, {}
         self.items = []
-        seeds, where = [], []
+        seeds, item_of, word_of = [], [], []
         for item_id, text in items:
             words = words_of(text)
             if len(words) < size:
@@ -103,13 +103,15 @@ class SeedIndex:
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], dtype=np.int64)
             h = running_hash(ids, size)
             seeds.append(h)
-            where += [(len(self.items), i) for i in range(h.size)]
+            item_of.append(np.full(h.size, len(self.items), dtype=np.int32))
+            word_of.append(np.arange(h.size, dtype=np.int32))
             self.items.append((item_id, ids))
-        every = np.concatenate(seeds) if seeds else np.empty(0, np.uint64)
+        joined = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        every = joined(seeds, np.uint64)
         order = np.argsort(every, kind="stable")
         self.hashes, self.first = np.unique(every[order], return_index=True)
         self.last = np.r_[self.first[1:], every.size].astype(np.int64)
-        self.where = [where[k] for k in order]
+        self.item_of, self.word_of = joined(item_of, np.int32)[order], joined(word_of, np.int32)[order]
 
     def matches(self, text: str | None, min_coverage: float) -> list[tuple[object, int, int]]:
         """(item_id, item words, tiled words) of the items that ``text`` covers."""
@@ -127,8 +129,8 @@ class SeedIndex:
         hit = self.hashes[slot] == h
         pairs: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for j, s in zip(at[hit].tolist(), slot[hit].tolist(), strict=True):
-            for k in range(self.first[s], self.last[s]):
-                item, i = self.where[k]
+            held = slice(self.first[s], self.last[s])
+            for item, i in zip(self.item_of[held].tolist(), self.word_of[held].tolist(), strict=True):
                 if np.array_equal(self.items[item][1][i : i + self.size], ids[j : j + self.size]):
                     pairs[item].append((i, j))
         found = []
