@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from ctxanomaly.config import PUBLISHED_POOL, DetectConfig  # noqa: E402
 from ctxanomaly.operators import reports as R  # noqa: E402
 from ctxanomaly.operators.forest import score_forest, training_pool, tree_samples  # noqa: E402
 from ctxanomaly.operators.zscore import zscore  # noqa: E402
@@ -25,6 +26,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -32,10 +34,10 @@ def main() -> None:
     d = detect(raw_lineitem(spark, sf))
     plans = {
         "hourly cells (scan, pushdown, partial aggregate)": hourly_cells(raw_lineitem(spark, sf)),
-        "z-score (size-checked broadcast of context stats)": zscore(d.hourly),
-        "context features (second filter, profile join)": featured_cells(d.zscored),
-        "training pool (bounded TakeOrdered after rank search)": training_pool(d.featured),
-        "tree samples (WindowGroupLimit before the shuffle)": tree_samples(training_pool(d.featured)),
+        "z-score (context stats joined by Spark's own size check)": zscore(d.hourly, is_cut=True),
+        "context features (second filter, profile join)": featured_cells(d.zscored, is_cut=True),
+        "training pool of the published size": training_pool(d.featured, DetectConfig(pool_size=PUBLISHED_POOL)),
+        "tree samples (drawn in the scan)": tree_samples(d.featured),
         "scoring (Arrow iterator UDF, map only)": score_forest(d.featured, d.nodes),
         "reports (one scan, grouping sets)": R.method_cube(d.scored),
     }
