@@ -97,7 +97,7 @@ raw_prices as (
   select
     cast(date_trunc('week', l_shipdate) as date) as transition_date,
     cast((l_orderkey % 2) * 12 as integer) as transition_hour,
-    concat(l_returnflag, l_linestatus) as line,
+    l_returnflag as line,
     concat('LINE ', l_returnflag) as line_name,
     'ALL' as town,
     l_extendedprice as number_of_passenger,

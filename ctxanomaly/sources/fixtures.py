@@ -77,12 +77,12 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     gathers many records; passages are a product of two fractions.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_extendedprice", "l_discount", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
+        "l_orderkey", "l_extendedprice", "l_discount", "l_quantity", "l_returnflag", "l_shipdate"
     )
     return li.select(
         F.date_trunc("week", F.col("l_shipdate").cast("timestamp_ntz")).cast("date").alias("transition_date"),
         ((F.col("l_orderkey") % 2) * 12).cast("int").alias("transition_hour"),
-        F.concat("l_returnflag", "l_linestatus").alias("line"),
+        F.col("l_returnflag").alias("line"),
         F.concat(F.lit("LINE "), "l_returnflag").alias("line_name"),
         F.lit("ALL").alias("town"),
         F.col("l_extendedprice").alias("number_of_passenger"),
