@@ -18,7 +18,6 @@ empty table; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import product
 
@@ -32,11 +31,14 @@ from ctxanomaly.llm.common import arrow_rows, prepare
 
 BUCKETS = 1 << 14
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _SCALE = 8.0  # turns mean log-odds into margins
 MIN_GAP = 0.1
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def ngram_counts(text: str, buckets: int = BUCKETS) -> np.ndarray:
     """Hashed counts of the byte bigrams and trigrams of the lower-cased text."""
     a = np.frombuffer((" " + text.lower() + " ").encode("utf-8", "replace"), dtype=np.uint8).astype(np.uint32)
@@ -87,7 +89,7 @@ class CodeModel:
 
     def decode(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score (0 to 1) and whether the two best are close."""
-        if not self.langs or text is None or not _LETTER.search(text):
+        if not self.langs or text is None or not has_letter(text):
             return UNDETERMINED, 0.0, True
         loss = np.logaddexp(0, -self.code * self.margins(text)) @ self.weight
         chance = np.exp(loss.min() - loss)
@@ -110,7 +112,7 @@ def learn(rows: DataFrame, buckets: int = BUCKETS) -> CodeModel:
         sums: dict[str, np.ndarray] = {}
         for texts, langs in arrow_rows(batches, "text", "lang"):
             for text, lang in zip(texts, langs, strict=True):
-                if _LETTER.search(text):
+                if has_letter(text):
                     n = ngram_counts(text, buckets)
                     sums[lang] = sums[lang] + n if lang in sums else n
         for lang, n in sums.items():
@@ -136,7 +138,7 @@ def learn(rows: DataFrame, buckets: int = BUCKETS) -> CodeModel:
         right, total = np.zeros(m.code.shape[1], dtype=np.int64), 0
         for some, langs in arrow_rows(batches, "text", "lang"):
             for text, lang in zip(some, langs, strict=True):
-                if _LETTER.search(text):
+                if has_letter(text):
                     right += m.margins(text) * m.code[row[lang]] > 0
                     total += 1
         columns = [pa.array(np.arange(right.size, dtype=np.int32)), pa.array(right), pa.array([total] * right.size, pa.int64())]
