@@ -1,7 +1,9 @@
 """Physical-plan properties that matter at scale."""
 
 from ctxanomaly.operators import reports as R
-from ctxanomaly.operators.forest import score_forest, training_pool, tree_samples
+from ctxanomaly.operators.features import context_features, forest_input
+from ctxanomaly.operators.forest import score_forest, tree_samples
+from ctxanomaly.operators.zscore import zscore
 from ctxanomaly.plans.detect import hourly_cells
 from ctxanomaly.sources import raw_lineitem
 
@@ -22,9 +24,16 @@ def test_raw_scan_prunes_columns_and_pushes_filters(spark):
 
 
 def test_tree_samples_limit_before_shuffle(spark, detection001):
-    p = plan(tree_samples(training_pool(detection001.featured)))
+    p = plan(tree_samples(detection001.featured))
     assert "WindowGroupLimit" in p
-    assert "BroadcastHashJoin" in p or "BroadcastExchange" in p  # bounded pool broadcast
+    assert "Join" not in p and "featured" not in p  # reads the few drawn rows only
+
+
+def test_raw_tables_are_scanned_once(spark):
+    z = zscore(hourly_cells(raw_lineitem(spark, SF001)))
+    features = context_features(forest_input(z))
+    for df in (z, features):
+        assert not [f for f in df.inputFiles() if "lineitem" in f]  # all later reads are of the cut cells
 
 
 def test_scoring_is_arrow_batched_and_map_only(spark, detection001):
