@@ -537,7 +537,9 @@ def q_contextual_zscore_prices(spark, sf):
 
 
 def q_context_features_prices(spark, sf):
-    return detection(spark, sf, "prices").featured.select(*OUTPUT_COLUMNS)
+    featured = detection(spark, sf, "prices").featured
+    loo = F.round("loo_std_passengers", 4)  # deviations of 1e5: compared at four decimals
+    return featured.withColumn("loo_std_passengers", loo).select(*OUTPUT_COLUMNS)
 
 
 def q_iforest_flags_prices(spark, sf):

@@ -207,9 +207,9 @@ def feature_chain(p: str, min_obs: int = CFG.min_context_obs) -> str:
          count(*) as context_obs_count,
          avg(total_passengers) as context_mean_passengers,
          var_samp(total_passengers) as context_var_passengers,
-         avg(passage_per_passenger) as context_avg_passage_per_passenger,
-         avg(passenger_per_record) as context_avg_passenger_per_record,
-         avg(passage_per_record) as context_avg_passage_per_record
+         round(avg(passage_per_passenger), {FEATURE_DIGITS}) as context_avg_passage_per_passenger,
+         round(avg(passenger_per_record), {FEATURE_DIGITS}) as context_avg_passenger_per_record,
+         round(avg(passage_per_record), {FEATURE_DIGITS}) as context_avg_passage_per_record
   from {p}ratios group by line, hour, spark_dayofweek
 ),
 {p}joined as (
@@ -695,7 +695,8 @@ select 'cells' as stage, reason, count(*) as row_count from (
         "context_avg_passenger_per_record",
         "context_avg_passage_per_record",
     ]
-    q["context_profile"] = final(lf, "select * from l_profile", prof_d)
+    tidy = [f"round({c}, {FEATURE_DIGITS}) as {c}" for c in ("context_mean_passengers", "context_var_passengers")]
+    q["context_profile"] = final(lf, f"select * replace ({', '.join(tidy)}) from l_profile", prof_d)
     q["c_factor"] = final(
         lf,
         f"select line, hour, spark_dayofweek, context_obs_count, {c_factor('context_obs_count')} as c_factor from l_profile",
@@ -832,7 +833,11 @@ select 'cells' as stage, reason, count(*) as row_count from (
     pz, pf = PRICES_Z, PRICES_FOREST
     q["hourly_aggregate_prices"] = final(pz, f"select {CELL} from p_hourly", ["total_passengers", "total_passages"])
     q["contextual_zscore_prices"] = final(pz, f"select {zcols} from p_zscored", zd)
-    q["context_features_prices"] = final(pf, f"select {OUTPUT} from p_featured", OUTPUT_DOUBLES)
+    q["context_features_prices"] = final(  # deviations of 1e5: compared at four decimals
+        pf,
+        f"select {OUTPUT} from (select * replace (round(loo_std_passengers, 4) as loo_std_passengers) from p_featured)",
+        OUTPUT_DOUBLES,
+    )
     q["iforest_flags_prices"] = final(
         pf,
         f"select {KEYS}, zscore_anomaly, iforest_path_units, iforest_score, iforest_anomaly from p_flagged",

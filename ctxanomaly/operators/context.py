@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctxanomaly.config import CONTEXT_KEYS, EPS, MEASURE
+from ctxanomaly.config import CONTEXT_KEYS, EPS, FEATURE_DIGITS, MEASURE
 from ctxanomaly.functions.expressions import rate
 from ctxanomaly.functions.sums import ScaledSums
 from ctxanomaly.session import cut, fits_broadcast
@@ -79,17 +79,19 @@ def context_profile(
     """Per-context count, mean, sample variance and mean ratios, with the
     scaled sums of ``x`` that :func:`leave_one_out` takes a row out of.
 
-    Expects :func:`ratio_features` columns.
+    Expects :func:`ratio_features` columns.  The moments are rounded like the
+    features (``FEATURE_DIGITS``); the sums are not.
     """
     sums = context_sums(df, context, [x, *RATIOS])
     of = lambda c: (_sums(c), F.col(f"_s_{c}"), F.col(f"_s2_{c}"))
     s, a, b = of(x)
-    averages = [r.mean(p, q).alias(f"context_avg_{name}") for name in RATIOS for r, p, q in [of(name)]]
+    tidy = lambda c: F.round(c, FEATURE_DIGITS)
+    averages = [tidy(r.mean(p, q)).alias(f"context_avg_{name}") for name in RATIOS for r, p, q in [of(name)]]
     return sums.select(
         *context,
         F.col("_rows").alias("context_obs_count"),
-        s.mean(a, b).alias("context_mean_passengers"),
-        s.variance(a, b).alias("context_var_passengers"),
+        tidy(s.mean(a, b)).alias("context_mean_passengers"),
+        tidy(s.variance(a, b)).alias("context_var_passengers"),
         *averages,
         *[F.col(f"_{n}_{x}") for n in ("n", "lo", "hi", "s", "s2")],
     )
