@@ -12,9 +12,10 @@ from ctxanomaly.session import cut, ship_package
 
 __all__ = ["cut", "table", "prepare", "text_key", "body", "same_row", "arrow_rows", "partitions_for"]
 
-#: Rows in one Arrow batch handed to Python.  Texts may be long, so batches
-#: are kept short; a user's smaller setting wins.
+#: Rows and bytes in one Arrow batch handed to Python.  Texts may be long, so
+#: batches are kept small; a user's smaller setting wins.
 BATCH_ROWS = 1000
+BATCH_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> None:
     """Ship the package to Python workers and bound the Arrow batches."""
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).rstrip("bB")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
 
 
 def text_key(text: str = "text") -> Column:
