@@ -17,19 +17,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def unit_for(n: Column) -> Column:
+    """Units in 1: the largest power of two that n values cannot overflow."""
+    n = F.greatest(n, F.lit(1)).cast("double")
+    return F.pow(F.lit(2.0), F.lit(60.0) - F.ceil(F.log2(n)))
+
+
 @dataclass(frozen=True)
 class ScaledSums:
-    """Sums over n values of ``x`` between ``lo`` and ``hi``."""
+    """Sums over n values of ``x`` between ``lo`` and ``hi``, in units of
+    :func:`unit_for` n."""
 
     x: Column
     n: Column
     lo: Column
     hi: Column
-
-    @property
-    def unit(self) -> Column:
-        n = F.greatest(self.n, F.lit(1)).cast("double")
-        return F.pow(F.lit(2.0), F.lit(60.0) - F.ceil(F.log2(n)))
+    unit: Column
 
     @property
     def span(self) -> Column:
@@ -44,8 +47,8 @@ class ScaledSums:
         q, q2 = self.parts()
         return F.sum(q), F.sum(q2)
 
-    def mean(self, s: Column, s2: Column, n: Column | None = None) -> Column:
-        """Mean of the n values (default: all) with the given sums."""
+    def mean(self, s: Column, n: Column | None = None) -> Column:
+        """Mean of the n values (default: all) with the given sum."""
         n = self.n if n is None else n
         return self.lo + self.span * F.try_divide(s.cast("double") / self.unit, n.cast("double"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ctxanomaly.config import CONTEXT_KEYS, EPS, FEATURE_DIGITS, MEASURE
 from ctxanomaly.functions.expressions import rate
-from ctxanomaly.functions.sums import ScaledSums
+from ctxanomaly.functions.sums import ScaledSums, unit_for
 from ctxanomaly.session import cut, fits_broadcast
 
 RATIOS = {
@@ -28,24 +28,27 @@ RATIOS = {
 
 def _sums(c: str) -> ScaledSums:
     """Scaled sums of ``c`` from the statistics of its context."""
-    return ScaledSums(F.col(c), F.col(f"_n_{c}"), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"))
+    return ScaledSums(F.col(c), *[F.col(f"_{n}_{c}") for n in ("n", "lo", "hi", "unit")])
 
 
-def context_sums(df: DataFrame, context: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Per context: rows (``_rows``) and, for each column, count, extremes and
-    the two scaled sums (see ``functions.sums``); null keys are left out.
+def context_sums(df: DataFrame, context: Sequence[str], x: str, others: Sequence[str] = ()) -> DataFrame:
+    """Per context: rows (``_rows``) and, for ``x`` and the other columns,
+    count, extremes and scaled sum (see ``functions.sums``), for ``x`` also
+    the sum of squares; null keys are left out.
 
     Two aggregates with map-side combine over ``df`` (a cut, or cheap to read).
     """
+    cols = [x, *others]
     finite = [F.when(F.abs(F.col(c)) < float("inf"), F.col(c)).alias(c) for c in cols]  # NaN is above infinity
     keyed = df.dropna(subset=list(context)).select(*context, *finite)
     spans = keyed.groupBy(*context).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[f(c).alias(f"_{n}_{c}") for c in cols for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
     )
-    spans = cut(spans, "context_spans")
+    spans = cut(spans.withColumns({f"_unit_{c}": unit_for(F.col(f"_n_{c}")) for c in cols}), "context_spans")
     kept = [c for c in spans.columns if c not in context]
-    sums = [F.sum(p).alias(f"_{n}_{c}") for c in cols for n, p in zip(("s", "s2"), _sums(c).parts(), strict=True)]
+    sums = [F.sum(_sums(c).parts()[0]).alias(f"_s_{c}") for c in cols]
+    sums.append(F.sum(_sums(x).parts()[1]).alias(f"_s2_{x}"))
     return (
         keyed.join(spans, list(context))
         .groupBy(*context)
@@ -58,8 +61,8 @@ def context_moments(
 ) -> DataFrame:
     """Mean and sample standard deviation of ``x`` per context."""
     s, a, b = _sums(x), F.col(f"_s_{x}"), F.col(f"_s2_{x}")
-    return context_sums(df, context, [x]).select(
-        *context, s.mean(a, b).alias("group_mean"), s.std(a, b).alias("group_std")
+    return context_sums(df, context, x).select(
+        *context, s.mean(a).alias("group_mean"), s.std(a, b).alias("group_std")
     )
 
 
@@ -82,18 +85,17 @@ def context_profile(
     Expects :func:`ratio_features` columns.  The moments are rounded like the
     features (``FEATURE_DIGITS``); the sums are not.
     """
-    sums = context_sums(df, context, [x, *RATIOS])
-    of = lambda c: (_sums(c), F.col(f"_s_{c}"), F.col(f"_s2_{c}"))
-    s, a, b = of(x)
+    sums = context_sums(df, context, x, list(RATIOS))
+    s, a, b = _sums(x), F.col(f"_s_{x}"), F.col(f"_s2_{x}")
     tidy = lambda c: F.round(c, FEATURE_DIGITS)
-    averages = [tidy(r.mean(p, q)).alias(f"context_avg_{name}") for name in RATIOS for r, p, q in [of(name)]]
+    averages = [tidy(_sums(name).mean(F.col(f"_s_{name}"))).alias(f"context_avg_{name}") for name in RATIOS]
     return sums.select(
         *context,
         F.col("_rows").alias("context_obs_count"),
-        tidy(s.mean(a, b)).alias("context_mean_passengers"),
+        tidy(s.mean(a)).alias("context_mean_passengers"),
         tidy(s.variance(a, b)).alias("context_var_passengers"),
         *averages,
-        *[F.col(f"_{n}_{x}") for n in ("n", "lo", "hi", "s", "s2")],
+        *[F.col(f"_{n}_{x}") for n in ("n", "lo", "hi", "unit", "s", "s2")],
     )
 
 
@@ -145,8 +147,8 @@ def leave_one_out(df: DataFrame, x: str = MEASURE) -> DataFrame:
     var = F.when(left > 0, F.coalesce(s.variance(rest, rest2, left), F.lit(0.0)))
     out = df.withColumns(
         {
-            "loo_mean_passengers": s.mean(rest, rest2, left),
+            "loo_mean_passengers": s.mean(rest, left),
             "loo_std_passengers": F.sqrt(var + F.lit(EPS)),
         }
     )
-    return out.drop(*[f"_{n}_{x}" for n in ("n", "lo", "hi", "s", "s2")])
+    return out.drop(*[f"_{n}_{x}" for n in ("n", "lo", "hi", "unit", "s", "s2")])

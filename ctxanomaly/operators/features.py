@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ctxanomaly.config import CONTEXT_KEYS, EPS, FEATURE_DIGITS, FEATURES, MEASURE
 from ctxanomaly.functions.expressions import finite_nonneg, flag_of, rate
-from ctxanomaly.functions.sums import ScaledSums
+from ctxanomaly.functions.sums import ScaledSums, unit_for
 from ctxanomaly.operators.context import (
     attach_context,
     context_profile,
@@ -134,8 +134,8 @@ def feature_moments(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     aggs = []
     for c in cols:
         n, lo, hi = spans[f"n_{c}"], spans[f"lo_{c}"], spans[f"hi_{c}"]
-        s = ScaledSums(F.col(c), F.lit(n), F.lit(lo).cast("double"), F.lit(hi).cast("double"))
-        aggs += [s.mean(*s.sums()).alias(f"{c}_mean"), s.std(*s.sums()).alias(f"{c}_std")]
+        s = ScaledSums(F.col(c), F.lit(n), F.lit(lo).cast("double"), F.lit(hi).cast("double"), unit_for(F.lit(n)))
+        aggs += [s.mean(s.sums()[0]).alias(f"{c}_mean"), s.std(*s.sums()).alias(f"{c}_std")]
     return df.agg(*aggs)
 
 
