@@ -41,7 +41,7 @@ class ScaledSums:
     def parts(self) -> tuple[Column, Column]:
         """q and q^2 of a row, in units."""
         q = F.when(self.span > 0, (self.x - self.lo) / self.span).when(self.x.isNotNull(), F.lit(0.0))
-        return F.round(q * self.unit).cast("bigint"), F.round(q * q * self.unit).cast("bigint")
+        return F.rint(q * self.unit).cast("bigint"), F.rint(q * q * self.unit).cast("bigint")
 
     def sums(self) -> tuple[Column, Column]:
         q, q2 = self.parts()

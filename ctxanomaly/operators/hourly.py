@@ -21,7 +21,7 @@ def measure_sum(x: Column) -> Column:
     the same for any order and partitioning.  A cell whose values or total
     leave the 64-bit range at that scale gets the plain double sum."""
     unit = F.lit(1e6)
-    whole = F.round(x * unit).try_cast("bigint")
+    whole = F.rint(x * unit).try_cast("bigint")
     exact = F.when(F.count(whole) == F.count(x), F.try_sum(whole).cast("double") / unit)
     return F.coalesce(exact, F.sum(x))
 
