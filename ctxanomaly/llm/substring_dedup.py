@@ -123,7 +123,8 @@ def combine_anchors(seed: np.ndarray, whole: np.ndarray, d: np.ndarray) -> tuple
     A territory that a smaller document of the batch has is settled.  Other
     anchors of a seed that two documents of the batch share are open; the
     smallest and the largest document keep the seed, to tell other tasks of
-    it.  All further decided rows get seeds of their own, which spreads them.
+    it, which then keep all their territories of that seed.  All further
+    decided rows get seeds of their own, which spreads them.
     """
     order = np.lexsort((d, whole, seed))
     s, w, doc = seed[order], whole[order], d[order]
@@ -183,10 +184,14 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int = SEED_
     rows = texts.mapInArrow(_anchor_rows(min_words, seed_words), schema).repartition("seed")
     territory, seed = Window.partitionBy("seed", "whole"), Window.partitionBy("seed")
     rows = rows.withColumn("low", F.min("d").over(territory))
-    rows = rows.withColumns({"seed_low": F.min("low").over(seed), "seed_high": F.max("low").over(seed)})
+    # open rows with seeds of their own are not seen here, so one open row keeps all territories of its seed
+    some_open = F.max(F.col("state") == OPEN).over(seed)
+    rows = rows.withColumns(
+        {"seed_low": F.min("low").over(seed), "seed_high": F.max("low").over(seed), "seed_open": some_open}
+    )
     settled = (F.col("state") == SETTLED) | (F.col("low") < F.col("d"))
     rows = cut(
-        rows.filter(settled | (F.col("state") == OPEN) | (F.col("seed_low") < F.col("seed_high"))).select(
+        rows.filter(settled | F.col("seed_open") | (F.col("seed_low") < F.col("seed_high"))).select(
             settled.alias("settled"), "d", "k", "first", "last"
         ),
         "anchor_matches",

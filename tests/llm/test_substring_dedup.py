@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -52,6 +53,23 @@ def test_reordered_and_self_repeats(make_docs):
     assert rows_of(substring_dedup(make_docs(rows))) == brute(rows)
 
 
+def test_partner_in_another_batch_whose_territories_are_all_its_own(spark, make_docs):
+    rng = random.Random(11)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    core = text(13)
+    low, mid, high = (f"{text(20)} {core} {text(20)}" for _ in range(3))
+    rows = [(5, low, "s"), (7, mid, "s"), (9, high, "s"), (3, f"{low} {text(20)} {high}", "s")]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")  # the first three documents, then the fourth
+    try:
+        got = rows_of(substring_dedup(make_docs(rows).coalesce(1)))
+    finally:
+        spark.conf.set(key, before)
+    assert got == brute(rows)
+    assert {r[0]: r[2] for r in got} == {3: 0, 5: 53, 7: 13, 9: 53}
+
+
 def test_empty_table(make_docs):
     assert substring_dedup(make_docs([])).count() == 0
 
