@@ -3,8 +3,8 @@
 Three base kinds are found in every text (assignments, access keys, long hex
 runs), and long mixed tokens are candidates besides.  The values' hashes are
 counted over the corpus by distinct repositories and owners: a value that
-``max_owners`` owners or fewer hold is owner-specific, others are widely
-copied examples.  Owner-specific tokens that look live (digits, both cases
+more than ``max_owners`` owners and at least ``min_repositories`` repositories
+hold is a widely copied example, others are owner-specific.  Owner-specific tokens that look live (digits, both cases
 and enough different characters) add a span of kind ``token`` unless a base
 span overlaps it; base spans always stay.
 
@@ -33,9 +33,13 @@ MIN_ASSIGN = 6
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "token")
 MAX_OWNERS = 1
+#: Where spans are redacted, a value of several owners is an example only from
+#: so many repositories on: a copy or two of a live token do not publish it.
+WIDELY_COPIED = 10
 MIN_DISTINCT = 10
 
 _EMPTY = "array<struct<start:long,rank:int,end:long,value:string>>"
+_HOLDERS = "array<struct<value:string,n_owners:long,n_repositories:long>>"
 
 
 def _spans(text: Column, pattern: str, rank: int) -> Column:
@@ -122,11 +126,16 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def secrets(
-    docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS
+    docs: DataFrame,
+    owner: str = "source",
+    repository: str = "doc_id",
+    max_owners: int = MAX_OWNERS,
+    min_repositories: int = 1,
 ) -> DataFrame:
     """One row per document: ``doc_id, text_key, base, added`` (arrays of
     spans in order, with value hashes), ``n_copied`` and ``n_owned`` (values
-    of the document held by many, and by few, owners)."""
+    of the document that are widely copied, and owner-specific) and ``holders``
+    (value, n_owners and n_repositories of its distinct values)."""
     rows = cut(scanned(docs, owner, repository), "secret_spans")
     some = (F.size("base") > 0) | (F.size("tokens") > 0)
     held = rows.filter(some).select(
@@ -134,23 +143,25 @@ def secrets(
     )
     held = held.select("row_id", "owner", "repository", "s", F.col("s.value").alias("value"))
     counted = cut(ownership(held.select("value", "owner", "repository")), "ownership")
-    owned = F.col("n_owners") <= max_owners
+    owned = (F.col("n_owners") <= max_owners) | (F.col("n_repositories") < min_repositories)
     per_row = (
         held.join(counted, "value").groupBy("row_id")
         .agg(
             F.array_sort(F.collect_list(F.when(owned & (F.col("s.rank") == 3), F.col("s")))).alias("added"),
             F.count_if(~owned).alias("n_copied"),
             F.count_if(owned).alias("n_owned"),
+            F.array_sort(F.collect_set(F.struct("value", "n_owners", "n_repositories"))).alias("holders"),
         )
     )
     none = F.array().cast(_EMPTY)
     zero = F.lit(0).cast("long")
     full = rows.filter(some).join(per_row, "row_id").select(
-        "doc_id", "text_key", "base", "added", "n_copied", "n_owned"
+        "doc_id", "text_key", "base", "added", "n_copied", "n_owned", "holders"
     )
     bare = rows.filter(~some).select(
-        "doc_id", "text_key", none.alias("base"), none.alias("added"), zero.alias("n_copied"), zero.alias("n_owned")
-    )
+        "doc_id", "text_key", none.alias("base"), none.alias("added"), zero.alias("n_copied"), zero.alias("n_owned"),
+        F.array().cast(_HOLDERS).alias("holders"),
+    )
     return full.unionByName(bare)
 
 
@@ -170,11 +181,17 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source", repository: str = "doc_id") -> DataFrame:
+def redact(
+    docs: DataFrame,
+    mark: str = "[SECRET]",
+    owner: str = "source",
+    repository: str = "doc_id",
+    min_repositories: int = 1,
+) -> DataFrame:
     """``docs`` with every span of the scan replaced by ``mark`` (overlapping
     spans once) and ``n_chars``, if there, counted anew.  No row is dropped."""
     columns = docs.columns
-    spans = secrets(docs, owner, repository).select(
+    spans = secrets(docs, owner, repository, min_repositories=min_repositories).select(
         F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.array_sort(F.concat("base", "added")).alias("_s")
     )
     spans = cut(spans.filter(F.size("_s") > 0).dropDuplicates(["_d", "_k"]), "spans_to_redact")

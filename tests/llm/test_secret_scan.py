@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import corpus_pipeline
 from ctxanomaly.llm.queries import SQL
 from ctxanomaly.llm.secret_scan import redact, report, secrets
 from llm.oracle import by_spark, by_sql
@@ -80,6 +81,22 @@ def test_redaction(make_docs, corpus):
     assert report(secrets(clean)).filter("n_assign + n_access + n_hex > 0").count() == 0
 
 
+def test_pipeline_redacts_what_is_not_widely_copied(spark, make_docs):
+    pair, one, wide = LIVE, LIVE[::-1], COPIED
+    rows = [(1, f"a {pair} z", "a"), (2, f"b {pair}", "b")]
+    rows += [(10 + i, f"c{i} {one}", "hot") for i in range(12)]  # many documents of one owner
+    rows += [(30 + i, f"d{i} {wide}", "hot" if i else "a") for i in range(12)]  # of two owners
+    docs = make_docs(rows)
+    clean = {r["doc_id"]: r["text"] for r in corpus_pipeline.secret_scans(spark, docs, "").collect()}
+    assert clean[1] == "a [SECRET] z" and clean[2] == "b [SECRET]"
+    assert [clean[10 + i] for i in range(12)] == [f"c{i} [SECRET]" for i in range(12)]
+    assert [clean[30 + i] for i in range(12)] == [f"d{i} {wide}" for i in range(12)]
+    held = {r["doc_id"]: r["holders"] for r in secrets(docs).collect()}
+    assert [(len(held[d]), held[d][0]["n_owners"], held[d][0]["n_repositories"]) for d in (1, 10, 30)] == [
+        (1, 2, 2), (1, 1, 12), (1, 2, 12)
+    ]
+
+
 def test_empty_table(make_docs):
     assert secrets(make_docs([])).count() == 0
     assert redact(make_docs([])).count() == 0
