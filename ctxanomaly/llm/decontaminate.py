@@ -57,18 +57,28 @@ def running_hash(ids: np.ndarray, size: int) -> np.ndarray:
 def tile(pairs: list[tuple[int, int]], size: int, item_words: int) -> int:
     """Words of an item under greedy tiles, from verified seed hits (item
     position, document position)."""
+    return tile_runs(diagonal_runs(pairs, size), size, item_words)
+
+
+def diagonal_runs(pairs: list[tuple[int, int]], size: int) -> list[tuple[int, int, int]]:
+    """Maximal matches as (-length, item position, document position)."""
     by_diagonal: dict[int, list[int]] = defaultdict(list)
     for i, j in pairs:
         by_diagonal[j - i].append(i)
-    heap = []
+    runs = []
     for d, starts in by_diagonal.items():
         starts.sort()
         first = last = starts[0]
         for i in [*starts[1:], -1]:
             if i != last + 1:
-                heap.append((-(last - first + size), first, first + d))
+                runs.append((-(last - first + size), first, first + d))
                 first = i
             last = i
+    return runs
+
+
+def tile_runs(heap: list[tuple[int, int, int]], size: int, item_words: int) -> int:
+    """Words of an item under greedy tiles, from its maximal matches."""
     heapify(heap)
     in_item, in_doc = bytearray(item_words), set()
     while heap:
@@ -111,6 +121,7 @@ class SeedIndex:
         order = np.argsort(every, kind="stable")
         self.hashes, self.first = np.unique(every[order], return_index=True)
         self.last = np.r_[self.first[1:], every.size].astype(np.int64)
+        self.lengths = np.array([ids.size for _, ids in self.items], dtype=np.int64)
         self.item_of, self.word_of = joined(item_of, np.int32)[order], joined(word_of, np.int32)[order]
 
     def matches(self, text: str | None, min_coverage: float) -> list[tuple[object, int, int]]:
@@ -127,23 +138,65 @@ class SeedIndex:
         h = running_hash(ids, self.size)[at]
         slot = np.minimum(np.searchsorted(self.hashes, h), self.hashes.size - 1)
         hit = self.hashes[slot] == h
-        pairs: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for j, s in zip(at[hit].tolist(), slot[hit].tolist(), strict=True):
-            held = slice(self.first[s], self.last[s])
-            for item, i in zip(self.item_of[held].tolist(), self.word_of[held].tolist(), strict=True):
-                if np.array_equal(self.items[item][1][i : i + self.size], ids[j : j + self.size]):
-                    pairs[item].append((i, j))
+        if not hit.any():
+            return []
+        at, slot = at[hit], slot[hit]
+        order = np.argsort(slot, kind="stable")
+        at = at[order]
+        used, begin = np.unique(slot[order], return_index=True)
+        places = np.split(at, begin[1:])  # of each seed in the document
+        held = self.last[used] - self.first[used]
+        entry = np.arange(held.sum()) + np.repeat(self.first[used] - np.cumsum(held) + held, held)
+        seed_of = np.repeat(np.arange(used.size), held)
+        order = np.argsort(self.item_of[entry], kind="stable")
+        entry, seed_of = entry[order], seed_of[order]
+        items, begin, count = np.unique(self.item_of[entry], return_index=True, return_counts=True)
+        # items whose hit positions would not reach the coverage as disjoint seeds go before any pair is made
+        n = self.lengths[items]
+        near = np.minimum(count * self.size, n) >= min_coverage * n
         found = []
-        for item, hits in pairs.items():
+        for item, a, c in zip(items[near].tolist(), begin[near].tolist(), count[near].tolist(), strict=True):
             item_id, item_ids = self.items[item]
+            hits = zip(self.word_of[entry[a : a + c]].tolist(), seed_of[a : a + c].tolist(), strict=True)
+            verified, runs = self._runs(item_ids, ids, [(i, places[s]) for i, s in hits])
             n = item_ids.size
-            if min(len({i for i, _ in hits}) * self.size, n) < min_coverage * n:
-                continue  # even disjoint seeds would not reach the coverage
-            tiled = tile(hits, self.size, n)
+            if min(verified * self.size, n) < min_coverage * n:
+                continue
+            tiled = tile_runs(runs, self.size, n)
             if tiled >= min_coverage * n:
                 found.append((item_id, n, tiled))
         return found
 
+    def _runs(
+        self, item: np.ndarray, doc: np.ndarray, hits: list[tuple[int, np.ndarray]]
+    ) -> tuple[int, list[tuple[int, int, int]]]:
+        """Item positions with a verified hit, and the maximal matches as
+        (-length, item position, document position).  Only the ends of matches
+        are kept, so pairs inside them take no memory."""
+        size, verified = self.size, 0
+        starts, ends = [], []
+        for i, at in hits:
+            for k in range(size):
+                at = at[doc[at + k] == item[i + k]]
+            if not at.size:
+                continue
+            verified += 1
+            before = at > 0 if i > 0 else np.zeros(at.size, bool)
+            if i > 0:
+                before &= doc[at - 1] == item[i - 1]
+            after = at + size < doc.size if i + size < item.size else np.zeros(at.size, bool)
+            if i + size < item.size:
+                after &= doc[np.minimum(at + size, doc.size - 1)] == item[i + size]
+            for into, j in ((starts, at[~before]), (ends, at[~after])):
+                if j.size:
+                    into.append(np.stack([j - i, np.full(j.size, i)]))
+        if not verified:
+            return 0, []
+        # on each diagonal starts and ends take turns
+        starts, ends = (x[:, np.lexsort((x[1], x[0]))] for x in (np.concatenate(starts, 1), np.concatenate(ends, 1)))
+        length = ends[1] - starts[1] + size
+        return verified, list(zip((-length).tolist(), starts[1].tolist(), (starts[0] + starts[1]).tolist(), strict=True))
+
 
 def matches(
     docs: DataFrame,

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 from ctxanomaly.llm.decontaminate import SeedIndex, decontaminate, drop_leaks, tile, words_of
 
@@ -41,6 +42,36 @@ def test_tiling_equals_brute_force():
         assert (tile(pairs, size, len(item)) if pairs else 0) == brute_tiles(item, doc, size)
 
 
+def test_index_equals_brute_force():
+    r = random.Random(2)
+    seen = 0
+    for _ in range(150):
+        items = [[r.choice("abc") for _ in range(r.randrange(3, 20))] for _ in range(4)]
+        doc = [r.choice("abcd") for _ in range(r.randrange(3, 40))]
+        for item in items[: r.randrange(4)]:
+            cut = r.randrange(len(item))
+            doc[5:5] = item[cut:] + ["z"] + item[:cut]
+        want = [(k, len(w), brute_tiles(w, doc, 3)) for k, w in enumerate(items) if len(w) >= 3]
+        want = [m for m in want if m[2] >= 0.8 * m[1]]
+        index = SeedIndex([(k, " ".join(w)) for k, w in enumerate(items)], 3)
+        assert sorted(index.matches(" ".join(doc), 0.8)) == want
+        seen += len(want)
+    assert seen > 100
+
+
+def test_frequent_seeds_take_no_memory_for_pairs():
+    common = "one two three four five"
+    items = [(k, " ".join(f"{common} x{k}y{i} x{k}z{i} x{k}w{i} x{k}v{i}" for i in range(10))) for k in range(60)]
+    index = SeedIndex([*items, (99, "again " * 300)], 5)
+    doc = " ".join([f"{common} f{i}" for i in range(500)]) + " again" * 3000  # 300,000 and 886,816 pairs
+    tracemalloc.start()
+    got = index.matches(doc, 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [(99, 300, 300)]
+    assert peak < 16 << 20
+
+
 def rows(make_docs):
     j = " ".join
     return make_docs(
