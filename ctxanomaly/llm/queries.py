@@ -12,12 +12,14 @@ from ctxanomaly.llm.decontaminate import decontaminate
 from ctxanomaly.llm.language_id import identify
 from ctxanomaly.llm.packing import pack, pieces
 from ctxanomaly.llm.quality_rules import quality
+from ctxanomaly.llm.ranked_search import search
 from ctxanomaly.llm.secret_scan import report, secrets
 from ctxanomaly.llm.simhash_neardup import simhash_classes
 from ctxanomaly.llm.substring_dedup import substring_dedup
 from ctxanomaly.llm.suffix_dedup import suffix_dedup
 from ctxanomaly.llm.url_filter import judge
 from ctxanomaly.llm.warc import read_archives, write_archives
+from ctxanomaly.llm.whitening import whiten
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +67,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(table(spark, sf_dir, "documents")))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
@@ -191,4 +201,35 @@ select page_id, cast(strlen(h) as bigint) as payload_bytes, digest as payload_di
 from p join base32 using (rid) join first using (h)
 """
 
-SQL: dict[str, str] = {"op1_secret_scans": _OP1, "op3_warc": _OP3, "op4_quality_rules": _OP4}
+_OP12_TERMS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+_OP12 = f"""
+with d as (
+  select *, len(ts) as n from (select row_number() over () as rid, doc_id, {_OP12_TERMS} as ts from documents)
+  where len(ts) > 0
+), total as (
+  select count(*) as n_docs, cast(sum(n) as bigint) as length from d
+), tf as (
+  select rid, term, count(*) as tf from (select rid, unnest(ts) as term from d) group by rid, term
+), w as (
+  select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint) as w
+  from (select term, count(*) as df from tf group by term), total
+), m as (
+  select rid, doc_id, 25 + (75 * n * n_docs) // length as m from d, total
+), q as (
+  select iid, item_id, unnest(ts) as term
+  from (select row_number() over () as iid, item_id, {_OP12_TERMS} as ts from benchmark)
+), s as (
+  select iid, item_id, rid, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from q join w using (term) join tf using (term) join m using (rid) group by all
+)
+select item_id, cast(rank as int) as rank, doc_id, score from (
+  select *, row_number() over (partition by iid order by score desc, doc_id nulls last) as rank from s where score > 0
+) where rank <= 10
+"""
+
+SQL: dict[str, str] = {
+    "op1_secret_scans": _OP1, "op3_warc": _OP3, "op4_quality_rules": _OP4, "op12_ranked_search": _OP12,
+}
