@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ctxanomaly.llm.common import table
 from ctxanomaly.llm.decontaminate import decontaminate
 from ctxanomaly.llm.language_id import identify
+from ctxanomaly.llm.neural_lm import score
 from ctxanomaly.llm.packing import pack, pieces
 from ctxanomaly.llm.quality_rules import quality
 from ctxanomaly.llm.ranked_search import search
@@ -67,6 +68,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(table(spark, sf_dir, "documents")))
 
 
+def op11_neural_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
