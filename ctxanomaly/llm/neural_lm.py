@@ -32,6 +32,7 @@ tasks, as the order of training does; counts and base scores do not.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -122,6 +123,18 @@ class Tables:
         return self.one[one, ids].astype(float) + self.two[two, ids] - self.z[one, two]
 
 
+_KEPT: dict[str, Tables] = {}
+
+
+def tables_of(key: str, model: LogBilinear) -> Tables:
+    """The tables of a model, computed once in a worker process: they are
+    many times the size of the parameters, which alone are broadcast."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = model.tables()
+    return _KEPT[key]
+
+
 class Trainer:
     """Noise-contrastive estimation by AdaGrad."""
 
@@ -365,13 +378,15 @@ def score(docs: DataFrame, dim: int = DIM, rounds: int = ROUNDS, lexicon: int =
     counts = cut(token_counts(rows.filter(~F.col("held_out"))), "token_counts")
     corpus = gather(counts, lexicon, model_words)
     encoded = encode(rows, corpus)
-    tables = spark.sparkContext.broadcast(fit(encoded, corpus, dim, rounds).tables())
+    model = spark.sparkContext.broadcast(fit(encoded, corpus, dim, rounds))
+    key = uuid.uuid4().hex
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = tables_of(key, model.value)
         for batch in batches:
             if batch.num_rows:
                 ids, starts = texts_of(batch)
-                logs = tables.value.log_probs(ids, *contexts(ids, starts)) / math.log(10)
+                logs = tables.log_probs(ids, *contexts(ids, starts)) / math.log(10)
                 columns = [*batch.columns[:-1], pa.array(np.add.reduceat(logs, starts))]
                 columns.append(pa.array(np.add.reduceat((ids == REST).astype(np.int64), starts)))
                 yield pa.RecordBatch.from_arrays(columns, names=[*_PLAIN, "model", "n_rest"])
