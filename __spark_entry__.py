@@ -29,9 +29,11 @@ from ctxanomaly.operators.context import (  # noqa: E402
     attach_context,
     context_moments,
     context_profile,
+    context_state,
     leave_one_out,
     min_context,
     ratio_features,
+    state_moments,
 )
 from ctxanomaly.operators.features import (  # noqa: E402
     complete_rows,
@@ -44,8 +46,12 @@ from ctxanomaly.operators.features import (  # noqa: E402
 )
 from ctxanomaly.operators.forest import (  # noqa: E402
     contamination_threshold,
+    SKETCH_RANK_ERROR,
     fit_forest,
     flag_ge,
+    score_of_units,
+    score_sketches,
+    sketch_threshold,
     threshold_rank,
     top_by_score,
     training_pool,
@@ -59,10 +65,19 @@ from ctxanomaly.operators.records import (  # noqa: E402
     with_datetime,
 )
 from ctxanomaly.operators.zscore import top_by_abs, zscore  # noqa: E402
-from ctxanomaly.plans.detect import OUTPUT_COLUMNS, Detection, detect, detect_forest, hourly_cells  # noqa: E402
+from ctxanomaly.plans.detect import (  # noqa: E402
+    OUTPUT_COLUMNS,
+    Detection,
+    detect,
+    detect_forest,
+    featured_stage,
+    hourly_cells,
+    hourly_observed,
+)
 from ctxanomaly.plans.run import drop_reasons as cell_report  # noqa: E402
+from ctxanomaly.plans.update import rescore, update  # noqa: E402
 from checks.oracles import sql_queries  # noqa: E402
-from ctxanomaly.session import checkpoint_root, cut  # noqa: E402
+from ctxanomaly.session import checkpoint_root, cut, cut_bucketed  # noqa: E402
 from ctxanomaly.sources import (  # noqa: E402
     coerce_datetime,
     merge_parts,
@@ -262,6 +277,30 @@ def q_drop_reasons(spark, sf):
     return records.unionByName(cell_reasons)
 
 
+def q_drop_reasons_observed(spark, sf):
+    """The same counts as ``drop_reasons``, from the jobs that write the stages."""
+    hourly, records, _ = hourly_observed(raw_events(spark, sf), cut)
+    z = cut(zscore(hourly, CFG.context, CFG.measure, CFG.z_threshold, is_cut=True), "zscore")
+    _, _, cells = featured_stage(z, CFG, count_drops=True)
+    return R.observed_reasons(spark, "records", records).unionByName(R.observed_reasons(spark, "cells", cells))
+
+
+def q_profile_records_observed(spark, sf):
+    _, _, seen = hourly_observed(raw_events(spark, sf), cut)
+    columns = ["row_count", *[f"non_null_{c}" for c in RAW]]
+    return spark.createDataFrame([tuple(seen[c] for c in columns)], ", ".join(f"{c} bigint" for c in columns))
+
+
+def q_drop_reasons_malformed(spark, sf):
+    """Raw lines with one field too many, and with a quote that is not closed."""
+    raw = raw_events(spark, sf)
+    town = F.when(F.col("town") == "FRANCE", "FRANCE,x").when(F.col("town") == "PERU", '"PERU').otherwise(F.col("town"))
+    path = scratch(spark, "broken_csv")
+    raw.select(*[town.alias(c) if c == "town" else c for c in RAW]).write.option("header", True).option("quote", "").csv(path)
+    typed = cast_records(read_records(spark, path, malformed=True))
+    return R.record_drop_reasons(typed)
+
+
 def q_contextual_zscore_events(spark, sf):
     return _ev_zscored(spark, sf).select(*CELL, *TEMPORAL, "group_mean", "group_std", "z_score", "is_anomaly")
 
@@ -273,6 +312,47 @@ def q_context_moments(spark, sf):
     return context_moments(hourly_cells(raw_lineitem(spark, sf)), CFG.context, CFG.measure)
 
 
+def q_context_moments_merged(spark, sf):
+    """Moments of all months from the kept sums of each."""
+    cells = cut(hourly_cells(raw_lineitem(spark, sf)), "cells")
+    path = scratch(spark, "context_state")
+    write_stage(context_state(cells, CFG.context, CFG.measure, by=("month",)), path, partition_by=("month",))
+    return state_moments(spark.read.parquet(path), CFG.context, CFG.measure)
+
+
+def _late_correction(spark, sf):
+    """A store of all months, March of every year delivered again with one
+    passenger more in every record."""
+    key = (spark.sparkContext.applicationId, sf, "store")
+    if key not in _DETECTIONS:
+        raw, path = raw_lineitem(spark, sf), scratch(spark, "store")
+        update(raw, path, CFG)
+        march = raw.filter(F.month("transition_date") == 3)
+        scored = update(march.withColumn("number_of_passenger", F.col("number_of_passenger") + 1), path, CFG)
+        _DETECTIONS[key] = path, cut(scored, "corrected")
+    return _DETECTIONS[key]
+
+
+def q_update_month(spark, sf):
+    path, _ = _late_correction(spark, sf)
+    return spark.read.parquet(f"{path}/hourly").select(*CELL, *TEMPORAL)
+
+
+def q_update_zscore(spark, sf):
+    return _late_correction(spark, sf)[1].select(*ZCOLS)
+
+
+def q_rescore(spark, sf):
+    path, _ = _late_correction(spark, sf)
+    rescore(spark, path, cfg=CFG)
+    return spark.read.parquet(f"{path}/zscore").select(*ZCOLS)
+
+
+def q_contextual_zscore_bucketed(spark, sf):
+    cells = cut_bucketed(hourly_cells(raw_lineitem(spark, sf)), "cells", CFG.context, 8)
+    return zscore(cells, CFG.context, CFG.measure, CFG.z_threshold, is_cut=True, shuffled=True).select(*ZCOLS)
+
+
 def q_attach_context(spark, sf):
     cells = hourly_cells(raw_lineitem(spark, sf))
     stats = context_moments(cells, CFG.context, CFG.measure)
@@ -524,6 +604,24 @@ def q_iforest_flags_approx(spark, sf):
     )
 
 
+def q_iforest_flags_sketch(spark, sf):
+    """Whether the threshold from monthly sketches has a rank within their
+    bound, and the flags are the rows at or above it."""
+    scored = detection(spark, sf).scored.drop("iforest_anomaly", "iforest_prediction")
+    units = sketch_threshold(cut(score_sketches(scored), "sketches"), CFG)
+    at, u = F.lit(units), F.col("iforest_path_units")
+    counts = flag_ge(scored, (score_of_units(units, CFG), units)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(u < at).alias("below"), F.count_if(u <= at).alias("at_most"),
+        F.count_if((F.col("iforest_anomaly") == 1) != (u <= at)).alias("wrong"),
+    )
+    rank = F.floor(F.col("n") * F.lit(CFG.contamination)) + 1
+    slack = F.col("n") * F.lit(SKETCH_RANK_ERROR) + 1
+    within = (F.col("below") <= rank + slack) & (F.col("at_most") >= rank - slack)
+    return counts.select(
+        F.col("n").alias("scored_rows"), within.alias("rank_within_bound"), (F.col("wrong") == 0).alias("flags_follow_units")
+    )
+
+
 def q_formatted_monthly(spark, sf):
     return R.formatted_monthly(R.method_by(detection(spark, sf).scored, "month"))
 

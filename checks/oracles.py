@@ -447,6 +447,14 @@ LINEITEM_TEXT = with_ctes(
     forest_chain("t_"),
 )
 LINEITEM_Z = with_ctes(RAW_LINEITEM, record_chain("raw_lineitem", "l_"), z_chain("l_"))
+# F2 after March of every year came again with one passenger more in every record.
+CORRECTED = """
+raw_corrected as (
+  select * replace (case when month(transition_date) = 3 then number_of_passenger + 1 else number_of_passenger end
+                    as number_of_passenger)
+  from raw_lineitem
+)"""
+CORRECTED_Z = with_ctes(RAW_LINEITEM, CORRECTED, record_chain("raw_corrected", "u_"), z_chain("u_"))
 LINEITEM_F = with_ctes(
     RAW_LINEITEM, record_chain("raw_lineitem", "l_"), z_chain("l_"), feature_chain("l_"), scale_chain("l_")
 )
@@ -608,6 +616,21 @@ select 'cells' as stage, reason, count(*) as row_count from (
               else 'kept' end as reason
   from e_cells c left join e_profile p
     on c.line = p.line and c.hour = p.hour and c.spark_dayofweek = p.spark_dayofweek) group by reason""",
+    )
+    q["drop_reasons_observed"] = q["drop_reasons"]
+    q["profile_records_observed"] = q["profile_records"]
+    q["drop_reasons_malformed"] = final(
+        ev,
+        """select reason, count(*) as row_count from (
+  select case when town in ('FRANCE', 'PERU') then 'malformed_line'
+              when transition_date is null then 'null_or_bad_date'
+              when transition_hour is null then 'null_or_bad_hour'
+              when not (transition_hour between 0 and 23) then 'hour_out_of_range'
+              when number_of_passenger is null then 'null_or_bad_passengers'
+              when not (number_of_passenger >= 0 and number_of_passenger < 'inf'::double)
+                then 'negative_or_non_finite_passengers'
+              else 'kept' end as reason
+  from e_cast) group by reason""",
     )
     q["contextual_zscore_events"] = final(
         ev,
@@ -624,6 +647,11 @@ select 'cells' as stage, reason, count(*) as row_count from (
         ["total_passengers", "total_passages", "group_mean", "group_std"],
     )
     q["contextual_zscore"] = final(lz, f"select {zcols} from l_zscored", zd)
+    q["contextual_zscore_bucketed"] = q["contextual_zscore"]
+    q["context_moments_merged"] = q["context_moments"]
+    q["update_month"] = final(CORRECTED_Z, f"select {CELL}, {TEMPORAL} from u_cells", ["total_passengers", "total_passages"])
+    q["update_zscore"] = final(CORRECTED_Z, f"select {zcols} from u_zscored where month = 3", zd)
+    q["rescore"] = final(CORRECTED_Z, f"select {zcols} from u_zscored", zd)
     q["zscore_anomalies"] = final(lz, f"select {zcols} from l_zscored where is_anomaly", zd)
     q["top_zscore"] = final(
         lz,
@@ -828,6 +856,11 @@ select 'cells' as stage, reason, count(*) as row_count from (
         "select n as scored_rows, true as rank_within_tolerance, true as flags_follow_score "
         "from (select count(*) as n from l_scored0)",
     )
+    q["iforest_flags_sketch"] = final(
+        lt,
+        "select n as scored_rows, true as rank_within_bound, true as flags_follow_units "
+        "from (select count(*) as n from l_scored0)",
+    )
 
     # --- fractional measure, many records per cell (F3) -----------------------
     pz, pf = PRICES_Z, PRICES_FOREST

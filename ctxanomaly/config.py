@@ -75,8 +75,8 @@ class DetectConfig:
             raise ValueError(f"num_trees x 2 max_samples must be at most {MAX_NODES}: the forest is broadcast")
         if self.min_context_obs < 2:
             raise ValueError("min_context_obs must be at least 2 (leave-one-out needs another row)")
-        if self.threshold_mode not in ("exact", "approx"):
-            raise ValueError("threshold_mode is 'exact' or 'approx'")
+        if self.threshold_mode not in ("exact", "approx", "sketch"):
+            raise ValueError("threshold_mode is 'exact', 'approx' or 'sketch'")
         if not self.context or not self.hourly_keys:
             raise ValueError("context and hourly_keys must not be empty")
 

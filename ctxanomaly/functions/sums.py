@@ -1,21 +1,37 @@
 """Order-independent moments by sums of whole numbers.
 
-A double sum depends on the order in which partial sums meet.  Here a value
-is moved to q = (x - lo) / (hi - lo), between 0 and 1, and q and q^2 are
-added up as whole multiples of 1/unit, with the largest power of two that n
-of them cannot overflow.  Whole-number sums are the same for any order and
-partitioning, keep about as many digits as a double, and stay accurate where
-the spread is small against the values.  They need n, lo and hi first: one
-pass (all three order-independent themselves) before the one that sums.
+A double sum depends on the order in which partial sums meet; sums of whole
+numbers do not.  Two forms:
+
+``FixedSums`` add up values at a declared decimal scale, exactly, in one pass
+and next to any other aggregate: a value is a 62-bit whole number of two
+halves, and the halves, and the products of the halves cut in two again, are
+added up as 64-bit numbers.  Values that are no multiple of the scale, or too
+large for it, are counted and left out.
+
+``ScaledSums`` take any doubles.  A value is moved to q = (x - lo) / (hi - lo),
+between 0 and 1, and q and q^2 are added up as whole multiples of 1/unit, with
+the largest power of two that n of them cannot overflow.  They keep about as
+many digits as a double and stay accurate where the spread is small against
+the values, but need n, lo and hi before they add up.  ``FixedSums`` can be
+turned into them without another pass, as their extremes are known when the
+exact sums are.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+HALF = 31
+_LOW = (1 << HALF) - 1
+#: Decimal scale of measures (also that of the hourly totals).
+MEASURE_UNIT = 10**6
+
 
 def unit_for(n: Column) -> Column:
     """Units in 1: the largest power of two that n values cannot overflow."""
@@ -61,3 +77,92 @@ class ScaledSums:
 
     def std(self, s: Column, s2: Column, n: Column | None = None) -> Column:
         return F.sqrt(self.variance(s, s2, n))
+
+    def from_exact(self, total: Column, squares: Column | None, scale: int) -> tuple[Column, Column | None]:
+        """The sums of q and q^2 from exact totals of x and x^2 in units of
+        1/``scale``: whole part and remainder of the division by the span (or
+        its square) apart, so nothing is lost where values are close to lo.
+        Null where an intermediate exceeds 38 digits."""
+        wide = lambda c: c.cast("decimal(38,0)")
+        whole = lambda c: wide(F.rint(c * F.lit(float(scale))).try_cast("bigint"))
+        n, lo, hi, unit = wide(self.n), whole(self.lo), whole(self.hi), self.unit.cast("bigint")
+        span = F.try_subtract(hi, lo)
+
+        def share(above: Column, of: Column) -> Column:
+            parts = (above - above % of).cast("double") / of.cast("double"), (above % of).cast("double") / of.cast("double")
+            return F.when(of == 0, F.lit(0).cast("bigint")).otherwise(
+                F.rint(parts[0]).try_cast("bigint") * unit + F.rint(parts[1] * self.unit).try_cast("bigint")
+            )
+
+        above = F.try_subtract(total, F.try_multiply(n, lo))
+        if squares is None:
+            return share(above, span), None
+        # sum (x - lo)^2 = sum x^2 - lo (sum x + sum (x - lo))
+        above2 = F.try_subtract(squares, F.try_multiply(lo, F.try_add(total, above)))
+        return share(above, span), share(above2, F.try_multiply(span, span))
+
+
+@dataclass(frozen=True)
+class FixedSums:
+    """Exact sums of the whole multiples of 1/``scale`` in a column.
+
+    ``name`` prefixes the aggregates' columns.  :meth:`aggregates` gives the
+    expressions of the one pass; the other methods read their results.  Up to
+    2^32 values of a group cannot overflow; beyond, the sum is an error.
+    """
+
+    name: str
+    scale: int = MEASURE_UNIT
+
+    def at(self, part: str) -> Column:
+        return F.col(f"_{part}_{self.name}")
+
+    def halves(self, x: Column) -> dict[str, Column]:
+        """The row columns that :meth:`aggregates` add up."""
+        whole = F.rint(x * F.lit(float(self.scale)))
+        fits = (F.abs(whole) < F.lit(2.0**62)) & (whole / F.lit(float(self.scale)) == x)
+        k = F.when(fits, whole.try_cast("bigint"))
+        return {
+            f"_h_{self.name}": F.shiftright(k, HALF),
+            f"_l_{self.name}": k.bitwiseAND(F.lit(_LOW)),
+            f"_misfit_{self.name}": F.when(x.isNotNull() & ~fits, F.lit(1).cast("bigint")),
+        }
+
+    def aggregates(self) -> list[Column]:
+        """Sums over the columns of :meth:`halves`."""
+        h, low = self.at("h"), self.at("l")
+        sums = {"n": F.count(h), "sh": F.sum(h), "sl": F.sum(low), "misfit": F.count(self.at("misfit"))}
+        for part, product in (("ll", low * low), ("hl", h * low), ("hh", h * h)):
+            sums[f"{part}0"] = F.sum(product.bitwiseAND(F.lit(_LOW)))
+            sums[f"{part}1"] = F.sum(F.shiftright(product, HALF))
+        return [c.alias(f"_{part}_{self.name}") for part, c in sums.items()]
+
+    @staticmethod
+    def _whole(high: Column, low: Column) -> Column:
+        """high * 2^31 + low, null beyond 38 digits."""
+        return F.try_add(F.try_multiply(high.cast("decimal(38,0)"), F.lit(1 << HALF).cast("decimal(38,0)")), low.cast("decimal(38,0)"))
+
+    def total(self) -> Column:
+        """Exact sum in units; null where nothing was added up."""
+        return self._whole(self.at("sh"), self.at("sl"))
+
+    def total_of_squares(self) -> Column:
+        """Exact sum of squares in squared units; null beyond 38 digits."""
+        ll, hl, hh = (self._whole(self.at(f"{p}1"), self.at(f"{p}0")) for p in ("ll", "hl", "hh"))
+        twice = F.try_multiply(hl, F.lit(2).cast("decimal(38,0)"))
+        return self._whole(self._whole(hh, twice), ll)
+
+    def moments(self, row) -> tuple[float | None, float | None]:
+        """Mean and sample standard deviation from a row of the aggregates,
+        in whole-number arithmetic up to one division and root."""
+        part = lambda p: int(row[f"_{p}_{self.name}"] or 0)
+        n = part("n")
+        if n == 0:
+            return None, None
+        join = lambda p: (part(f"{p}1") << HALF) + part(f"{p}0")
+        s = (part("sh") << HALF) + part("sl")
+        s2 = (((join("hh") << HALF) + 2 * join("hl")) << HALF) + join("ll")
+        mean = float(Fraction(s, n * self.scale))
+        if n == 1:
+            return mean, None
+        return mean, math.sqrt(Fraction(n * s2 - s * s, n * (n - 1) * self.scale**2))

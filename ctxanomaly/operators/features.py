@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ctxanomaly.config import CONTEXT_KEYS, EPS, FEATURE_DIGITS, FEATURES, MEASURE
 from ctxanomaly.functions.expressions import finite_nonneg, flag_of, rate
-from ctxanomaly.functions.sums import ScaledSums, unit_for
+from ctxanomaly.functions.sums import FixedSums, ScaledSums, unit_for
 from ctxanomaly.operators.context import (
     attach_context,
     context_profile,
@@ -79,6 +79,15 @@ def in_range_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def labelled_cells(df: DataFrame) -> DataFrame:
+    """Label, numbers and temporal columns, ahead of the second filter."""
+    return ensure_temporal(numeric_text(normalize_label(df)))
+
+
+def second_filter(df: DataFrame) -> DataFrame:
+    return in_range_rows(complete_rows(df))
+
+
 def forest_input(df: DataFrame) -> DataFrame:
     """Label, temporal columns and the second filter, ahead of the features.
 
@@ -86,8 +95,7 @@ def forest_input(df: DataFrame) -> DataFrame:
     be read as a number is dropped by the filters (and counted by
     ``cell_drop_reasons``).
     """
-    out = ensure_temporal(numeric_text(normalize_label(df)))
-    return in_range_rows(complete_rows(out))
+    return second_filter(labelled_cells(df))
 
 
 def context_features(
@@ -96,17 +104,22 @@ def context_features(
     x: str = MEASURE,
     min_obs: int = 5,
     is_cut: bool = False,
+    fact: DataFrame | None = None,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Ratios, context profile, n >= min_obs, leave-one-out moments and the
     ten deviation features (five signed, five absolute), nulls filled with 0.
 
     The context profile is computed over ``df`` itself (the rows passing the
-    second filter), not over the z-score input.  ``df`` is read three times;
-    unless it comes from a cut (``is_cut``) it is cut first.
+    second filter), not over the z-score input.  ``df`` is read twice; unless
+    it comes from a cut (``is_cut``) it is cut first.  ``fact``: the same rows
+    for the second reading (with observed metrics, say); ``shuffled`` as in
+    :func:`attach_context`.
     """
-    base = ratio_features(df if is_cut else cut(df, "forest_input"))
-    stats = context_profile(base, context, x)
-    out = min_context(attach_context(base, stats, context, "inner"), min_obs)
+    df = df if is_cut else cut(df, "forest_input")
+    stats = context_profile(ratio_features(df), context, x)
+    base = ratio_features(df if fact is None else fact)
+    out = min_context(attach_context(base, stats, context, "inner", is_cut=True, shuffled=shuffled), min_obs)
     out = leave_one_out(out, x)
     xc = F.col(x)
     mu = F.col("loo_mean_passengers")
@@ -127,9 +140,28 @@ def context_features(
 def feature_moments(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     """One-row frame: mean and sample std of every column.
 
-    Two passes: the extremes (one row, brought to the driver), then sums of
-    whole numbers, so the moments do not depend on order or partitioning.
+    One pass: the values, at the scale that features are rounded to, are added
+    up exactly, one group per column (a few groups, combined on the map side),
+    so the moments do not depend on order or partitioning.  Columns with a
+    value that the scale cannot express are added up by :func:`wide_moments`.
     """
+    fixed = FixedSums("x", 10**FEATURE_DIGITS)
+    values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("at", "x"))
+    sums = values.withColumns(fixed.halves(F.col("x"))).groupBy("at").agg(*fixed.aggregates()).collect()
+    moments: dict[str, float | None] = {}
+    wide = [cols[r["at"]] for r in sums if r["_misfit_x"]]
+    for r in sums:
+        moments[f"{cols[r['at']]}_mean"], moments[f"{cols[r['at']]}_std"] = fixed.moments(r)
+    if wide:
+        moments |= wide_moments(df, wide).first().asDict()
+    names = [f"{c}_{m}" for c in cols for m in ("mean", "std")]
+    one = [tuple(moments.get(n) for n in names)]
+    return df.sparkSession.createDataFrame(one, ", ".join(f"`{n}` double" for n in names))
+
+
+def wide_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """:func:`feature_moments` for any doubles: the extremes first (one row,
+    brought to the driver), then sums scaled by them."""
     spans = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]).first()
     aggs = []
     for c in cols:

@@ -33,10 +33,14 @@ from ctxanomaly.functions.expressions import HASH_BITS, c_factor_py, hash_int, h
 from ctxanomaly.functions.isotree import ForestArrays, grow_trees_pdf
 from ctxanomaly.operators.quantile import value_at_rank
 from ctxanomaly.schema import NODES, PATH_UNIT
-from ctxanomaly.session import cut, ship_package
+from ctxanomaly.session import cut, cut_observed, ship_package
 
 DRAW_PRIME = (1 << 31) - 1
 DRAW_MARGIN = 4
+#: Size parameter of the kept quantile sketches, and the share of the rows by
+#: which a rank read from one may be off.
+SKETCH_K = 8000
+SKETCH_RANK_ERROR = 0.0005
 
 
 def with_row_key(df: DataFrame, keys: Sequence[str] = HOURLY_KEYS) -> DataFrame:
@@ -58,22 +62,30 @@ def training_pool(
     df: DataFrame,
     cfg: DetectConfig = DetectConfig(),
     features: Sequence[str] = SCALED_FEATURES,
+    total: int | None = None,
 ) -> DataFrame:
     """The rows that trees are drawn from: all, or exactly ``cfg.pool_size``
     of the smallest (h_pool, row_key).
 
-    ``df`` needs ``row_key`` and the feature columns.  The value at the
-    pool's rank is searched for distributedly; below it every row is in, and
-    only rows that tie with it are ordered.
+    ``df`` needs ``row_key`` and the feature columns.  Hashes are uniform, so
+    rows under a bound a tenth above the pool's share of all hashes are a few
+    more than the pool: they leave one scan, are counted as they are written,
+    and are ordered.  Should they be too few, the bound is doubled.  ``total``:
+    the number of rows, if known.
     """
     keyed = _with_pool_hash(df, cfg, features)
-    if cfg.pool_size is None or keyed.count() <= cfg.pool_size:
+    if cfg.pool_size is None:
+        return keyed
+    total = keyed.count() if total is None else total
+    if total <= cfg.pool_size:
         return keyed
-    last = value_at_rank(keyed, "h_pool", cfg.pool_size, HASH_BITS)
-    h = F.col("h_pool")
-    below = keyed.filter(h < last)
-    ties = keyed.filter(h == last).orderBy("row_key").limit(cfg.pool_size - below.count())
-    return below.unionByName(ties)
+    every = 1 << HASH_BITS
+    bound = min(every, every * (cfg.pool_size + cfg.pool_size // 10 + 100) // total)
+    while True:
+        low, seen = cut_observed(keyed.filter(F.col("h_pool") < F.lit(bound)), "pool_candidates", rows=F.count(F.lit(1)))
+        if seen["rows"] >= cfg.pool_size or bound == every:
+            return low.orderBy("h_pool", "row_key").limit(cfg.pool_size)
+        bound = min(every, 2 * bound)
 
 
 def draw_factors(cfg: DetectConfig) -> list[tuple[int, int]]:
@@ -149,16 +161,18 @@ def fit(
     featured: DataFrame,
     cfg: DetectConfig = DetectConfig(),
     features: Sequence[str] = SCALED_FEATURES,
+    total: int | None = None,
 ) -> pd.DataFrame:
     """Grow the forest and return its node table (bounded: at most
-    num_trees x (2^(max_depth+1) - 1) rows) as a local frame."""
-    total = featured.count()
+    num_trees x (2^(max_depth+1) - 1) rows) as a local frame.  ``total``: the
+    number of rows, if known (else counted)."""
+    total = featured.count() if total is None else total
     n_pool = total if cfg.pool_size is None else min(total, cfg.pool_size)
     if n_pool < cfg.min_pool_rows:
         raise ValueError(
             f"training pool has {n_pool} rows; at least {cfg.min_pool_rows} are needed"
         )
-    rows = featured if n_pool == total else cut(training_pool(featured, cfg, features), "pool")
+    rows = featured if n_pool == total else cut(training_pool(featured, cfg, features, total), "pool")
     nodes = fit_forest(tree_samples(rows, cfg, features, n_pool), cfg, features)
     return nodes.toPandas()
 
@@ -220,16 +234,20 @@ def threshold_rank(n: int, contamination: float) -> int:
 
 
 def contamination_threshold(
-    scored: DataFrame, cfg: DetectConfig = DetectConfig()
+    scored: DataFrame, cfg: DetectConfig = DetectConfig(), total: int | None = None
 ) -> tuple[float, int | None]:
     """(score threshold, path-unit threshold or None in approx mode).
 
     ``scored`` should be a cut: the scores are read, not recomputed.
+    ``total``: its number of rows, if known.
     """
+    if cfg.threshold_mode == "sketch":
+        units = sketch_threshold(score_sketches(scored), cfg)
+        return score_of_units(units, cfg), units
     if cfg.threshold_mode == "approx":
         q = scored.stat.approxQuantile("iforest_score", [1.0 - cfg.contamination], cfg.quantile_rel_error)
         return float(q[0]), None
-    n = scored.count()
+    n = scored.count() if total is None else total
     if n == 0:
         raise ValueError("no scored rows")
     r = threshold_rank(n, cfg.contamination)
@@ -239,8 +257,34 @@ def contamination_threshold(
     # max_depth in a leaf of at most max_samples rows.
     bound = cfg.num_trees * int(math.ceil((cfg.max_depth + c_factor_py(cfg.max_samples)) * PATH_UNIT + 1))
     units = value_at_rank(scored, "iforest_path_units", n - r + 1, bound.bit_length())
-    score = 2.0 ** (-(units / PATH_UNIT / cfg.num_trees) / c_factor_py(cfg.max_samples))
-    return score, units
+    return score_of_units(units, cfg), units
+
+
+def score_of_units(units: int, cfg: DetectConfig) -> float:
+    return 2.0 ** (-(units / PATH_UNIT / cfg.num_trees) / c_factor_py(cfg.max_samples))
+
+
+def score_sketches(scored: DataFrame, by: Sequence[str] = ("month",)) -> DataFrame:
+    """Per month (or other key): a KLL sketch of the path units and its number
+    of rows.  Sketches are kept as a small table; a new month adds one row and
+    old scores are not read again."""
+    keys = [c for c in by if c in scored.columns]
+    units = F.col("iforest_path_units")
+    return scored.groupBy(*keys).agg(
+        F.kll_sketch_agg_bigint(units, F.lit(SKETCH_K)).alias("sketch"), F.count(units).alias("rows")
+    )
+
+
+def sketch_threshold(sketches: DataFrame, cfg: DetectConfig = DetectConfig()) -> int:
+    """Path units at the contamination rank, from the merged sketches.  The
+    rank is off by at most ``SKETCH_RANK_ERROR`` of the rows (with 99 %
+    confidence, KLL's bound for ``SKETCH_K``)."""
+    n = sketches.agg(F.sum("rows")).first()[0]
+    if not n:
+        raise ValueError("no scored rows")
+    share = F.lit((n - threshold_rank(n, cfg.contamination) + 1) / n)
+    merged = sketches.agg(F.kll_merge_agg_bigint("sketch", F.lit(SKETCH_K)).alias("s"))
+    return int(merged.select(F.kll_sketch_get_quantile_bigint("s", share)).first()[0])
 
 
 def flag_ge(scored: DataFrame, threshold: tuple[float, int | None]) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ctxanomaly.functions.expressions import finite_nonneg
 
+#: Column that holds the text of a line that is no record of its file.
+MALFORMED = "_malformed"
+
 
 def cast_records(df: DataFrame) -> DataFrame:
     """Type the raw columns; unparsable text becomes null (ANSI-safe ``try_cast``).
@@ -31,10 +34,12 @@ def valid_records(df: DataFrame) -> DataFrame:
     """Keep rows with a date, an hour in 0..23 and a finite passenger count >= 0.
 
     ``number_of_passage`` may be null or negative here.  NaN and infinity are
-    rejected (a NaN would otherwise poison the statistics of its context).
+    rejected (a NaN would otherwise poison the statistics of its context), as
+    are lines marked as malformed.
     """
     hour = F.col("transition_hour")
-    return df.filter(
+    whole = df.filter(F.col(MALFORMED).isNull()).drop(MALFORMED) if MALFORMED in df.columns else df
+    return whole.filter(
         F.col("transition_date").isNotNull()
         & hour.isNotNull()
         & hour.between(0, 23)

@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ctxanomaly.config import METHOD_LABELS, OVERLAP_LABELS, SENSITIVITY_THRESHOLDS, SUMMARY_PROPERTIES
 from ctxanomaly.functions.expressions import finite_nonneg, flag_of, rate
-from ctxanomaly.operators.records import at_least, line_slice
+from ctxanomaly.operators.records import MALFORMED, at_least, line_slice
 
 Z = "zscore_anomaly"
 IF = "iforest_anomaly"
@@ -349,29 +349,52 @@ def formatted_monthly(by_month: DataFrame) -> DataFrame:
     )
 
 
-def record_drop_reasons(cast_raw: DataFrame) -> DataFrame:
-    """First failing validity rule of every typed raw record, counted."""
+RECORD_REASONS = (
+    "malformed_line",
+    "null_or_bad_date",
+    "null_or_bad_hour",
+    "hour_out_of_range",
+    "null_or_bad_passengers",
+    "negative_or_non_finite_passengers",
+    "kept",
+)
+
+
+def record_reason(columns: Sequence[str]) -> Column:
+    """First failing validity rule of a typed raw record, or 'kept'.  A line
+    that is no record of its file (see ``read_records``) fails first."""
     hour = F.col("transition_hour")
     p = F.col("number_of_passenger")
-    reason = (
-        F.when(F.col("transition_date").isNull(), F.lit("null_or_bad_date"))
+    malformed = F.col(MALFORMED).isNotNull() if MALFORMED in columns else F.lit(False)
+    return (
+        F.when(malformed, F.lit("malformed_line"))
+        .when(F.col("transition_date").isNull(), F.lit("null_or_bad_date"))
         .when(hour.isNull(), F.lit("null_or_bad_hour"))
         .when(~hour.between(0, 23), F.lit("hour_out_of_range"))
         .when(p.isNull(), F.lit("null_or_bad_passengers"))
         .when(~finite_nonneg(p), F.lit("negative_or_non_finite_passengers"))
         .otherwise(F.lit("kept"))
     )
+
+
+def record_drop_reasons(cast_raw: DataFrame) -> DataFrame:
+    """First failing validity rule of every typed raw record, counted."""
+    reason = record_reason(cast_raw.columns)
     return cast_raw.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def cell_drop_reasons(cells_with_context: DataFrame, min_obs: int = 5) -> DataFrame:
-    """First failing forest-input rule of every hourly cell, counted.
+CELL_REASONS = ("null_total", "negative_or_non_finite_total", "null_context_key", "bad_calendar", "small_context", "kept")
 
-    Expects the second-filter context size as ``context_obs_count`` (null
-    when the cell fails the second filter or its key never matches); number
-    columns that are text should be coerced before (``numeric_text``).
+
+def cell_reason(min_obs: int = 5, size: Column | None = None) -> Column:
+    """First failing forest-input rule of an hourly cell, or 'kept'.
+
+    ``size``: the second-filter context size (default: ``context_obs_count``;
+    null when the cell fails the second filter or its key never matches).
+    Number columns that are text should be coerced before (``numeric_text``).
     """
-    reason = (
+    size = F.col("context_obs_count") if size is None else size
+    return (
         F.when(
             F.col("total_passengers").isNull()
             | F.col("total_passages").isNull()
@@ -393,11 +416,26 @@ def cell_drop_reasons(cells_with_context: DataFrame, min_obs: int = 5) -> DataFr
             F.lit("bad_calendar"),
         )
         .when(
-            F.coalesce(F.col("context_obs_count"), F.lit(0)) < F.lit(min_obs),
+            F.coalesce(size, F.lit(0)) < F.lit(min_obs),
             F.lit("small_context"),
         )
         .otherwise(F.lit("kept"))
     )
-    return cells_with_context.groupBy(reason.alias("reason")).agg(
+
+
+def cell_drop_reasons(cells_with_context: DataFrame, min_obs: int = 5) -> DataFrame:
+    """First failing forest-input rule of every hourly cell, counted."""
+    return cells_with_context.groupBy(cell_reason(min_obs).alias("reason")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
+
+
+def counted(reason: Column, names: Sequence[str]) -> dict[str, Column]:
+    """One count per reason, to be observed while a stage is written."""
+    return {name: F.count_if(reason == F.lit(name)) for name in names}
+
+
+def observed_reasons(spark: SparkSession, stage: str, counts: dict[str, int]) -> DataFrame:
+    """Observed counts as a drop-reason table (reasons that occur)."""
+    rows = [(stage, reason, n) for reason, n in counts.items() if n]
+    return spark.createDataFrame(rows, "stage string, reason string, row_count bigint")

@@ -19,15 +19,29 @@ def zscore(
     x: str = MEASURE,
     threshold: float = 3.0,
     is_cut: bool = False,
+    shuffled: bool = False,
 ) -> DataFrame:
     """Add group_mean, group_std (sample), z_score and is_anomaly.
 
     Statistics use every row of ``df``.  One-row contexts have a null std,
     constant contexts a zero std: both give a null z, never anomalous.
-    ``df`` is read three times; unless it is a cut (``is_cut``) it is cut first.
+    ``df`` is read twice; unless it is a cut (``is_cut``) it is cut first.
+    ``shuffled`` as in :func:`attach_context`.
     """
     df = df if is_cut else cut(df, "cells")
-    out = attach_context(df, context_moments(df, context, x), context, "left")
+    return against(df, context_moments(df, context, x), context, x, threshold, shuffled)
+
+
+def against(
+    df: DataFrame,
+    moments: DataFrame,
+    context: Sequence[str] = CONTEXT_KEYS,
+    x: str = MEASURE,
+    threshold: float = 3.0,
+    shuffled: bool = False,
+) -> DataFrame:
+    """:func:`zscore` against given context moments (those of a cut)."""
+    out = attach_context(df, moments, context, "left", is_cut=True, shuffled=shuffled)
     out = out.withColumn(
         "z_score", F.try_divide(F.col(x) - F.col("group_mean"), F.col("group_std"))
     )

@@ -9,13 +9,22 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ctxanomaly.config import FEATURES, DetectConfig
-from ctxanomaly.operators.features import context_features, fit_scaler, forest_input, standardize
+from ctxanomaly.operators import reports as R
+from ctxanomaly.operators.features import (
+    context_features,
+    fit_scaler,
+    forest_input,
+    labelled_cells,
+    second_filter,
+    standardize,
+)
 from ctxanomaly.operators.forest import (
     contamination_threshold,
     fit,
@@ -25,9 +34,10 @@ from ctxanomaly.operators.forest import (
     with_row_key,
 )
 from ctxanomaly.operators.hourly import hourly_aggregate, with_temporal
-from ctxanomaly.operators.records import cast_records, select_present, valid_records, with_datetime
+from ctxanomaly.operators.records import MALFORMED, cast_records, select_present, valid_records, with_datetime
 from ctxanomaly.operators.zscore import zscore
-from ctxanomaly.session import cut, remove_folder, run_folder
+from ctxanomaly.session import cut, cut_bucketed, cut_observed, remove_folder, run_folder
+from ctxanomaly.sources.records import profile_metrics
 
 # Fixed output names of the scored table.
 OUTPUT_COLUMNS = (
@@ -60,6 +70,10 @@ class Detection:
     scored: DataFrame
     threshold: tuple[float, int | None]
     run_dir: str | None = None
+    #: Rows by drop reason of the stages ``records`` and ``cells``, and the
+    #: raw records' row count and non-null counts, where they were asked for.
+    drops: dict[str, dict[str, int]] = field(default_factory=dict)
+    profile: dict[str, int] = field(default_factory=dict)
 
     def cleanup(self) -> bool:
         """Delete this run's stage cuts.  The DataFrames above read those
@@ -79,9 +93,26 @@ def hourly_cells(raw: DataFrame) -> DataFrame:
     return with_temporal(hourly_aggregate(clean_records(raw)))
 
 
-def featured_cells(zscored: DataFrame, cfg: DetectConfig = DetectConfig(), is_cut: bool = False) -> DataFrame:
-    """Second filter, context features, row key and pool hash (unscaled)."""
-    feats = context_features(forest_input(zscored), cfg.context, cfg.measure, cfg.min_context_obs, is_cut)
+def featured_cells(
+    zscored: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    is_cut: bool = False,
+    seen: Observation | None = None,
+    shuffled: bool = False,
+) -> DataFrame:
+    """Second filter, context features, row key and pool hash (unscaled).
+    ``seen`` receives the cells by the second filter's rules ('kept': they
+    pass it) while the result is written."""
+    if not is_cut:
+        zscored = cut(zscored, "cells")
+    fact = None
+    if seen is not None:
+        cells = labelled_cells(zscored)
+        reasons = R.counted(R.cell_reason(cfg.min_context_obs, F.lit(cfg.min_context_obs)), R.CELL_REASONS)
+        fact = second_filter(cells.observe(seen, *[c.alias(k) for k, c in reasons.items()]))
+    feats = context_features(
+        forest_input(zscored), cfg.context, cfg.measure, cfg.min_context_obs, True, fact, shuffled
+    )
     return with_pool_hash(with_row_key(feats, cfg.hourly_keys), cfg)
 
 
@@ -106,23 +137,68 @@ def detect(
     timings: dict[str, float] | None = None,
     score_counter=None,
     store: Store = cut,
+    count_drops: bool = False,
 ) -> Detection:
     """Run both methods over raw records and return every stage.
 
     ``timings``, when given, receives wall seconds per stage;
     ``score_counter`` (an accumulator) the number of rows the scorer saw;
     ``store(df, name)`` writes the stages ``hourly``, ``zscore`` and
-    ``scored`` and reads them back.
+    ``scored`` and reads them back (see also :func:`bucketed_store`);
+    ``count_drops`` has the drop reasons and the records' profile observed by
+    the jobs that write the stages.
     """
     clock = _Clock(timings)
     with run_folder(raw.sparkSession) as folder:
-        hourly = store(hourly_cells(raw), "hourly")
+        drops, columns = {}, {}
+        if count_drops:
+            hourly, drops["records"], columns = hourly_observed(raw, store)
+        else:
+            hourly = store(hourly_cells(raw), "hourly")
         clock.lap("hourly")
-        d = detect_cells(hourly, cfg, clock, score_counter, store, is_cut=True)
+        d = detect_cells(hourly, cfg, clock, score_counter, store, is_cut=True, count_drops=count_drops)
     d.run_dir = folder
+    d.drops, d.profile = drops | d.drops, columns
     return d
 
 
+def hourly_observed(raw: DataFrame, store: Store) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """The hourly stage, the raw records by drop reason, and their profile,
+    from one scan of the raw records.
+
+    The records are counted before a shuffle, where Spark adds up a task that
+    it runs again after an executor is lost.  The kept records are therefore
+    compared with those in the cells, which the last stage counts exactly; a
+    difference has the reasons counted by a scan."""
+    typed, before, after = cast_records(raw), Observation(), Observation()
+    metrics = R.counted(R.record_reason(typed.columns), R.RECORD_REASONS) | profile_metrics(typed, raw_columns(typed))
+    seen = typed.observe(before, *[c.alias(k) for k, c in metrics.items()])
+    cells = with_temporal(hourly_aggregate(with_datetime(valid_records(seen))))
+    hourly = store(cells.observe(after, F.sum("record_count").alias("records")), "hourly")
+    counts = before.get
+    if counts["kept"] != (after.get["records"] or 0):
+        counts = typed.agg(*[c.alias(k) for k, c in metrics.items()]).first().asDict()
+    reasons = {k: counts.pop(k) for k in R.RECORD_REASONS}
+    return hourly, reasons, counts
+
+
+def raw_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != MALFORMED]
+
+
+def bucketed_store(cfg: DetectConfig, buckets: int) -> Store:
+    """A store that keeps the stages ``hourly`` and ``zscore`` in buckets of
+    the context key: one shuffle when a stage is written, and none when its
+    context statistics are added up and joined back, however large they are.
+    """
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return cut_bucketed(df, name, cfg.context, buckets) if name in ("hourly", "zscore") else cut(df, name)
+
+    store.shuffled = True
+    return store
+
+
 def detect_cells(
     hourly: DataFrame,
     cfg: DetectConfig = DetectConfig(),
@@ -130,13 +206,15 @@ def detect_cells(
     score_counter=None,
     store: Store = cut,
     is_cut: bool = False,
+    count_drops: bool = False,
 ) -> Detection:
     """Both methods starting from hourly cells (e.g. a stage written earlier)."""
     clock = clock or _Clock(None)
+    shuffled = getattr(store, "shuffled", False)
     with run_folder(hourly.sparkSession) as folder:
-        zscored = store(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold, is_cut), "zscore")
+        zscored = store(zscore(hourly, cfg.context, cfg.measure, cfg.z_threshold, is_cut, shuffled), "zscore")
         clock.lap("zscore")
-        d = detect_forest(zscored, cfg, clock, score_counter, store, is_cut=True)
+        d = detect_forest(zscored, cfg, clock, score_counter, store, is_cut=True, count_drops=count_drops)
     d.hourly = hourly
     d.run_dir = folder
     return d
@@ -149,6 +227,7 @@ def detect_forest(
     score_counter=None,
     store: Store = cut,
     is_cut: bool = False,
+    count_drops: bool = False,
 ) -> Detection:
     """The forest and the flags, starting from z-scored cells.
 
@@ -156,16 +235,16 @@ def detect_forest(
     columns are derived from ``datetime`` (see ``forest_input``).
     """
     clock = clock or _Clock(None)
+    shuffled = getattr(store, "shuffled", False)
     with run_folder(zscored.sparkSession) as folder:
+        if not is_cut:
+            zscored = cut(zscored, "cells")
         # Unscaled features are written once; scaling is a cheap projection
         # applied where the scaled values are read (pool and scoring).
-        feats = cut(
-            select_present(featured_cells(zscored, cfg, is_cut), [*OUTPUT_COLUMNS, "row_key", "h_pool"]),
-            "featured",
-        )
+        feats, total, drops = featured_stage(zscored, cfg, count_drops, shuffled)
         featured = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
         clock.lap("features")
-        nodes = fit(featured, cfg)
+        nodes = fit(featured, cfg, total=total)
         clock.lap("fit")
         scored = select_present(
             score_forest(featured, nodes, cfg, counter=score_counter),
@@ -173,9 +252,32 @@ def detect_forest(
         )
         scored = cut(scored, "scored")
         clock.lap("score")
-        threshold = contamination_threshold(scored, cfg)
+        threshold = contamination_threshold(scored, cfg, total)
         flagged = flag_ge(scored, threshold)
         if store is not cut:
             flagged = store(flagged, "scored")
         clock.lap("threshold")
-    return Detection(cfg, None, zscored, featured, nodes, flagged, threshold, folder)
+    return Detection(cfg, None, zscored, featured, nodes, flagged, threshold, folder, {"cells": drops} if drops else {})
+
+
+def featured_stage(
+    zscored: DataFrame, cfg: DetectConfig = DetectConfig(), count_drops: bool = False, shuffled: bool = False
+) -> tuple[DataFrame, int, dict[str, int]]:
+    """The featured cells of a cut of z-scored ones, written once, their
+    number, and (``count_drops``) the cells by drop reason."""
+    seen = Observation() if count_drops else None
+    rows = select_present(featured_cells(zscored, cfg, True, seen, shuffled), [*OUTPUT_COLUMNS, "row_key", "h_pool"])
+    feats, counts = cut_observed(rows, "featured", total=F.count(F.lit(1)))
+    return feats, counts["total"], _cell_drops(zscored, seen.get, counts["total"], cfg) if seen else {}
+
+
+def _cell_drops(zscored: DataFrame, counts: dict[str, int], kept: int, cfg: DetectConfig) -> dict[str, int]:
+    """Cells by drop reason: those that pass the second filter and are not
+    among the featured rows are of small contexts.  Where a shuffle join put
+    the observed stage before the last one, the cells counted are compared
+    with the table's rows (its files know them), and counted again if they
+    differ."""
+    if sum(counts.values()) != zscored.count():
+        reason = R.cell_reason(cfg.min_context_obs, F.lit(cfg.min_context_obs))
+        counts = labelled_cells(zscored).agg(*[c.alias(k) for k, c in R.counted(reason, R.CELL_REASONS).items()]).first().asDict()
+    return counts | {"kept": kept, "small_context": counts["kept"] - kept}

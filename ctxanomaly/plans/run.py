@@ -21,6 +21,7 @@ from __future__ import annotations
 import argparse
 import json
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +61,11 @@ def reports(d: Detection) -> dict[str, DataFrame]:
 
 
 def drop_reasons(raw: DataFrame | None, d: Detection) -> DataFrame:
-    """Why records and cells did not reach the forest, counted by stage."""
+    """Why records and cells did not reach the forest, counted by stage: as
+    observed while the stages were written, else by a scan."""
+    if d.drops:
+        spark = d.scored.sparkSession
+        return reduce(DataFrame.unionByName, [R.observed_reasons(spark, stage, n) for stage, n in d.drops.items()])
     cells = numeric_text(ensure_temporal(d.zscored))
     profile = context_profile(ratio_features(forest_input(d.zscored)), d.cfg.context, d.cfg.measure)
     sized = attach_context(cells, profile.select(*d.cfg.context, "context_obs_count"), d.cfg.context)
@@ -117,12 +122,12 @@ def run(
             raw = None
             if from_stage == "raw":
                 csv = input_format == "csv"
-                raw = read_records(spark, input_path) if csv else spark.read.format(input_format).load(input_path)
-                d = detect(raw, cfg, timings=timings, store=store)
+                raw = read_records(spark, input_path, malformed=True) if csv else spark.read.format(input_format).load(input_path)
+                d = detect(raw, cfg, timings=timings, store=store, count_drops=True)
             elif from_stage == "hourly":
-                d = detect_cells(read_stage(spark, input_path, fmt=input_format), cfg, _Clock(timings), store=store)
+                d = detect_cells(read_stage(spark, input_path, fmt=input_format), cfg, _Clock(timings), store=store, count_drops=True)
             elif from_stage == "zscore":
-                d = detect_forest(read_results(spark, input_path, input_format), cfg, _Clock(timings), store=store)
+                d = detect_forest(read_results(spark, input_path, input_format), cfg, _Clock(timings), store=store, count_drops=True)
             else:
                 raise ValueError(f"unknown stage {from_stage!r}")
             clock = _Clock(timings)
@@ -146,7 +151,7 @@ def main(argv: list[str] | None = None) -> None:
         help="what the input holds: raw records, hourly cells or z-score results",
     )
     ap.add_argument("--stage-format", default="parquet", choices=["parquet", "csv"], help="format of the stage tables")
-    ap.add_argument("--threshold-mode", default="exact", choices=["exact", "approx"])
+    ap.add_argument("--threshold-mode", default="exact", choices=["exact", "approx", "sketch"])
     ap.add_argument("--z-threshold", type=float, default=3.0)
     ap.add_argument("--contamination", type=float, default=0.011448)
     ap.add_argument("--pool-size", type=int, default=None, help="rows the trees are drawn from (default: all)")

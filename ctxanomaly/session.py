@@ -8,8 +8,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -77,6 +78,26 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def cut_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:func:`cut`, and aggregates of ``df`` collected by the tasks that write
+    it (no scan of their own).  They are exact where ``df``'s last stage
+    computes them: a task that is run again replaces its figures."""
+    seen = Observation()
+    out = cut(df.observe(seen, *[c.alias(k) for k, c in metrics.items()]), name)
+    return out, seen.get
+
+
+def cut_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """:func:`cut` in ``buckets`` buckets of the keys, sorted by them: one
+    shuffle now, and none for later aggregates and joins on these keys."""
+    spark = df.sparkSession
+    base = _RUN_DIR.get() or f"{checkpoint_root(spark)}/ctxanomaly/{uuid.uuid4().hex}"
+    table = f"ctxanomaly_{name}_{uuid.uuid4().hex[:12]}"
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", f"{base}/{table}").saveAsTable(table, format="parquet")
+    return spark.table(table)
+
+
 def broadcast_limit_bytes(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` as Spark parses it (any unit)."""
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())

@@ -9,18 +9,25 @@ import csv
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ctxanomaly.operators.records import MALFORMED
 from ctxanomaly.schema import RAW_TEXT
 
 
-def _csv_text(spark: SparkSession, paths: str | list[str], header: list[str], same: bool) -> DataFrame:
+def _csv_text(spark: SparkSession, paths: str | list[str], header: list[str], same: bool, malformed: bool = False) -> DataFrame:
     """CSV files as text columns named by ``header``.  ``same``: every file
-    must have it (Spark stops at the first that has not, naming the file)."""
+    must have it (Spark stops at the first that has not, naming the file).
+    ``malformed``: one more column holds the lines that do not have the
+    header's number of fields; they are only found where every field is parsed."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if malformed:
+        schema = schema.add(MALFORMED, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED).option("columnPruning", False)
+    reader = reader.schema(schema)
     return reader.option("enforceSchema", not same).csv(paths)
 
 
@@ -44,29 +51,37 @@ def _names(header: str) -> list[str]:
     return [c.strip() for c in next(csv.reader([header]))]
 
 
-def read_records(spark: SparkSession, path: str, schema=RAW_TEXT, by_file: bool = False) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, schema=RAW_TEXT, by_file: bool = False, malformed: bool = False
+) -> DataFrame:
     """Multi-file CSV scan: the columns of ``schema`` by header name, as text.
 
     Other columns are ignored; a missing one is an error.  The files must
     agree in their header (checked by Spark while it reads); ``by_file=True``
     reads each group of files by its own header instead, for one more pass
     over the text.
+
+    ``malformed=True`` adds the column ``_malformed``: the text of a line with
+    too few or too many fields, as an unclosed quote leaves it (in the last
+    field it loses nothing: the value ends with the line), else null.  Such
+    lines are dropped by ``valid_records`` and are a drop reason of their own.
     """
     wanted = [f.name for f in schema.fields]
+    more = [MALFORMED] if malformed else []
 
     def select(df: DataFrame, where: str) -> DataFrame:
         if missing := [c for c in wanted if c not in df.columns]:
             raise ValueError(f"column {', '.join(missing)} missing in {where} (it has: {', '.join(df.columns)})")
-        return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+        return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields], *more)
 
     if by_file:
         groups = _headers(spark, path)
         if not groups:
             raise FileNotFoundError(f"no records in {path}")
-        parts = [select(_csv_text(spark, files, _names(h), same=False), files[0]) for h, files in sorted(groups.items())]
+        parts = [select(_csv_text(spark, files, _names(h), False, malformed), files[0]) for h, files in sorted(groups.items())]
         return reduce(DataFrame.unionAll, parts)
     header = spark.read.option("header", True).csv(path).columns
-    return select(_csv_text(spark, path, header, same=True), path)
+    return select(_csv_text(spark, path, header, True, malformed), path)
 
 
 def read_stage(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
@@ -131,10 +146,12 @@ def coerce_datetime(df: DataFrame, col: str = "datetime") -> DataFrame:
     return df.withColumn(col, F.col(col).try_cast("timestamp_ntz"))
 
 
+def profile_metrics(df: DataFrame, cols: list[str] | None = None) -> dict[str, Column]:
+    """Row count and non-null count per column, as named aggregates: for
+    :func:`profile`, or to be observed by a job that reads the rows anyway."""
+    return {"row_count": F.count(F.lit(1)), **{f"non_null_{c}": F.count(F.col(c)) for c in cols or df.columns}}
+
+
 def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Row count and non-null count per column, in one aggregate."""
-    cols = cols or df.columns
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count(F.col(c)).alias(f"non_null_{c}") for c in cols],
-    )
+    return df.agg(*[c.alias(name) for name, c in profile_metrics(df, cols).items()])

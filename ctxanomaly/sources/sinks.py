@@ -19,11 +19,16 @@ def write_stage(
 
     With ``partition_by`` the rows are rebalanced on those columns first
     (Spark splits large groups and merges small ones), so a folder gets a few
-    full files instead of one from every task.
+    full files instead of one from every task.  ``mode="replace"`` replaces
+    the partitions that the rows fall into and leaves all others alone.
     """
+    if mode == "replace" and not partition_by:
+        raise ValueError("only a partitioned table can have partitions replaced")
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode(mode).format(fmt)
+    writer = df.write.mode("overwrite" if mode == "replace" else mode).format(fmt)
+    if mode == "replace":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True)
     if partition_by:
