@@ -24,7 +24,7 @@ import math
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HALF = 31
@@ -78,29 +78,6 @@ class ScaledSums:
     def std(self, s: Column, s2: Column, n: Column | None = None) -> Column:
         return F.sqrt(self.variance(s, s2, n))
 
-    def from_exact(self, total: Column, squares: Column | None, scale: int) -> tuple[Column, Column | None]:
-        """The sums of q and q^2 from exact totals of x and x^2 in units of
-        1/``scale``: whole part and remainder of the division by the span (or
-        its square) apart, so nothing is lost where values are close to lo.
-        Null where an intermediate exceeds 38 digits."""
-        wide = lambda c: c.cast("decimal(38,0)")
-        whole = lambda c: wide(F.rint(c * F.lit(float(scale))).try_cast("bigint"))
-        n, lo, hi, unit = wide(self.n), whole(self.lo), whole(self.hi), self.unit.cast("bigint")
-        span = F.try_subtract(hi, lo)
-
-        def share(above: Column, of: Column) -> Column:
-            parts = (above - above % of).cast("double") / of.cast("double"), (above % of).cast("double") / of.cast("double")
-            return F.when(of == 0, F.lit(0).cast("bigint")).otherwise(
-                F.rint(parts[0]).try_cast("bigint") * unit + F.rint(parts[1] * self.unit).try_cast("bigint")
-            )
-
-        above = F.try_subtract(total, F.try_multiply(n, lo))
-        if squares is None:
-            return share(above, span), None
-        # sum (x - lo)^2 = sum x^2 - lo (sum x + sum (x - lo))
-        above2 = F.try_subtract(squares, F.try_multiply(lo, F.try_add(total, above)))
-        return share(above, span), share(above2, F.try_multiply(span, span))
-
 
 @dataclass(frozen=True)
 class FixedSums:
@@ -166,3 +143,32 @@ class FixedSums:
         if n == 1:
             return mean, None
         return mean, math.sqrt(Fraction(n * s2 - s * s, n * (n - 1) * self.scale**2))
+
+    def scaled(self, df: DataFrame) -> DataFrame:
+        """Adds ``_s_<name>`` and ``_s2_<name>``, the sums of :class:`ScaledSums`
+        with the extremes ``_lo_``, ``_hi_`` and the unit ``_unit_`` of the same
+        rows: whole part and remainder of the division by the span (or its
+        square) apart, so nothing is lost where values are close to lo.  Null
+        where an intermediate exceeds 38 digits.
+
+        In steps, so that no expression is written out twice."""
+        c = lambda p: F.col(f"__{p}")
+        wide = lambda x: x.cast("decimal(38,0)")
+        whole = lambda p: wide(F.rint(self.at(p) * F.lit(float(self.scale))).try_cast("bigint"))
+        names = df.columns
+        df = df.withColumns({"__t": self.total(), "__t2": self.total_of_squares(), "__lo": whole("lo"), "__hi": whole("hi")})
+        above = F.try_subtract(c("t"), F.try_multiply(wide(self.at("n")), c("lo")))
+        df = df.withColumns({"__a": above, "__span": F.try_subtract(c("hi"), c("lo"))})
+        # sum (x - lo)^2 = sum x^2 - lo (sum x + sum (x - lo))
+        above2 = F.try_subtract(c("t2"), F.try_multiply(c("lo"), F.try_add(c("t"), c("a"))))
+        df = df.withColumns({"__a2": above2, "__span2": F.try_multiply(c("span"), c("span"))})
+        df = df.withColumns({"__r": F.try_mod(c("a"), c("span")), "__r2": F.try_mod(c("a2"), c("span2"))})
+        unit = self.at("unit")
+
+        def share(a: Column, r: Column, span: Column) -> Column:
+            parts = (a - r).cast("double") / span.cast("double"), r.cast("double") / span.cast("double")
+            sums = F.rint(parts[0]).try_cast("bigint") * unit.cast("bigint") + F.rint(parts[1] * unit).try_cast("bigint")
+            return F.when(span == 0, F.lit(0).cast("bigint")).otherwise(sums)
+
+        out = {f"_s_{self.name}": share(c("a"), c("r"), c("span")), f"_s2_{self.name}": share(c("a2"), c("r2"), c("span2"))}
+        return df.withColumns(out).select(*names, *out)

@@ -65,14 +65,13 @@ def state_sums(state: DataFrame, context: Sequence[str], x: str, others: Sequenc
     """The sums that the statistics are read from, and ``_poor``: whether the
     state cannot give them exactly (an ``x`` that the scale cannot express,
     another column out of its range, or totals beyond 38 digits)."""
-    fixed = FixedSums(x)
-    sums = state.withColumn(f"_unit_{x}", unit_for(F.col(f"_n_{x}")))
-    s, s2 = _sums(x).from_exact(fixed.total(), fixed.total_of_squares(), fixed.scale)
+    sums = FixedSums(x).scaled(state.withColumn(f"_unit_{x}", unit_for(F.col(f"_n_{x}"))))
+    s, s2 = F.col(f"_s_{x}"), F.col(f"_s2_{x}")
     out_of_range = [F.col(f"_misfit_{x}") > 0, *[F.col(f"_far_{c}") > 0 for c in others]]
     poor = reduce(Column.__or__, out_of_range) | ((F.col(f"_n_{x}") > 0) & (s.isNull() | s2.isNull()))
     kept = [*context, "_rows", *[f"_{p}_{x}" for p in ("n", "lo", "hi", "unit")]]
     means = [mean_of_parts(c).alias(f"_mean_{c}") for c in others]
-    return sums.select(*kept, s.alias(f"_s_{x}"), s2.alias(f"_s2_{x}"), *means, poor.alias("_poor"))
+    return sums.select(*kept, s, s2, *means, poor.alias("_poor"))
 
 
 def context_sums(df: DataFrame, context: Sequence[str], x: str, others: Sequence[str] = ()) -> DataFrame:
