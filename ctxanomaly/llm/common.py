@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ctxanomaly.session import cut, ship_package
 
-__all__ = ["cut", "table", "prepare", "text_key", "body", "same_row", "arrow_rows", "partitions_for"]
+__all__ = ["cut", "table", "prepare", "own_name", "text_key", "body", "same_row", "arrow_rows", "partitions_for"]
 
 #: Rows and bytes in one Arrow batch handed to Python.  Texts may be long, so
 #: batches are kept small; a user's smaller setting wins.
@@ -32,6 +32,15 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def own_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it
+    (in any case): columns of the caller are never taken for ours."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_key(text: str = "text") -> Column:
     """64-bit digest of a text.  ``(doc_id, text_key)`` names a row: rows that
     repeat both are alike in everything the operators read."""

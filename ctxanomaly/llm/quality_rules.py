@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctxanomaly.llm.common import body, cut, prepare, same_row
+from ctxanomaly.llm.common import body, cut, own_name, prepare, same_row
 
 METRICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 WINDOW_WORDS = 5
@@ -173,6 +173,7 @@ def keep_good(docs: DataFrame, host: str = "source", rules: HostRules = HostRule
     judged = cut(measured(docs, host, [], rules).select("_host", "_any"), "quality")
     hosts = cut(host_verdicts(judged, rules).filter("host_kept").select("_host"), "good_hosts")
     prepare(docs.sparkSession)
-    rows = docs.withColumn("_m", metrics(body()))
-    good = rows.filter(~base_failed("_m", rules)).select(*[F.col(f"`{c}`") for c in columns])
+    m = own_name(docs, "_m")
+    rows = docs.withColumn(m, metrics(body()))
+    good = rows.filter(~base_failed(m, rules)).select(*[F.col(f"`{c}`") for c in columns])
     return good.join(hosts, good[host].eqNullSafe(hosts["_host"]), "left_semi")
