@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctxanomaly.llm.common import body, cut, partitions_for, prepare, text_key
+from ctxanomaly.llm.common import body, cut, own_name, partitions_for, prepare, text_key
 from ctxanomaly.llm.components import connected_components
 
 SEED = 42
@@ -171,8 +171,9 @@ def ball_links(members: DataFrame, half: int) -> DataFrame:
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Edges (a, b), a < b, whose classes are the classes of all links."""
-    if not 0 <= max_bits <= 4:
-        raise ValueError("two tables of radius one find links of at most 4 bits")
+    if max_bits not in (0, 2, 4):
+        # two tables of radius one find links of at most 4 bits; half of them must be whole for the large entries
+        raise ValueError("max_bits is 0, 2 or 4")
     prepare(distinct.sparkSession)
     # a fingerprint becomes 66 rows: spread them over tasks before they do
     tasks = partitions_for(distinct.sparkSession, distinct.count(), 50_000)
@@ -184,8 +185,6 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCK
     marked = found.filter("a = b").select(F.col("a").alias("fp"))
     if marked.isEmpty():
         return edges
-    if max_bits % 2:
-        raise ValueError("entries over bucket_rows need an even max_bits")
     return edges.unionByName(ball_links(marked, max_bits // 2)).distinct()
 
 
@@ -217,8 +216,9 @@ def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BIT
         classes.groupBy("root").agg(F.min(first).alias("f")).select(F.col("f.d").alias("_d"), F.col("f.k").alias("_k")),
         "chosen",
     ).hint("merge")  # texts are shuffled once at any size; the plan does not turn on the number of classes
-    rows = docs.withColumn("_tk", text_key())
-    kept = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["_d"]) & (rows["_tk"] == chosen["_k"]), "left_semi")
+    tk = own_name(docs, "_tk")
+    rows = docs.withColumn(tk, text_key())
+    kept = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["_d"]) & (rows[tk] == chosen["_k"]), "left_semi")
     if not classes.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_tk"])  # rows that repeat; else texts need no second shuffle
+        kept = kept.dropDuplicates(["doc_id", tk])  # rows that repeat; else texts need no second shuffle
     return kept.select(*columns)
