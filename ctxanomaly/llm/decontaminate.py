@@ -9,9 +9,11 @@ item's coverage is the share of its words under tiles, wherever these stand
 in the document, so passages in another order count in full.  A document is
 contaminated when an item's coverage reaches ``min_coverage``.
 
-The benchmark is a stated query set: it is dealt into blocks of about
-``block_bytes`` by hash, and each block is broadcast and run against all
-documents, so no task holds more than a block and its own batch.
+The benchmark is a stated query set.  Its items come to the driver in blocks
+of at most ``block_bytes`` of text (or one item), one at a time; a block is
+broadcast, run against all documents, its matches are written, and it is
+released before the next one is read.  So neither the driver nor a task holds
+more than a block, however large the benchmark is or often an item repeats.
 
 Defined results: null texts are empty; items of fewer than ``min_match``
 words share no seed and match nothing; repeated items and documents are
@@ -29,10 +31,10 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from ctxanomaly.llm.common import arrow_rows, cut, prepare, text_key
+from ctxanomaly.llm.common import arrow_rows, cut, own_name, prepare, text_key
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.8
@@ -211,14 +213,11 @@ def matches(
     prepare(spark)
     rows = docs.select("doc_id", text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
     id_type = items.schema["item_id"].dataType
     doc_type = rows.schema["doc_id"].dataType
     schema = f"doc_id {doc_type.simpleString()}, text_key long, item_id {id_type.simpleString()}, item_words long, tiled_words long"
 
-    def against(block: int) -> DataFrame:
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+    def against(part: list[Row]) -> DataFrame:
         index = spark.sparkContext.broadcast(SeedIndex([tuple(r) for r in part], min_match))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,15 +234,33 @@ def matches(
                         typed, names=["doc_id", "text_key", "item_id", "item_words", "tiled_words"]
                     )
 
-        return rows.mapInArrow(run, schema)
+        found = cut(rows.mapInArrow(run, schema), "item_matches")
+        index.unpersist()
+        return found
+
+    none = spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, map(against, blocks(items, block_bytes)), none)
+
 
-    return reduce(DataFrame.unionByName, [against(b) for b in range(blocks)])
+def blocks(items: DataFrame, block_bytes: int) -> Iterator[list[Row]]:
+    """Items in blocks of at most ``block_bytes`` of text each (or one item),
+    streamed to the driver."""
+    block, size = [], 0
+    for item in items.toLocalIterator(prefetchPartitions=False):
+        more = len((item["text"] or "").encode())
+        if block and size + more > block_bytes:
+            yield block
+            block, size = [], 0
+        block.append(item)
+        size += more
+    if block:
+        yield block
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
     """One row per document: ``doc_id, n_items, item_ids`` (covered items,
     ascending, comma-joined), ``coverage`` (the best) and ``kept``."""
-    found = cut(matches(docs, benchmark, **limits), "leaks")
+    found = matches(docs, benchmark, **limits)
     rows = docs.select("doc_id", text_key().alias("text_key"))
     per_doc = found.groupBy("doc_id", "text_key").agg(
         F.array_join(F.transform(F.array_sort(F.collect_set("item_id")), lambda x: x.cast("string")), ",").alias("ids"),
@@ -268,6 +285,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
         matches(docs, benchmark, **limits).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct(),
         "leaking_docs",
     )
-    rows = docs.withColumn("_tk", text_key())
-    same = rows["doc_id"].eqNullSafe(leaks["_d"]) & (rows["_tk"] == leaks["_k"])
+    tk = own_name(docs, "_tk")
+    rows = docs.withColumn(tk, text_key())
+    same = rows["doc_id"].eqNullSafe(leaks["_d"]) & (rows[tk] == leaks["_k"])
     return rows.join(leaks, same, "left_anti").select(*columns)
