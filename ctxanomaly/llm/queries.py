@@ -165,23 +165,28 @@ with d as (
 ), held as (
   select x.*, d.doc_id, d.source from (from base union all from tokens) x join d using (rid)
 ), owners as (
-  select value, count(*) as n from (select distinct value, source from held) group by value
+  select value, count(*) as n_owners from (select distinct value, source from held) group by value
+), repositories as (
+  select value, count(*) as n_repositories from (select distinct value, doc_id from held) group by value
 ), marked as (
-  select held.*, n from held join owners on held.value = owners.value
+  select held.*, n_owners, n_repositories, n_owners > 1 and n_repositories >= 10 as copied
+  from held join owners using (value) join repositories using (value)
 ), per as (
   select rid,
     count(*) filter (rank = 0) as n_assign, count(*) filter (rank = 1) as n_access, count(*) filter (rank = 2) as n_hex,
     string_agg(kind || ':' || cast(start as bigint) || ':' || cast(stop as bigint), ',' order by start, rank)
       filter (rank < 3) as base_spans,
     string_agg(kind || ':' || cast(start as bigint) || ':' || cast(stop as bigint), ',' order by start, rank)
-      filter (rank < 3 or n <= 1) as spans,
-    count(*) filter (rank = 3 and n <= 1) as n_added,
-    count(*) filter (n > 1) as n_copied, count(*) filter (n <= 1) as n_owned
+      filter (rank < 3 or not copied) as spans,
+    count(*) filter (rank = 3 and not copied) as n_added,
+    count(*) filter (copied) as n_copied, count(*) filter (not copied) as n_owned,
+    max(n_owners) as most_owners, max(n_repositories) as most_repositories
   from marked group by rid
 )
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
   sha256(coalesce(base_spans, '')) as base_sha256, coalesce(spans, '') as spans,
-  coalesce(n_added, 0) as n_added, coalesce(n_copied, 0) as n_copied, coalesce(n_owned, 0) as n_owned
+  coalesce(n_added, 0) as n_added, coalesce(n_copied, 0) as n_copied, coalesce(n_owned, 0) as n_owned,
+  coalesce(most_owners, 0) as most_owners, coalesce(most_repositories, 0) as most_repositories
 from d left join per using (rid)
 """
 )

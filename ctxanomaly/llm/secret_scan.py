@@ -19,10 +19,13 @@ an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctxanomaly.llm.common import cut, text_key
+from ctxanomaly.llm.common import cut, own_name, text_key
 
 # The patterns of the base kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -33,10 +36,11 @@ MIN_ASSIGN = 6
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "token")
 MAX_OWNERS = 1
-#: Where spans are redacted, a value of several owners is an example only from
-#: so many repositories on: a copy or two of a live token do not publish it.
+#: A value of several owners is an example only from so many repositories on:
+#: a copy or two of a live token do not publish it.
 WIDELY_COPIED = 10
 MIN_DISTINCT = 10
+BLOCK = 64
 
 _EMPTY = "array<struct<start:long,rank:int,end:long,value:string>>"
 _HOLDERS = "array<struct<value:string,n_owners:long,n_repositories:long>>"
@@ -48,19 +52,62 @@ def _spans(text: Column, pattern: str, rank: int) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     pairs = F.arrays_zip(F.transform(found, lambda m: m).alias("m"), F.slice(between, 1, F.size(found)).alias("gap"))
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_EMPTY).alias("out"))
+    return F.when(text.rlike(pattern), _placed(pairs, rank)).otherwise(F.array().cast(_EMPTY))
+
+
+def _placed(pairs: Column, rank: int) -> Column:
+    """(start, rank, end, value) of (match, text before it) pairs.  Starts are
+    running sums; an array that grows by one is copied each time, so they are
+    made in blocks of BLOCK pairs, and the blocks' own starts after that: work
+    grows with the matches, not with their square."""
+    zero = F.lit(0).cast("long")
+    length = lambda p: (F.length(p["gap"]) + F.length(p["m"])).cast("long")
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["m"])
-        one = F.struct(
-            start.cast("long").alias("start"), F.lit(rank).alias("rank"), end.cast("long").alias("end"),
-            pair["m"].alias("value"),
-        )
-        return F.struct(end.cast("long").alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        end = (start + F.length(pair["m"])).cast("long")
+        one = F.struct(start.cast("long").alias("start"), F.lit(rank).alias("rank"), end.alias("end"), pair["m"].alias("value"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    def place(pairs: Column) -> Column:
+        first = F.sequence(F.lit(1), F.greatest(F.size(pairs), F.lit(1)), F.lit(BLOCK))
+        return _once(F.transform(first, lambda i: F.slice(pairs, i, F.lit(BLOCK))), join)
+
+    def join(blocks: Column) -> Column:
+        sizes = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda at, p: at + length(p)))
+        starts = F.aggregate(sizes, F.array(zero), lambda at, n: F.concat(at, F.array(F.element_at(at, -1) + n)))
+        begin = lambda at: F.struct(at.alias("at"), F.array().cast(_EMPTY).alias("out"))
+        placed = lambda b, at: F.aggregate(b, begin(at), step, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), placed))
+
+    return _once(pairs, place)
+
 
-    spans = F.aggregate(pairs, begin, step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_EMPTY))
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's argument."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _apart(kinds: list[Column], tokens: Column) -> Column:
+    """The tokens that overlap no span of the kinds (spans of one kind are in
+    order and apart).  Each kind is written as a line of 0 and 1 per character,
+    of which a token's stretch is cut out, so work grows with the text."""
+
+    def line(spans: Column) -> Column:
+        def stretch(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(spans, i - 1)["end"], F.lit(0))
+            run = lambda c, n: F.repeat(F.lit(c), n.cast("int"))
+            return F.concat(run("0", s["start"] - before), run("1", s["end"] - s["start"]))
+
+        return F.array_join(F.transform(spans, stretch), "").cast("binary")
+
+    def free(lines: Column) -> Column:
+        cut_out = lambda m, t: F.substring(m, (t["start"] + 1).cast("int"), (t["end"] - t["start"]).cast("int"))
+        hit = lambda t: F.exists(lines, lambda m: F.instr(cut_out(m, t).cast("string"), "1") > 0)
+        return F.filter(tokens, lambda t: ~hit(t))
+
+    some = reduce(Column.__or__, [F.size(k) > 0 for k in kinds])
+    return F.when(some & (F.size(tokens) > 0), _once(F.array(*map(line, kinds)), free)).otherwise(tokens)
 
 
 def _assignments(text: Column) -> Column:
@@ -95,16 +142,13 @@ def scanned(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     hashed = lambda spans: F.transform(spans, lambda s: s.withField("value", F.sha2(s["value"], 256)))
     found = rows.select(
         "doc_id", "owner", "repository", "text_key",
-        F.array_sort(F.concat(_assignments(text), _spans(text, ACCESS, 1), _spans(text, HEX, 2))).alias("base"),
+        _assignments(text).alias("k0"), _spans(text, ACCESS, 1).alias("k1"), _spans(text, HEX, 2).alias("k2"),
         F.filter(_spans(text, TOKEN, 3), lambda s: _looks_live(s["value"])).alias("tokens"),
     )
-    apart = F.filter(
-        "tokens",
-        lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-    )
+    kinds = [F.col(f"k{i}") for i in range(3)]
     return found.select(
         F.monotonically_increasing_id().alias("row_id"), "doc_id", "owner", "repository", "text_key",
-        hashed(F.col("base")).alias("base"), hashed(apart).alias("tokens"),
+        hashed(F.array_sort(F.concat(*kinds))).alias("base"), hashed(_apart(kinds, F.col("tokens"))).alias("tokens"),
     )
 
 
@@ -130,7 +174,7 @@ def secrets(
     owner: str = "source",
     repository: str = "doc_id",
     max_owners: int = MAX_OWNERS,
-    min_repositories: int = 1,
+    min_repositories: int = WIDELY_COPIED,
 ) -> DataFrame:
     """One row per document: ``doc_id, text_key, base, added`` (arrays of
     spans in order, with value hashes), ``n_copied`` and ``n_owned`` (values
@@ -168,6 +212,7 @@ def secrets(
 def report(found: DataFrame) -> DataFrame:
     """The scan as one flat row per document."""
     count = lambda rank: F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+    most = lambda c: F.coalesce(F.array_max(F.transform("holders", lambda h: h[c])), F.lit(0).cast("long"))
     return found.select(
         "doc_id",
         count(0).alias("n_assign"),
@@ -178,6 +223,8 @@ def report(found: DataFrame) -> DataFrame:
         F.size("added").cast("long").alias("n_added"),
         "n_copied",
         "n_owned",
+        most("n_owners").alias("most_owners"),
+        most("n_repositories").alias("most_repositories"),
     )
 
 
@@ -186,17 +233,18 @@ def redact(
     mark: str = "[SECRET]",
     owner: str = "source",
     repository: str = "doc_id",
-    min_repositories: int = 1,
+    min_repositories: int = WIDELY_COPIED,
 ) -> DataFrame:
     """``docs`` with every span of the scan replaced by ``mark`` (overlapping
     spans once) and ``n_chars``, if there, counted anew.  No row is dropped."""
     columns = docs.columns
+    d, k, own, tk, cleaned = (own_name(docs, n) for n in ("_d", "_k", "_s", "_tk", "_clean"))
     spans = secrets(docs, owner, repository, min_repositories=min_repositories).select(
-        F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), F.array_sort(F.concat("base", "added")).alias("_s")
+        F.col("doc_id").alias(d), F.col("text_key").alias(k), F.array_sort(F.concat("base", "added")).alias(own)
     )
-    spans = cut(spans.filter(F.size("_s") > 0).dropDuplicates(["_d", "_k"]), "spans_to_redact")
+    spans = cut(spans.filter(F.size(own) > 0).dropDuplicates([d, k]), "spans_to_redact")
     spans = spans.hint("merge")  # texts are shuffled once at any size
-    rows = docs.withColumn("_tk", text_key())
+    rows = docs.withColumn(tk, text_key())
     text = F.col("text")
     begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
@@ -208,13 +256,13 @@ def redact(
     def finish(acc: Column) -> Column:
         return F.concat(acc["out"], text.substr((acc["at"] + 1).cast("int"), F.length(text)))
 
-    joined = rows.join(spans, rows["doc_id"].eqNullSafe(spans["_d"]) & (rows["_tk"] == spans["_k"]), "left")
-    clean = F.when(F.col("_s").isNull(), text).otherwise(F.aggregate("_s", begin, step, finish))
-    out = joined.withColumn("_clean", clean)
+    joined = rows.join(spans, rows["doc_id"].eqNullSafe(spans[d]) & (rows[tk] == spans[k]), "left")
+    clean = F.when(F.col(own).isNull(), text).otherwise(F.aggregate(own, begin, step, finish))
+    out = joined.withColumn(cleaned, clean)
     kinds = dict(docs.dtypes)
-    new = {"text": F.col("_clean")}
+    new = {"text": F.col(cleaned)}
     if "n_chars" in columns:
-        new["n_chars"] = F.when(F.col("_s").isNull(), F.col("n_chars")).otherwise(
-            F.length("_clean").cast(kinds["n_chars"])
+        new["n_chars"] = F.when(F.col(own).isNull(), F.col("n_chars")).otherwise(
+            F.length(cleaned).cast(kinds["n_chars"])
         )
     return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns])

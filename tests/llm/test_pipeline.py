@@ -69,3 +69,19 @@ def test_stages_keep_the_columns_of_documents(spark, make_docs, corpus, tmp_path
             out = stage(spark, docs, str(tmp_path))
             assert out.dtypes == docs.dtypes
         assert P.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= len(rows)
+
+
+def test_clashing_names_keep_their_values(spark, corpus, tmp_path):
+    """Columns named like the operators' own pass every stage unchanged."""
+    names = ["_m", "_tk", "_s", "_d", "_k", "_clean", "_host", "_base", "_any", "_text", "f", "fp", "row", "_M_"]
+    rows = [r for r in corpus if r[0] is not None and r[0] < 60] + [(300, "token = 0123456789abcdef0123456789abcdef and " + corpus[3][1], "src2")]
+    docs = spark.createDataFrame([(d, t, "en", s, len(t or "")) for d, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", *[f"concat('{n}:', doc_id) as `{n}`" for n in names])
+    bench = spark.createDataFrame([(1, corpus[11][1])], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.dtypes == docs.dtypes, name
+        kept = out.collect()
+        assert kept and all(r[n] == f"{n}:{r['doc_id']}" for r in kept for n in names), name
+    assert P.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= len(rows)

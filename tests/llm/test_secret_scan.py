@@ -1,14 +1,19 @@
 import hashlib
 import re
+import time
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ctxanomaly.llm.queries import SQL
-from ctxanomaly.llm.secret_scan import redact, report, secrets
+from ctxanomaly.llm.secret_scan import redact, report, scanned, secrets
 from llm.oracle import by_spark, by_sql
 
 HEXES = "0123456789abcdef" * 3
 LIVE = "Zx9Qp2Lm8Rt4Vb6Nc1Ws"
 COPIED = "Aa1Bb2Cc3Dd4Ee5Ff6Gg7"
+PAIR = LIVE[::-1]  # held by two sources, one document each
+HOT = LIVE[7:] + LIVE[:7]  # held by many documents of one source
 ROWS = [
     (1, "password = hunter22 and Api_Key: 'abc.def-123'", "a"),
     (2, f"é ß TOKEN=\"{HEXES}\" x", "a"),
@@ -23,6 +28,10 @@ ROWS = [
     (10, "pa\u017f\u017fword=abcdefghi to\u212aen=abcdefghi", "a"),
     (11, " ".join(f"passwd='{i:06d}' " for i in range(3000)), "e"),
     (7, f"{LIVE} twice {LIVE}", "c"),
+    *[(50 + i, f"example {COPIED}", "d" if i % 2 else "f") for i in range(10)],
+    (70, f"pair {PAIR}", "a"),
+    (71, f"pair {PAIR}", "b"),
+    *[(80 + i, f"n{i} {HOT}", "hot") for i in range(12)],
 ]
 
 
@@ -65,6 +74,36 @@ def test_owner_specific_tokens_only(make_docs):
     assert got[5]["spans"] == "token:4:24" and got[5]["n_copied"] == 1
     assert got[6]["spans"] == "" and got[6]["n_owned"] == 0
     assert got[7]["n_added"] == 2
+    assert got[5]["most_owners"] == 3 and got[5]["most_repositories"] == 12
+    assert got[70]["spans"] == got[71]["spans"] == "token:5:25" and got[70]["most_owners"] == 2  # a copy pair is no example
+    assert all(got[80 + i]["n_added"] == 1 and got[80 + i]["most_repositories"] == 12 for i in range(12))
+
+
+def test_many_matches_in_one_text(spark, make_docs):
+    """Positions over block borders, tokens beside and over base spans."""
+    hexes, tokens = [f"{i:030x}" for i in range(1000)], [f"Q{i:05d}abcdefghijklmnop" for i in range(500)]
+    text = "é " + " ".join(f"{h} {t}" if i < 500 else h for i, (h, t) in enumerate(zip(hexes, tokens + [""] * 500, strict=True)))
+    text += f" token={tokens[0]} " + " ".join(hexes[:129])
+    rows = [(1, text, "a"), (2, " ".join(hexes[:64]), "a"), (3, " ".join(hexes[:65]), "b"), (4, hexes[0], "b")]
+    got = {r["doc_id"]: r for r in report(secrets(make_docs(rows))).collect()}
+    for d, t, _ in rows:
+        base = brute_base(t)
+        assert got[d]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+    assert got[1]["n_hex"] == 1129 and got[1]["n_added"] == 500  # the token under the assignment is not added
+    spans = got[1]["spans"].split(",")
+    assert spans == sorted(spans, key=lambda x: int(x.split(":")[1])) and len(spans) == 1129 + 1 + 500
+
+
+def test_time_grows_with_the_matches(spark, make_docs):
+    def seconds(n):
+        docs = make_docs([(1, " ".join(f"{i:032x}" for i in range(n)), "a")])
+        scanned(docs, "source", "doc_id").collect()
+        start = time.perf_counter()
+        scanned(docs, "source", "doc_id").select(F.size("base")).collect()
+        return time.perf_counter() - start
+
+    small, large = seconds(8_000), seconds(64_000)
+    assert large < 20 * small  # eight times the matches; a square would be 64 times
 
 
 def test_redaction(make_docs, corpus):
