@@ -13,7 +13,7 @@ from ctxanomaly.llm.common import cut, table
 from ctxanomaly.llm.decontaminate import drop_leaks
 from ctxanomaly.llm.packing import pack, pieces
 from ctxanomaly.llm.quality_rules import keep_good
-from ctxanomaly.llm.secret_scan import WIDELY_COPIED, redact
+from ctxanomaly.llm.secret_scan import redact
 from ctxanomaly.llm.simhash_neardup import keep_one
 
 
@@ -34,7 +34,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret span; all documents stay."""
-    return redact(docs, min_repositories=WIDELY_COPIED)
+    return redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
