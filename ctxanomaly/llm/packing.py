@@ -11,7 +11,12 @@ piece's source are passed over in one step and a hot source costs no more
 than any other.
 
 Pieces are dealt by hash into shards of about ``shard_rows`` pieces, each
-packed by one task; the shards' number follows the input.
+packed by one task; the shards' number follows the input.  Best fit holds
+within a shard, so bins that a shard leaves loose (more than ``loose`` of the
+capacity free) are dealt anew, across shards and whole, and packed once more
+by the same search: a loose bin goes into the tightest one that has room for
+it and shares none of its sources and clusters.  Both passes run at every
+size.
 
 Defined results: a null or empty text is a piece of zero words; a null source
 is a source of its own; a row that repeats is in its twin's cluster, hence in
@@ -20,6 +25,8 @@ another bin; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,6 +36,7 @@ from ctxanomaly.llm.common import body, cut, partitions_for, prepare, text_key
 
 CAPACITY = 2048
 SHARD_ROWS = 20_000
+LOOSE = 1 / 16
 
 
 def count_words(texts: Column) -> Column:
@@ -84,22 +92,23 @@ class OpenBins:
         self._refresh(residual)
 
     def _next(self, start: int, source: int) -> int:
-        """Smallest residual from ``start`` with a bin that lacks ``source``, or -1."""
-        fits = lambda x: x is not None and not x & source
-        node = start + self.size
+        """Smallest residual from ``start`` that may have a bin without the
+        sources, or -1."""
         if start >= len(self.slots):
             return -1
-        while not fits(self.tree[node]):
+        node = start + self.size
+        while True:
+            held = self.tree[node]
+            if held is not None and not held & source:
+                if node >= self.size:
+                    return node - self.size
+                node *= 2  # of several sources each child may hold another one: then its neighbour is next
+                continue
             while node & 1:  # a right child: go up
                 node >>= 1
                 if not node:
                     return -1
             node += 1
-        while node < self.size:
-            node *= 2
-            if not fits(self.tree[node]):
-                node += 1
-        return node - self.size
 
     def take(self, need: int, source: int, cluster: int) -> tuple[int, int, int, int] | None:
         """Remove and return the tightest compatible bin."""
@@ -116,32 +125,54 @@ class OpenBins:
 
 def _bits(values: pd.Series) -> list[int]:
     """A bit for each value that occurs twice or more (others cannot conflict)."""
-    codes, uniques = pd.factorize(values, use_na_sentinel=False)
-    counts = np.bincount(codes, minlength=len(uniques))
-    rank = np.cumsum(counts > 1) - 1
-    return [1 << int(rank[c]) if counts[c] > 1 else 0 for c in codes]
+    return _set_bits([[v] for v in pd.factorize(values, use_na_sentinel=False)[0].tolist()])
 
 
-def pack_shard(shard: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """Best-fit decreasing over one shard; adds ``bin_id`` and ``bin_start``."""
-    rows = shard.sort_values(
-        ["n_words", "doc_id", "text_key", "piece"], ascending=[False, True, True, True], kind="stable"
-    ).reset_index(drop=True)
+def _set_bits(sets: list[list]) -> list[int]:
+    """The bits of sets of values: one for each value that occurs twice or more."""
+    counts = Counter(v for values in sets for v in values)
+    bit = {v: 1 << i for i, v in enumerate(v for v, n in counts.items() if n > 1)}
+    return [sum(bit.get(v, 0) for v in values) for values in sets]
+
+
+def best_fit(needs: list[int], sources: list[int], clusters: list[int], capacity: int) -> tuple[list[int], list[int]]:
+    """Bin and place in it of each need, taken in the given order."""
     bins, opened = OpenBins(capacity), 0
     ids, starts = [], []
-    for need, source, cluster in zip(rows["n_words"].tolist(), _bits(rows["source"]), _bits(rows["cluster"]), strict=True):
+    for need, source, cluster in zip(needs, sources, clusters, strict=True):
         found = bins.take(need, source, cluster)
         if found is None:
             found, opened = (opened, capacity, 0, 0), opened + 1
-        bin_id, residual, sources, clusters = found
+        bin_id, residual, held, groups = found
         ids.append(bin_id)
         starts.append(capacity - residual)
-        bins.put(bin_id, residual - need, sources | source, clusters | cluster)
+        bins.put(bin_id, residual - need, held | source, groups | cluster)
+    return ids, starts
+
+
+def pack_shard(shard: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """Best-fit decreasing over one shard; adds ``bin_id`` and ``bin_start``."""
+    rows = shard.sort_values(
+        ["n_words", "doc_id", "text_key", "piece"], ascending=[False, True, True, True], kind="stable"
+    ).reset_index(drop=True)
+    ids, starts = best_fit(rows["n_words"].tolist(), _bits(rows["source"]), _bits(rows["cluster"]), capacity)
     shard_id = int(rows["shard"].iloc[0]) if len(rows) else 0
     return rows.assign(bin_id=np.array(ids, dtype=np.int64) + (shard_id << 32), bin_start=np.array(starts, dtype=np.int64))
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def merge_shard(shard: pd.DataFrame, capacity: int) -> pd.DataFrame:
+    """Best-fit decreasing over loose bins (``bin_id, fill, sources,
+    clusters``): ``old_id, new_id, offset``."""
+    rows = shard.sort_values(["fill", "bin_id"], ascending=[False, True], kind="stable")
+    sources = _set_bits([[s["source"] for s in held] for held in rows["sources"]])
+    clusters = _set_bits([list(held) for held in rows["clusters"]])
+    places, offsets = best_fit(rows["fill"].tolist(), sources, clusters, capacity)
+    old, first = rows["bin_id"].tolist(), {}
+    new = [first.setdefault(p, i) for p, i in zip(places, old, strict=True)]  # a merged bin keeps its first one's id
+    return pd.DataFrame({"old_id": old, "new_id": new, "offset": offsets}, dtype="int64")
+
+
+def pack(rows: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, loose: float = LOOSE) -> DataFrame:
     """``doc_id, piece, start_word, n_words, source, bin_id, bin_start`` for
     the rows of :func:`pieces`."""
     spark = rows.sparkSession
@@ -150,10 +181,30 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
     n = max(1, -(-rows.count() // shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_key", "piece"), F.lit(n)))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    fields = ["doc_id", "piece", "start_word", "n_words", "source", "bin_id", "bin_start"]
-    schema = f"doc_id {kind}, piece long, start_word long, n_words long, source string, bin_id long, bin_start long"
+    fields = ["doc_id", "piece", "start_word", "n_words", "source", "cluster", "bin_id", "bin_start"]
+    schema = f"doc_id {kind}, piece long, start_word long, n_words long, source string, cluster long, bin_id long, bin_start long"
 
     def run(shard: pd.DataFrame) -> pd.DataFrame:
         return pack_shard(shard, capacity)[fields]
 
-    return dealt.repartition(partitions_for(spark, n, 1), "shard").groupBy("shard").applyInPandas(run, schema)
+    shards = dealt.repartition(partitions_for(spark, n, 1), "shard").groupBy("shard")
+    packed = cut(shards.applyInPandas(run, schema), "packed")
+    bins = packed.groupBy("bin_id").agg(
+        F.sum("n_words").alias("fill"),
+        F.collect_set(F.struct("source")).alias("sources"),  # a struct, as a set leaves plain nulls out
+        F.collect_set("cluster").alias("clusters"),
+    )
+    bins = cut(bins.filter(F.col("fill") < F.lit(capacity * (1 - loose))), "loose_bins")
+    m = max(1, -(-bins.count() // shard_rows))
+
+    def merge(shard: pd.DataFrame) -> pd.DataFrame:
+        return merge_shard(shard, capacity)
+
+    again = bins.withColumn("shard", F.pmod(F.xxhash64("bin_id"), F.lit(m))).repartition(partitions_for(spark, m, 1), "shard")
+    moved = cut(again.groupBy("shard").applyInPandas(merge, "old_id long, new_id long, offset long"), "moved_bins")
+    out = packed.join(moved, packed["bin_id"] == moved["old_id"], "left")
+    return out.select(
+        "doc_id", "piece", "start_word", "n_words", "source",
+        F.coalesce("new_id", "bin_id").alias("bin_id"),
+        (F.col("bin_start") + F.coalesce("offset", F.lit(0))).alias("bin_start"),
+    )

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pandas as pd
 import pytest
 
-from ctxanomaly.llm.packing import OpenBins, pack, pack_shard, pieces
+from ctxanomaly.llm.packing import OpenBins, merge_shard, pack, pack_shard, pieces
 
 
 def check(rows, capacity):
@@ -85,3 +85,42 @@ def test_open_bins_pass_over_conflicts():
 
 def test_empty_table(make_docs):
     assert pack(pieces(make_docs([]))).count() == 0
+
+
+def test_loose_bins_of_shards_are_merged(make_docs):
+    """Fill of shards with the second pass against one packing of all."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(["w%d" % (i % 7)] + ["x"] * rng.randrange(1, 60)), f"s{rng.randrange(200)}") for i in range(1500)]
+    cut = pieces(make_docs(rows), 100)
+    total = sum(r["n_words"] for r in cut.collect())
+    fill = {}
+    for shard_rows in (20_000, 300, 60):
+        bins = check(pack(cut, 100, shard_rows).collect(), 100)
+        fill[shard_rows] = total / (100 * len(bins))
+    one_pass = check(pack(cut, 100, 60, loose=1.0).collect(), 100)
+    assert fill[20_000] > 0.97
+    assert fill[300] > fill[20_000] - 0.01 and fill[60] > fill[20_000] - 0.02
+    assert fill[60] > total / (100 * len(one_pass)) + 0.01
+
+
+def test_merged_bins_share_no_source_or_cluster():
+    rng = random.Random(9)
+    rows = [(100 + i, rng.randrange(0, 40), [{"source": s} for s in rng.sample(["hot", "a", "b", "c", None], 2)], rng.sample(range(60), 3))
+            for i in range(80)]
+    frame = pd.DataFrame(rows, columns=["bin_id", "fill", "sources", "clusters"])
+    moved = merge_shard(frame, 50)
+    held = defaultdict(list)
+    by_id = {r[0]: r for r in rows}
+    for old, new, offset in moved.itertuples(index=False):
+        held[new].append((offset, by_id[old]))
+    assert sorted(moved["old_id"]) == sorted(by_id) and len(held) < 60
+    for parts in held.values():
+        at = 0
+        for offset, (_, fill, _, _) in sorted(parts, key=lambda p: (p[0], p[1][1])):
+            assert offset == at
+            at += fill
+        assert at <= 50
+        for k in (2, 3):
+            values = [repr(v) for _, r in parts for v in r[k]]
+            assert len(values) == len(set(values))
+    assert merge_shard(frame.iloc[:0], 50).empty
