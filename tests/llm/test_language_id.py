@@ -1,9 +1,10 @@
+import math
 import zlib
 
 import numpy as np
 
 from conftest import SF001
-from ctxanomaly.llm.language_id import codewords, identify, learn
+from ctxanomaly.llm.language_id import MIN_GAP, CodeModel, codewords, has_letter, identify, learn, ngram_counts
 
 
 def test_held_out_accuracy(spark):
@@ -52,3 +53,67 @@ def test_codewords_are_distinct():
         code = codewords(k)
         assert code.shape[0] == k and len({tuple(x) for x in code}) == k
         assert all(np.abs(c.sum()) < k for c in code.T)
+
+
+def brute_counts(texts, buckets):
+    """Hashed byte bigrams and trigrams, one at a time."""
+    out = [0] * buckets
+    shift = 32 - (buckets.bit_length() - 1)
+    for text in texts:
+        a = (" " + text.lower() + " ").encode()
+        grams = [a[i] << 8 | a[i + 1] for i in range(len(a) - 1)]
+        grams += [a[i] << 16 | a[i + 1] << 8 | a[i + 2] | 1 << 24 for i in range(len(a) - 2)]
+        for g in grams:
+            out[(g * 2654435761 % (1 << 32)) >> shift] += 1
+    return out
+
+
+def brute_decode(model_texts, text, buckets):
+    """Bits, margins and loss-weighted decoding in plain arithmetic."""
+    langs = sorted(model_texts)
+    code = codewords(len(langs)).tolist()
+    share = []
+    for lang in langs:
+        n = brute_counts(model_texts[lang], buckets)
+        total = sum(n)
+        share.append([(c + 0.5) / (total + 0.5 * buckets) for c in n])
+
+    def margins(t):
+        n = brute_counts([t], buckets)
+        out = []
+        for bit in range(len(code[0])):
+            yes = [s for s, w in zip(share, code, strict=True) if w[bit] > 0]
+            no = [s for s, w in zip(share, code, strict=True) if w[bit] < 0]
+            odds = [math.log(sum(s[b] for s in yes) / len(yes)) - math.log(sum(s[b] for s in no) / len(no)) for b in range(buckets)]
+            out.append(8.0 * sum(c * o for c, o in zip(n, odds, strict=True)) / sum(n))
+        return out
+
+    seen = [(t, k) for k, lang in enumerate(langs) for t in model_texts[lang]]
+    every = [(margins(t), k) for t, k in seen]
+    skill = [max(sum(m[bit] * code[k][bit] > 0 for m, k in every) / len(every) - 0.5, 0.01) for bit in range(len(code[0]))]
+    weight = [s * len(skill) / sum(skill) for s in skill]
+    m = margins(text)
+    loss = [sum(w * math.log1p(math.exp(-c * x)) for w, c, x in zip(weight, row, m, strict=True)) for row in code]
+    best = min(loss)
+    chance = [math.exp(best - x) for x in loss]
+    chance = sorted((c / sum(chance) for c in chance), reverse=True)
+    return langs[loss.index(best)], chance[0], chance[0] - chance[1] < MIN_GAP
+
+
+def test_counts_margins_and_decoding_equal_brute_force(spark):
+    texts = {
+        "de": ["der hund und die katze", "das haus ist alt", "wir gehen in den wald"],
+        "en": ["the dog and the cat", "the house is old", "we walk into the woods"],
+        "es": ["el perro y el gato", "la casa es vieja", "vamos al bosque ni\u00f1o"],
+        "fr": ["le chien et le chat", "la maison est vieille", "nous allons au bois"],
+    }
+    buckets = 1 << 8
+    assert ngram_counts("The Ni\u00f1o", buckets).tolist() == brute_counts(["The Ni\u00f1o"], buckets)
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in texts.items() for t in ts)]
+    model = learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").select("text", "lang"), buckets)
+    assert isinstance(model, CodeModel) and model.langs == sorted(texts)
+    for probe in ["the cat is old", "die alte katze", "le vieux chat", "gato viejo", "x", "zzz qqq", "la", "chat cat gato katze"]:
+        assert has_letter(probe)
+        lang, score, ambiguous = model.decode(probe)
+        want = brute_decode(texts, probe, buckets)
+        assert (lang, ambiguous) == (want[0], want[2]) and abs(score - want[1]) < 1e-3, probe

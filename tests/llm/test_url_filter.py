@@ -1,8 +1,11 @@
+import math
 import random
+import re
+from collections import Counter
 
 import pytest
 
-from ctxanomaly.llm.url_filter import RULES, judge
+from ctxanomaly.llm.url_filter import FEATURES, RULES, featured, judge
 
 CASES = {
     "https://a.net/": ("a.net", "/", "net/", "block"),
@@ -56,3 +59,48 @@ def test_no_or_one_kind_of_label(spark, urls, verdict):
 def test_empty_table(spark):
     assert judge(frame(spark, ["x"]).limit(0)).count() == 0
     assert len(RULES) == 4
+
+
+def brute_features(pages):
+    """The lexical features and suffix statistics, url by url in Python."""
+    parts = []
+    for _, url in pages:
+        url = url or ""
+        rest = url.split("://", 1)[1] if "://" in url else ""
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host):])[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        labels = host.split(".")
+        parts.append((url, host, path, labels[-1], ".".join(labels[-2:])))
+    out = []
+    for url, host, path, suffix, domain in parts:
+        query = re.search(r"\?([^#]*)", url)
+        query = query[1] if query else ""
+        n = max(len(url), 1)
+        shares = [c / n for c in Counter(url).values()]
+        suffix_hosts = [p[1] for p in parts if p[3] == suffix]
+        out.append({
+            "url_length": len(url), "host_length": len(host), "path_length": len(path), "depth": path.count("/"),
+            "labels": sum(1 for x in host.split(".") if x), "digit_ratio": sum(c in "0123456789" for c in url) / n,
+            "upper_ratio": sum("A" <= c <= "Z" for c in url) / n, "mark_count": sum(c in "-_%@~+" for c in url),
+            "entropy": -sum(s * math.log2(s) for s in shares) if url else 0.0,
+            "parameters": sum(1 for x in query.split("&") if x), "query_length": len(query), "has_fragment": float("#" in url),
+            "longest_word": max(map(len, re.split("[^A-Za-z0-9]+", url))), "suffix_pages": math.log1p(len(suffix_hosts)),
+            "suffix_hosts": math.log1p(len(set(suffix_hosts))), "domain_pages": math.log1p(sum(p[4] == domain for p in parts)),
+        })
+    return out
+
+
+def test_features_equal_brute_force(spark):
+    rng = random.Random(12)
+    urls = [u for u in CASES if u is None or len(u) < 1000] + ["http://a.b.example.com/p/q.html?x=1&&y=%20#z", "https://WWW.a.com", "ftp://h", "??##"]
+    hosts = ["news.example.com", "a.b.co.uk", "x.org", "x.net", "127.0.0.1", "Shop.Example.com"]
+    urls += [f"http{rng.choice(['', 's'])}://{rng.choice(hosts)}/{rng.choice(['', 'en/', 'De/1_2', 'a-b/c~d'])}{rng.choice(['', '?q=1', '?a&b=2#f'])}"
+             for _ in range(150)]
+    pages = list(enumerate(urls))
+    got = {r["page_id"]: r for r in featured(frame(spark, urls), RULES).collect()}
+    assert len(got) == len(pages)
+    for (i, url), want in zip(pages, brute_features(pages), strict=True):
+        assert set(want) == set(FEATURES)
+        for name in FEATURES:
+            assert got[i][name] == pytest.approx(want[name], abs=1e-9), (url, name)
