@@ -45,8 +45,10 @@ from ctxanomaly.operators.features import (  # noqa: E402
     standardize,
 )
 from ctxanomaly.operators.forest import (  # noqa: E402
-    contamination_threshold,
     SKETCH_RANK_ERROR,
+    bernoulli_pool,
+    bernoulli_sample,
+    contamination_threshold,
     fit_forest,
     flag_ge,
     score_of_units,
@@ -481,6 +483,16 @@ def q_training_pool(spark, sf):
     return training_pool(_featured_scaled(spark, sf), PUBLISHED).select("row_key", "h_pool", *SCALED_FEATURES)
 
 
+def q_bernoulli_sample(spark, sf):
+    cfg = replace(CFG, pool_size=2000)
+    return bernoulli_sample(_featured_scaled(spark, sf), cfg).select("row_key", "h_pool", *SCALED_FEATURES)
+
+
+def q_bernoulli_pool(spark, sf):
+    cfg = replace(CFG, pool_size=2000)
+    return bernoulli_pool(_featured_scaled(spark, sf), cfg).select("row_key", "h_pool")
+
+
 def q_tree_samples_published_pool(spark, sf):
     pool = cut(training_pool(_featured_scaled(spark, sf), PUBLISHED), "pool")
     return tree_samples(pool, PUBLISHED).select("tree_id", "row_key", "h_tree")

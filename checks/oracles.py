@@ -755,6 +755,13 @@ select 'cells' as stage, reason, count(*) as row_count from (
     # --- forest (F2) ------------------------------------------------------------
     lp = LINEITEM_PUBLISHED
     q["training_pool"] = final(lp, f"select row_key, h_pool, {', '.join(scaled)} from l_pool", scaled)
+    drawn = (
+        f"(select *, {h(repr(str(CFG.seed)), repr('pool'), 'row_key')} as h_pool from l_scaled) "
+        f"where h_pool < (select case when count(*) <= 2000 then {1 << 60} "
+        f"else greatest(({1 << 60}::hugeint * 2000) // count(*), {1 << 60} // 1000) end from l_scaled)"
+    )
+    q["bernoulli_sample"] = final(lf, f"select row_key, h_pool, {', '.join(scaled)} from {drawn}", scaled)
+    q["bernoulli_pool"] = final(lf, f"select row_key, h_pool from {drawn} order by h_pool, row_key limit 2000")
     q["tree_samples_published_pool"] = final(lp, "select tree_id, row_key, h_tree from l_samples")
     q["tree_samples"] = final(lt, "select tree_id, row_key, h_tree from l_samples")
     q["fit_forest"] = final(lt, "select * from l_nodes", ["split"])

@@ -63,6 +63,9 @@ class DetectConfig:
     min_pool_rows: int = 100
     # "exact": value at rank ceil((1 - contamination) * N);
     # "approx": approxQuantile with ``quantile_rel_error`` (original tolerance).
+    # "smallest" hashes, exactly that many, or "bernoulli": each row by
+    # chance, then at most that many.
+    pool_mode: str = "smallest"
     threshold_mode: str = "exact"
     quantile_rel_error: float = 0.001
 
@@ -75,6 +78,8 @@ class DetectConfig:
             raise ValueError(f"num_trees x 2 max_samples must be at most {MAX_NODES}: the forest is broadcast")
         if self.min_context_obs < 2:
             raise ValueError("min_context_obs must be at least 2 (leave-one-out needs another row)")
+        if self.pool_mode not in ("smallest", "bernoulli"):
+            raise ValueError("pool_mode is 'smallest' or 'bernoulli'")
         if self.threshold_mode not in ("exact", "approx", "sketch"):
             raise ValueError("threshold_mode is 'exact', 'approx' or 'sketch'")
         if not self.context or not self.hourly_keys:

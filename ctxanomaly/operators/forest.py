@@ -88,6 +88,37 @@ def training_pool(
         bound = min(every, 2 * bound)
 
 
+def bernoulli_sample(
+    df: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    features: Sequence[str] = SCALED_FEATURES,
+    total: int | None = None,
+) -> DataFrame:
+    """Every row with the same chance, the pool's share of all rows and a
+    thousandth at least, each by its own hash: how many are drawn is left to
+    chance, which rows is not."""
+    if cfg.pool_size is None:
+        raise ValueError("a sample needs a pool size")
+    keyed = _with_pool_hash(df, cfg, features)
+    total = keyed.count() if total is None else total
+    every = 1 << HASH_BITS
+    bound = every if total <= cfg.pool_size else max(every * cfg.pool_size // total, every // 1000)
+    return keyed.filter(F.col("h_pool") < F.lit(bound))
+
+
+def bernoulli_pool(
+    df: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    features: Sequence[str] = SCALED_FEATURES,
+    total: int | None = None,
+) -> DataFrame:
+    """The published method's pool: a Bernoulli sample, of which at most
+    ``cfg.pool_size`` rows stay (the smallest hashes, where it takes the first
+    that come)."""
+    drawn = cut(bernoulli_sample(df, cfg, features, total), "bernoulli_sample")
+    return drawn.orderBy("h_pool", "row_key").limit(cfg.pool_size)
+
+
 def draw_factors(cfg: DetectConfig) -> list[tuple[int, int]]:
     """(a, b) of each tree: its draw value is (a h + b) mod (2^31 - 1)."""
     return [
@@ -168,11 +199,16 @@ def fit(
     number of rows, if known (else counted)."""
     total = featured.count() if total is None else total
     n_pool = total if cfg.pool_size is None else min(total, cfg.pool_size)
+    rows = featured
+    if cfg.pool_size is not None and cfg.pool_mode == "bernoulli":
+        rows, seen = cut_observed(bernoulli_pool(featured, cfg, features, total), "pool", rows=F.count(F.lit(1)))
+        n_pool = seen["rows"]
     if n_pool < cfg.min_pool_rows:
         raise ValueError(
             f"training pool has {n_pool} rows; at least {cfg.min_pool_rows} are needed"
         )
-    rows = featured if n_pool == total else cut(training_pool(featured, cfg, features, total), "pool")
+    if cfg.pool_mode == "smallest" and n_pool < total:
+        rows = cut(training_pool(featured, cfg, features, total), "pool")
     nodes = fit_forest(tree_samples(rows, cfg, features, n_pool), cfg, features)
     return nodes.toPandas()
 

@@ -254,3 +254,19 @@ def test_sketch_threshold_of_months_and_of_all(spark, detection001):
 def test_all_features_have_moments(spark, detection001):
     got = feature_moments(detection001.featured).first()
     assert all(got[f"{c}_mean"] is not None and got[f"{c}_std"] > 0 for c in FEATURES)
+
+
+def test_bernoulli_pool_is_reproducible_and_bounded(spark, detection001):
+    from dataclasses import replace
+
+    from ctxanomaly.operators.forest import bernoulli_pool, bernoulli_sample, fit
+
+    rows, cfg = detection001.featured, replace(detection001.cfg, pool_size=1000, pool_mode="bernoulli")
+    a, b = (sorted(r[0] for r in bernoulli_sample(rows.repartition(n), cfg).select("row_key").collect()) for n in (1, 13))
+    assert a == b and 850 < len(a) < 1150
+    pool = sorted(r[0] for r in bernoulli_pool(rows, cfg).select("row_key").collect())
+    assert len(pool) == min(1000, len(a)) and set(pool) <= set(a)
+    assert bernoulli_sample(rows, replace(cfg, pool_size=10**6)).count() == rows.count()
+    assert fit(rows, cfg)["tree_id"].nunique() == cfg.num_trees
+    with pytest.raises(ValueError, match="pool size"):
+        bernoulli_sample(rows, detection001.cfg)
