@@ -84,7 +84,7 @@ def context_sums(df: DataFrame, context: Sequence[str], x: str, others: Sequence
     up a second time, by :func:`wide_sums`.
     """
     state = state_sums(context_state(df, context, x, others), context, x, others)
-    out, seen = cut_observed(state, "context_sums", poor=F.count_if("_poor"))
+    out, seen = cut_observed(state, "context_stats", poor=F.count_if("_poor"))
     if not seen["poor"]:
         return out.drop("_poor")
     again = df.select(*context, *[_finite(c).alias(c) for c in (x, *others)])

@@ -169,7 +169,7 @@ def test_bucketed_fact_is_not_shuffled_by_its_context(spark):
     for i, line in enumerate(lines):
         if "Exchange" in line:
             below = "\n".join(lines[i + 1 : i + 6])
-            assert "group_mean" in below or "_lo_" in below or "context_sums" in below, below
+            assert "group_mean" in below or "_lo_" in below or "context_stats" in below, below
     want = sorted(map(tuple, zscore(hourly_cells(raw_lineitem(spark, SF001))).select(*out.columns).collect()), key=repr)
     assert sorted(map(tuple, out.collect()), key=repr) == want
 
