@@ -55,8 +55,15 @@ def run_folder(spark: SparkSession, run_dir: str | None = None):
         _RUN_DIR.reset(token)
 
 
+#: Bucketed tables by the folder of their files.
+_TABLES: dict[str, list[str]] = {}
+
+
 def remove_folder(spark: SparkSession, folder: str) -> bool:
-    """Delete a run folder (recursively) through the Hadoop file system."""
+    """Delete a run folder (recursively) through the Hadoop file system, and
+    forget the bucketed tables in it."""
+    for table in _TABLES.pop(folder, ()):
+        spark.sql(f"drop table if exists {table}")
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -95,6 +102,7 @@ def cut_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) ->
     table = f"ctxanomaly_{name}_{uuid.uuid4().hex[:12]}"
     writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
     writer.option("path", f"{base}/{table}").saveAsTable(table, format="parquet")
+    _TABLES.setdefault(base, []).append(table)
     return spark.table(table)
 
 

@@ -178,6 +178,9 @@ def test_detection_over_buckets_is_the_same(spark, detection001):
     d = detect(raw_lineitem(spark, SF001), store=bucketed_store(detection001.cfg, 4))
     assert d.threshold == detection001.threshold
     assert d.scored.filter("iforest_anomaly = 1").count() == detection001.scored.filter("iforest_anomaly = 1").count()
+    held = [t.name for t in spark.catalog.listTables() if t.name.startswith(("ctxanomaly_hourly_", "ctxanomaly_zscore_"))]
+    assert len(held) == 2 and d.cleanup()
+    assert not [t.name for t in spark.catalog.listTables() if t.name in held]
 
 
 def test_observed_counts_are_those_of_scans(spark, detection001):
