@@ -53,6 +53,7 @@ NOISE = 32
 RATE = 0.3
 #: A task's counts go on when they hold so many tokens.
 FLUSH = 400_000
+TABLE_ROWS = 256
 END, REST = 0, 1
 _END_KEY = b""  # no word is empty
 
@@ -103,13 +104,19 @@ class LogBilinear:
         return cls(draw(len(counts), dim), draw(len(counts), dim), bias, turn)
 
     def tables(self) -> Tables:
-        """Score tables and normalisers of all context pairs."""
+        """Score tables and normalisers of all context pairs, some rows of the
+        product at a time."""
         c, t = self.context.astype(float), self.target.astype(float)
-        one = c @ self.turn[0] @ t.T
-        two = c @ self.turn[1] @ t.T + self.bias
-        tops = one.max(axis=1, keepdims=True), two.max(axis=1, keepdims=True)
-        z = np.log(np.exp(one - tops[0]) @ np.exp(two - tops[1]).T) + tops[0] + tops[1].T
-        return Tables(one.astype(np.float32), two.astype(np.float32), z.astype(np.float32))
+        one = (c @ self.turn[0] @ t.T).astype(np.float32)
+        two = (c @ self.turn[1] @ t.T + self.bias).astype(np.float32)
+        top = two.max(axis=1)
+        second = np.exp(two.astype(float) - top[:, None]).T
+        z = np.empty((len(c), len(c)), np.float32)
+        for at in range(0, len(c), TABLE_ROWS):
+            rows = one[at : at + TABLE_ROWS].astype(float)
+            first = rows.max(axis=1, keepdims=True)
+            z[at : at + TABLE_ROWS] = np.log(np.exp(rows - first) @ second) + first + top
+        return Tables(one, two, z)
 
 
 @dataclass
