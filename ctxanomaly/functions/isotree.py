@@ -21,7 +21,7 @@ from ctxanomaly.functions.expressions import c_factor_py, hash_int_py, hash_unit
 from ctxanomaly.schema import PATH_UNIT
 
 
-BLOCK_ROWS = 1000  # rows descended at a time: their indices stay in the CPU cache
+BLOCK_ROWS = 250  # rows descended at a time: their indices stay in the CPU cache
 
 
 def leaf_units(depth: int, size: int) -> int:
@@ -112,17 +112,17 @@ class ForestArrays:
         leaf = nodes["is_leaf"].to_numpy(dtype=bool)[order]
         inner = ~leaf
         size = len(keys)
-        self.feature = np.zeros(size, dtype=np.int32)
+        self.feature = np.zeros(size, dtype=np.intp)
         self.split = np.full(size, np.nan, dtype=np.float64)
-        self.child = np.arange(size, dtype=np.int32)
+        self.child = np.arange(size, dtype=np.intp)
         self.units = np.zeros(size, dtype=np.int64)
-        self.feature[inner] = nodes["feature"].to_numpy()[order][inner].astype(np.int32)
+        self.feature[inner] = nodes["feature"].to_numpy()[order][inner].astype(np.intp)
         self.split[inner] = nodes["split"].to_numpy()[order][inner].astype(np.float64)
         left_keys = (keys[inner] // width) * width + 2 * (keys[inner] % width)
         self.child[inner] = np.searchsorted(keys, left_keys)
         self.units[leaf] = nodes["path_units"].to_numpy()[order][leaf].astype(np.int64)
         roots = np.searchsorted(keys, np.arange(num_trees, dtype=np.int64) * width + 1)
-        self.roots = roots.astype(np.int32)
+        self.roots = roots.astype(np.intp)
 
     def path_units(self, x: np.ndarray) -> np.ndarray:
         """Sum over trees of leaf path units for each row of ``x`` (n x F)."""
@@ -130,11 +130,19 @@ class ForestArrays:
         return np.concatenate(blocks) if blocks else np.empty(0, np.int64)
 
     def _block_units(self, x: np.ndarray) -> np.ndarray:
-        n, n_features = x.shape
-        xs = np.ascontiguousarray(x, dtype=np.float64).ravel()
-        row_base = (np.arange(n, dtype=np.int32) * n_features)[:, None]
-        idx = np.broadcast_to(self.roots, (n, self.num_trees)).copy()
+        n = len(x)
+        xs = np.ascontiguousarray(x.T, dtype=np.float64).ravel()  # feature by feature
+        column, row = self.feature * n, np.arange(n, dtype=np.intp)
+        at = np.empty((self.num_trees, n), dtype=np.intp)
+        idx = np.repeat(self.roots[:, None], n, axis=1)
+        values, splits = np.empty(at.shape), np.empty(at.shape)
+        go = np.empty(at.shape, dtype=bool)
         for _ in range(self.max_depth):
-            go = xs[row_base + self.feature[idx]] >= self.split[idx]
-            idx = self.child[idx] + go
-        return self.units[idx].sum(axis=1)
+            np.take(column, idx, out=at, mode="clip")
+            at += row
+            np.take(xs, at, out=values, mode="clip")
+            np.take(self.split, idx, out=splits, mode="clip")
+            np.greater_equal(values, splits, out=go)
+            np.take(self.child, idx, out=at, mode="clip")
+            np.add(at, go, out=idx)
+        return np.take(self.units, idx, mode="clip").sum(axis=0)

@@ -127,6 +127,33 @@ def draw_factors(cfg: DetectConfig) -> list[tuple[int, int]]:
     ]
 
 
+def drawn_udf(factors: Sequence[tuple[int, int]], bound: int):
+    """Arrow UDF: whether any tree's draw value of a row hash is under ``bound``."""
+
+    @F.pandas_udf("boolean")
+    def drawn(hashes: pd.Series) -> pd.Series:
+        # an absent hash has no draw value
+        return pd.Series(any_draw_below(hashes.to_numpy(dtype=np.int64, na_value=0), factors, bound) & hashes.notna().to_numpy())
+
+    return drawn
+
+
+def any_draw_below(hashes: np.ndarray, factors: Sequence[tuple[int, int]], bound: int) -> np.ndarray:
+    """Whether (a h + b) mod (2^31 - 1) < ``bound`` for any (a, b), by rows.
+    The remainder is taken by folding: 2^31 is 1 modulo 2^31 - 1."""
+    h, hit = hashes % DRAW_PRIME, np.zeros(len(hashes), dtype=bool)
+    for a, b in factors:
+        v = h * a
+        v += b
+        for _ in range(2):
+            high = v >> 31
+            v &= DRAW_PRIME
+            v += high
+        # at most 2^31 now: remainders 0 and 1 may read 2^31 - 1 and 2^31
+        hit |= (v < bound) | (v >= DRAW_PRIME) & (v < DRAW_PRIME + bound)
+    return hit
+
+
 def tree_samples(
     rows: DataFrame,
     cfg: DetectConfig = DetectConfig(),
@@ -138,7 +165,8 @@ def tree_samples(
 
     A row's draw values come from its hash by one multiplication a tree, and
     only (row, tree) pairs under a bound leave the scan: expected are
-    ``DRAW_MARGIN`` times ``max_samples`` a tree.  Should a tree get too few,
+    ``DRAW_MARGIN`` times ``max_samples`` a tree.  An Arrow UDF on the hash
+    tells which rows have one; only theirs are written out per tree.  Should a tree get too few,
     the bound is raised for all and the scan repeated.  ``rows`` should be
     cheap to read (a cut).
     """
@@ -148,6 +176,7 @@ def tree_samples(
         raise ValueError("no rows to train on")
     wanted = min(cfg.max_samples, total)
     bound = min(DRAW_PRIME, math.ceil(DRAW_PRIME * DRAW_MARGIN * cfg.max_samples / total))
+    ship_package(rows.sparkSession)
     h = F.col("h_pool") % DRAW_PRIME
     draws = F.array(
         *[
@@ -159,8 +188,8 @@ def tree_samples(
         limit = F.lit(bound)
         low = F.filter(draws, lambda d: d["h_tree"] < limit)  # noqa: B023 (used at once)
         drawn = cut(
-            rows.withColumn("_low", low).filter(F.size("_low") > 0)
-            .select("row_key", *features, F.explode("_low").alias("d"))
+            rows.filter(drawn_udf(draw_factors(cfg), bound)("h_pool"))
+            .select("row_key", *features, F.explode(low).alias("d"))
             .select("d.tree_id", "row_key", "d.h_tree", *features),
             "drawn",
         )

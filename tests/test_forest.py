@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from ctxanomaly.config import DetectConfig
 from ctxanomaly.functions.expressions import c_factor, c_factor_py
 from ctxanomaly.functions.isotree import ForestArrays, grow_tree, leaf_units
-from ctxanomaly.operators.forest import fit, threshold_rank
+from ctxanomaly.operators.forest import DRAW_PRIME, any_draw_below, draw_factors, fit, threshold_rank
 from ctxanomaly.operators.quantile import value_at_rank
 from ctxanomaly.schema import PATH_UNIT
 
@@ -228,3 +228,12 @@ def test_config_validation():
     ):
         with pytest.raises(ValueError):
             DetectConfig(**bad)
+
+
+def test_draws_below_a_bound_by_folding():
+    prime = DRAW_PRIME
+    h = np.array([0, 1, prime - 1, prime, prime + 1, (1 << 60) - 1, *range(10**9, 10**9 + 500)], dtype=np.int64)
+    for factors in ([(1, 0)], [(prime - 1, prime - 1)], [(1, prime - 1), (12345, 6789)], draw_factors(DetectConfig())):
+        least = np.min([(h % prime * a + b) % prime for a, b in factors], axis=0)
+        for bound in (1, 2, 10**6, 10**9, prime - 1, prime):
+            assert (any_draw_below(h, factors, bound) == (least < bound)).all()
