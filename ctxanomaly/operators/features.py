@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ctxanomaly.config import CONTEXT_KEYS, EPS, FEATURE_DIGITS, FEATURES, MEASURE
-from ctxanomaly.functions.expressions import finite_nonneg, flag_of, rate
+from ctxanomaly.functions.expressions import finite_nonneg, flag_of, rate, round_columns
 from ctxanomaly.functions.sums import FixedSums, ScaledSums, unit_for
 from ctxanomaly.operators.context import (
     attach_context,
@@ -33,6 +33,15 @@ SECOND_FILTER_COLUMNS = (
 )
 
 
+#: What :func:`deviations` reads of a row's context.
+PROFILE_COLUMNS = (
+    "loo_mean_passengers",
+    "loo_std_passengers",
+    "context_avg_passage_per_passenger",
+    "context_avg_passenger_per_record",
+)
+
+
 def normalize_label(df: DataFrame, src: str = "is_anomaly", dst: str = "zscore_anomaly") -> DataFrame:
     """0/1 integer label for comparison (never a feature).
 
@@ -116,11 +125,31 @@ def context_features(
     for the second reading (with observed metrics, say); ``shuffled`` as in
     :func:`attach_context`.
     """
+    return deviations(with_profile(df, context, x, min_obs, is_cut, fact, shuffled), x)
+
+
+def with_profile(
+    df: DataFrame,
+    context: Sequence[str] = CONTEXT_KEYS,
+    x: str = MEASURE,
+    min_obs: int = 5,
+    is_cut: bool = False,
+    fact: DataFrame | None = None,
+    shuffled: bool = False,
+) -> DataFrame:
+    """The rows of contexts with ``min_obs`` observations, the profile of each
+    one's context and its leave-one-out moments (arguments as in
+    :func:`context_features`)."""
     df = df if is_cut else cut(df, "forest_input")
     stats = context_profile(ratio_features(df), context, x)
-    base = ratio_features(df if fact is None else fact)
-    out = min_context(attach_context(base, stats, context, "inner", is_cut=True, shuffled=shuffled), min_obs)
-    out = leave_one_out(out, x)
+    joined = attach_context(df if fact is None else fact, stats, context, "inner", is_cut=True, shuffled=shuffled)
+    return leave_one_out(min_context(joined, min_obs), x)
+
+
+def deviations(df: DataFrame, x: str = MEASURE) -> DataFrame:
+    """The ten features of rows that hold their context's profile: a
+    projection of ``PROFILE_COLUMNS`` and the row's own totals."""
+    out = ratio_features(df)
     xc = F.col(x)
     mu = F.col("loo_mean_passengers")
     signed = {
@@ -132,7 +161,7 @@ def context_features(
         "passenger_per_record_diff": F.col("passenger_per_record")
         - F.col("context_avg_passenger_per_record"),
     }
-    out = out.withColumns({k: F.round(v, FEATURE_DIGITS) for k, v in signed.items()})
+    out = round_columns(out.withColumns(signed), list(signed), FEATURE_DIGITS)
     out = out.withColumns({f"abs_{k}": F.abs(F.col(k)) for k in signed})
     return fill_zero(out, FEATURES)
 

@@ -15,20 +15,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ctxanomaly.config import FEATURES, DetectConfig
+from ctxanomaly.config import FEATURES, SCALED_FEATURES, DetectConfig
 from ctxanomaly.operators import reports as R
 from ctxanomaly.operators.features import (
-    context_features,
+    PROFILE_COLUMNS,
+    deviations,
     fit_scaler,
     forest_input,
     labelled_cells,
     second_filter,
     standardize,
+    with_profile,
 )
 from ctxanomaly.operators.forest import (
     contamination_threshold,
     fit,
     flag_ge,
+    score_expr,
     score_forest,
     with_pool_hash,
     with_row_key,
@@ -58,6 +61,9 @@ OUTPUT_COLUMNS = (
     "loo_std_passengers",
     *FEATURES,
 )
+#: Columns of the cuts: the features are :func:`deviations` of them, a
+#: projection wherever they are read.
+FEATURED = (*dict.fromkeys([c for c in OUTPUT_COLUMNS if c not in FEATURES] + [*PROFILE_COLUMNS]),)
 
 
 @dataclass
@@ -100,9 +106,20 @@ def featured_cells(
     seen: Observation | None = None,
     shuffled: bool = False,
 ) -> DataFrame:
-    """Second filter, context features, row key and pool hash (unscaled).
-    ``seen`` receives the cells by the second filter's rules ('kept': they
-    pass it) while the result is written."""
+    """Second filter, context features, row key and pool hash (unscaled)."""
+    return with_row_key(deviations(profiled_cells(zscored, cfg, is_cut, seen, shuffled), cfg.measure), cfg.hourly_keys)
+
+
+def profiled_cells(
+    zscored: DataFrame,
+    cfg: DetectConfig = DetectConfig(),
+    is_cut: bool = False,
+    seen: Observation | None = None,
+    shuffled: bool = False,
+) -> DataFrame:
+    """The cells behind the second filter with their context's profile and
+    their pool hash.  ``seen`` receives the cells by the second filter's rules
+    ('kept': they pass it) while the result is written."""
     if not is_cut:
         zscored = cut(zscored, "cells")
     fact = None
@@ -110,10 +127,8 @@ def featured_cells(
         cells = labelled_cells(zscored)
         reasons = R.counted(R.cell_reason(cfg.min_context_obs, F.lit(cfg.min_context_obs)), R.CELL_REASONS)
         fact = second_filter(cells.observe(seen, *[c.alias(k) for k, c in reasons.items()]))
-    feats = context_features(
-        forest_input(zscored), cfg.context, cfg.measure, cfg.min_context_obs, True, fact, shuffled
-    )
-    return with_pool_hash(with_row_key(feats, cfg.hourly_keys), cfg)
+    rows = with_profile(forest_input(zscored), cfg.context, cfg.measure, cfg.min_context_obs, True, fact, shuffled)
+    return with_pool_hash(with_row_key(rows, cfg.hourly_keys), cfg).drop("row_key")
 
 
 Store = Callable[[DataFrame, str], DataFrame]
@@ -239,18 +254,18 @@ def detect_forest(
     with run_folder(zscored.sparkSession) as folder:
         if not is_cut:
             zscored = cut(zscored, "cells")
-        # Unscaled features are written once; scaling is a cheap projection
-        # applied where the scaled values are read (pool and scoring).
-        feats, total, drops = featured_stage(zscored, cfg, count_drops, shuffled)
-        featured = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
+        # Totals and profiles are written once; features and scaling are cheap
+        # projections applied where they are read (pool, scoring, results).
+        cells, total, drops = profiled_stage(zscored, cfg, count_drops, shuffled)
+        feats = with_row_key(deviations(cells, cfg.measure), cfg.hourly_keys)
+        scaled = standardize(feats, FEATURES, fit_scaler(feats, FEATURES))
+        featured = select_present(scaled, [*OUTPUT_COLUMNS, "row_key", "h_pool", *SCALED_FEATURES])
         clock.lap("features")
         nodes = fit(featured, cfg, total=total)
         clock.lap("fit")
-        scored = select_present(
-            score_forest(featured, nodes, cfg, counter=score_counter),
-            [*OUTPUT_COLUMNS, "iforest_path_units", "iforest_score"],
-        )
-        scored = cut(scored, "scored")
+        scored = select_present(score_forest(scaled, nodes, cfg, counter=score_counter), [*FEATURED, "iforest_path_units"])
+        scored = deviations(cut(scored, "scored"), cfg.measure).withColumn("iforest_score", score_expr("iforest_path_units", cfg))
+        scored = select_present(scored, [*OUTPUT_COLUMNS, "iforest_path_units", "iforest_score"])
         clock.lap("score")
         threshold = contamination_threshold(scored, cfg, total)
         flagged = flag_ge(scored, threshold)
@@ -263,12 +278,22 @@ def detect_forest(
 def featured_stage(
     zscored: DataFrame, cfg: DetectConfig = DetectConfig(), count_drops: bool = False, shuffled: bool = False
 ) -> tuple[DataFrame, int, dict[str, int]]:
-    """The featured cells of a cut of z-scored ones, written once, their
-    number, and (``count_drops``) the cells by drop reason."""
+    """The featured cells of a cut of z-scored ones, their number, and
+    (``count_drops``) the cells by drop reason."""
+    cells, total, drops = profiled_stage(zscored, cfg, count_drops, shuffled)
+    feats = with_row_key(deviations(cells, cfg.measure), cfg.hourly_keys)
+    return select_present(feats, [*OUTPUT_COLUMNS, "row_key", "h_pool"]), total, drops
+
+
+def profiled_stage(
+    zscored: DataFrame, cfg: DetectConfig = DetectConfig(), count_drops: bool = False, shuffled: bool = False
+) -> tuple[DataFrame, int, dict[str, int]]:
+    """:func:`featured_stage` before its features: the totals and the profile
+    of each cell, written once."""
     seen = Observation() if count_drops else None
-    rows = select_present(featured_cells(zscored, cfg, True, seen, shuffled), [*OUTPUT_COLUMNS, "row_key", "h_pool"])
-    feats, counts = cut_observed(rows, "featured", total=F.count(F.lit(1)))
-    return feats, counts["total"], _cell_drops(zscored, seen.get, counts["total"], cfg) if seen else {}
+    rows = select_present(profiled_cells(zscored, cfg, True, seen, shuffled), [*FEATURED, "h_pool"])
+    cells, counts = cut_observed(rows, "featured", total=F.count(F.lit(1)))
+    return cells, counts["total"], _cell_drops(zscored, seen.get, counts["total"], cfg) if seen else {}
 
 
 def _cell_drops(zscored: DataFrame, counts: dict[str, int], kept: int, cfg: DetectConfig) -> dict[str, int]:

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ctxanomaly.config import EPS, FEATURES
+from ctxanomaly.functions.expressions import round_columns
 from ctxanomaly.operators.features import (
     context_features,
     fit_scaler,
@@ -190,3 +191,16 @@ def test_feature_columns_complete(spark):
     for r in out.collect():
         for c in FEATURES:
             assert r[c] is not None and math.isfinite(r[c])
+
+
+def test_rounded_columns_are_those_of_round(spark):
+    odd = [0.5e-10, 1.5e-10, -0.5e-10, -2.5e-10, 0.12345678905, -0.12345678905, 2.5, -0.0, -1e-12, 1e-320, 3518.4, 1e15, 1e300]
+    near = [m * (k + 0.5) / 10**d for k in range(2000) for d, m in ((6, 1), (6, -1), (10, 1), (10, -7))]
+    values = [*odd, *near, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v, None if v is None else v * 1.0000001) for v in values], "a double, b double")
+    for digits in (6, 10):
+        both = df.withColumns({f"want_{c}": F.round(c, digits) for c in ("a", "b")})
+        both = round_columns(both, ["a", "b"], digits)
+        assert both.columns == ["a", "b", "want_a", "want_b"]
+        text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+        assert both.filter((text("a") != text("want_a")) | (text("b") != text("want_b"))).collect() == []
