@@ -50,6 +50,45 @@ def test_default_length_on_periodic_and_long_texts(make_docs):
     assert got == sorted(want, key=repr)
 
 
+def passage_words(texts, n):
+    """Words under sequences of ``n`` words that start twice or more."""
+    seen = {}
+    words = [(t or "").encode().split() for t in texts]
+    for d, w in enumerate(words):
+        for i in range(len(w) - n + 1):
+            seen.setdefault(tuple(w[i : i + n]), []).append((d, i))
+    under = [set() for _ in texts]
+    for places in seen.values():
+        if len(places) > 1:
+            for d, i in places:
+                under[d].update(range(i, i + n))
+    return [len(u) for u in under]
+
+
+@pytest.mark.parametrize("limits", [{}, {"chunk_rows": 3}, {"group_rows": 2}])
+def test_passages_equal_brute_force(make_docs, corpus, limits):
+    got = suffix_dedup(make_docs(corpus), length=40, shallow=16, passage=9, shallow_words=3, **limits)
+    want = passage_words([t for _, t, _ in corpus], 9)
+    told = [(r["doc_id"], r["n_passage_words"]) for r in got.collect()]
+    assert sorted(told, key=repr) == sorted(((d, n) for (d, _, _), n in zip(corpus, want, strict=True)), key=repr)
+    assert sum(want) > 100
+
+
+def test_passages_of_over_50_words_under_400_bytes(make_docs):
+    """They are told, whatever stands between their words; no byte is removed."""
+    rng = random.Random(3)
+
+    def words(n):
+        return ["".join(rng.choices("abcdefg", k=rng.randrange(2, 7))) for _ in range(n)]
+
+    shared, short = words(51), words(50)
+    held = [(words(30), shared, words(40)), (words(8), shared, []), (words(90), short, words(5)), ([], short, words(3)), (words(200), [], [])]
+    texts = [("\n" if i == 1 else " ").join(a + b + c) for i, (a, b, c) in enumerate(held)]
+    assert len(" ".join(shared)) < 400
+    got = suffix_dedup(make_docs([(i, t, "s") for i, t in enumerate(texts)])).collect()
+    assert {r["doc_id"]: (r["n_passage_words"], r["n_removed"]) for r in got} == {0: (51, 0), 1: (51, 0), 2: (0, 0), 3: (0, 0), 4: (0, 0)}
+
+
 def test_empty_table(make_docs):
     assert suffix_dedup(make_docs([])).count() == 0
 
